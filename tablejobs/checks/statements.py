@@ -17,7 +17,7 @@ def _views(sf_dir, names):
 def _answer(spark, sf_dir, names, statements, settings=None):
     """Rows of the last statement of a step that sees the given tables as views."""
     step = tj.SqlStep("check", _views(sf_dir, names) + statements, sources=names, settings=settings)
-    return step.run(spark, keep_results=True)[-1]
+    return step.run(spark, keep_results=True, store_results=False)[-1]
 
 
 def run_sql_steps(spark, sf_dir):
@@ -62,16 +62,14 @@ def view_query(spark, sf_dir):
     df = source(spark, sf_dir, "customer")
     table = describe(df, "customer", ("c_mktsegment",), database=new_database(spark))
     tj.write_table(df, table)
-    name, view = quoted(table.full_name), quoted(f"{table.database}.builders")
+    inner, outer = (quoted(f"{table.database}.{name}") for name in ("builders", "builders_at_home"))
     step = tj.SqlStep(
         "views",
         [
-            f"CREATE OR REPLACE VIEW {view} AS "
-            f"SELECT DISTINCT c_name, c_nationkey FROM {name} WHERE c_mktsegment = 'BUILDING'",
-            f"CREATE OR REPLACE VIEW {view}_home AS SELECT c_name FROM {view} WHERE c_nationkey < 10".replace(
-                "`_home", "_home`"
-            ),
-            f"SELECT * FROM {view}_home".replace("`_home", "_home`"),
+            f"CREATE OR REPLACE VIEW {inner} AS SELECT DISTINCT c_name, c_nationkey "
+            f"FROM {quoted(table.full_name)} WHERE c_mktsegment = 'BUILDING'",
+            f"CREATE OR REPLACE VIEW {outer} AS SELECT c_name FROM {inner} WHERE c_nationkey < 10",
+            f"SELECT * FROM {outer}",
         ],
         sources=[table],
     )

@@ -6,6 +6,7 @@ import json
 import re
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import takewhile
 
 from pyspark.errors import ParseException
 from pyspark.sql import SparkSession
@@ -162,11 +163,23 @@ class TableDescriptor:
 
 @dataclass(frozen=True)
 class CatalogTable:
-    """What the catalog says about a table."""
+    """What the catalog says about a table. The lines of a ``delimited`` one are still to be split."""
 
     descriptor: TableDescriptor
     kind: str
-    provider: str
+    delimited: bool
+
+
+def _storage(about: dict) -> str:
+    """Storage of a table from the catalog's JSON description."""
+    provider = about.get("provider", "view")
+    if provider != "hive":
+        return provider
+    input_format = about.get("input_format", "").lower()
+    for part, storage in (("sequence", "sequencefile"), ("avro", "avro"), ("orc", "orc"), ("parquet", "parquet")):
+        if part in input_format:
+            return storage
+    return "textfile"
 
 
 def split_name(name: str) -> tuple[str, str]:
@@ -182,11 +195,16 @@ def look_up(spark: SparkSession, name: str) -> CatalogTable:
         raise TableJobError(f"table not found: {database}.{table}")
     about = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {target} AS JSON").first()[0])
     properties = about.get("table_properties", {})
-    columns = [(c.name, c.dataType, c.isPartition) for c in spark.catalog.listColumns(f"{database}.{table}")]
-    partition_keys = [name for name, _, is_key in columns if is_key]
+    partition_keys = about.get("partition_columns", [])
+    described = spark.sql(f"DESCRIBE TABLE {target}").collect()
+    columns = [
+        (row["col_name"], row["data_type"])
+        for row in takewhile(lambda row: not row["col_name"].startswith("#"), described)
+        if row["col_name"]
+    ]
     if COLUMNS_PROPERTY in properties:
-        declared = json.loads(properties[COLUMNS_PROPERTY])
-        columns = [(n, t, False) for n, t in declared] + [c for c in columns if c[2]]
+        lines = [c for c in columns if c[0] in partition_keys]
+        columns = [tuple(c) for c in json.loads(properties[COLUMNS_PROPERTY])] + lines
     descriptor = TableDescriptor(
         table=table,
         names=tuple(c[0] for c in columns),
@@ -194,12 +212,12 @@ def look_up(spark: SparkSession, name: str) -> CatalogTable:
         partition_keys=tuple(partition_keys),
         database=database,
         delimiter=properties.get(DELIMITER_PROPERTY),
-        storage=about.get("provider", "view"),
+        storage=_storage(about),
         location=about.get("location"),
         transactional=properties.get(TRANSACTIONAL, "false").lower() == "true",
         buckets=int(about.get("num_buckets", 0)),
     )
-    return CatalogTable(descriptor, about["type"], about.get("provider", "view"))
+    return CatalogTable(descriptor, about["type"], COLUMNS_PROPERTY in properties)
 
 
 def describe_table(spark: SparkSession, name: str) -> TableDescriptor:

@@ -14,7 +14,8 @@ class StepMetrics:
     """Collects counters while rows pass by.
 
     ``count`` attaches counters to a frame; they are filled by the first action on it. Attach them as the
-    last thing before the action: a task that is run twice after a loss is then counted once.
+    last thing before the action (``watch`` of ``write_table`` does): below a shuffle, a task that is
+    run again after the loss of an executor would be counted twice.
     """
 
     observed: list[tuple[str, Observation]] = field(default_factory=list)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -16,26 +17,31 @@ from tablejobs.storage import materialize
 
 
 def run_sql_steps(
-    spark: SparkSession, statements: Sequence[str], keep_results: bool = False
+    spark: SparkSession,
+    statements: Sequence[str],
+    keep_results: bool = False,
+    store_results: bool = True,
 ) -> list[DataFrame | None] | None:
     """Run statements in order and stop at the first that fails.
 
-    With ``keep_results`` the rows of each query are stored in the shared folder as they are at that
-    moment and returned as frames; a statement without rows (a command) gives ``None``. Otherwise the
-    rows of a query are computed and dropped.
+    Without ``keep_results`` the rows of a query are computed and dropped. With it they are returned as
+    frames, and a statement without rows (a command) gives ``None``. The rows are stored in the shared
+    folder as they are at that moment; ``store_results=False`` spares that copy for steps whose later
+    statements do not change what the query reads.
     """
     results = []
     for statement in statements:
         try:
             rows = spark.sql(statement)
             if not rows.columns:
-                results.append(None)
-            elif keep_results:
-                results.append(materialize(rows, "result"))
-            else:
+                rows = None
+            elif keep_results and store_results:
+                rows = materialize(rows, "result")
+            elif not keep_results:
                 discard(rows)
         except Exception as error:
             raise SqlStepError(statement, error) from error
+        results.append(rows)
     return results if keep_results else None
 
 
@@ -43,8 +49,10 @@ def run_sql_steps(
 class SqlStep:
     """A named step: statements, the sources they read, the table they fill, and settings of their own.
 
-    Settings are added to those of the session and hold for this step only. The sink table is made before the statements run, and again
-    afterwards in case they dropped it.
+    The step runs in a session of its own: it starts with the settings of the caller's session, its own
+    settings and temporary views end with it. The sink table is made before the statements run, and again
+    afterwards in case they dropped it. The caller's session is told to look at the files of sink and
+    sources anew, so a step that changes other tables than its sink should name them as sources.
     """
 
     name: str
@@ -59,17 +67,29 @@ class SqlStep:
         if isinstance(self.statements, str):
             object.__setattr__(self, "statements", (self.statements,))
 
-    def run(self, spark: SparkSession, keep_results: bool = False) -> list[DataFrame | None] | None:
+    def run(
+        self, spark: SparkSession, keep_results: bool = False, store_results: bool = True
+    ) -> list[DataFrame | None] | None:
         session = spark.newSession()
         inherited = {k: v for k, v in spark.conf.getAll.items() if spark.conf.isModifiable(k)}
         for key, value in {**inherited, **(self.settings or {})}.items():
             session.conf.set(key, value)
         if self.sink is not None:
             create_table(session, self.sink)
-        results = run_sql_steps(session, self.statements, keep_results)
-        if self.sink is not None:
-            create_table(session, self.sink)
-        return results
+        try:
+            results = run_sql_steps(session, self.statements, keep_results, store_results)
+            if self.sink is not None:
+                create_table(session, self.sink)
+            return results
+        finally:
+            self._refresh(spark)
+
+    def _refresh(self, spark: SparkSession) -> None:
+        tables = [*self.sources, *([self.sink] if self.sink is not None else [])]
+        for table in tables:
+            name = table.full_name if isinstance(table, TableDescriptor) else table
+            if re.fullmatch(r"\w+(\.\w+)*", name) and spark.catalog.tableExists(name):
+                spark.catalog.refreshTable(name)
 
 
 def load_file(

@@ -128,28 +128,22 @@ def apply_changes(
     def expression(given) -> Column:
         return F.expr(given) if isinstance(given, str) else given
 
-    op = F.when(F.lit(False), F.lit(DELETE))
-    if delete_where is not None:
-        op = F.when(expression(delete_where), F.lit(DELETE))
-    if assign:
-        op = op.when(expression("true" if update_where is None else update_where), F.lit(UPDATE))
-    current = snapshot_read(spark, table, root, snapshot, row_id=True)
-    data = F.struct(
+    deleted = expression("false" if delete_where is None else delete_where)
+    updated = expression("true" if update_where is None else update_where) if assign else F.lit(False)
+    row = F.struct(
         *[
             expression(assign.get(f.name, F.col(f"`{f.name}`"))).cast(f.dataType).alias(f.name)
             for f in table.data_schema
         ]
     )
-    changed = current.select(
+    # The plain condition reaches the scan. A delete alone then reads the columns it tests, no others.
+    op = F.when(deleted, F.lit(DELETE)).otherwise(F.lit(UPDATE))
+    changed = snapshot_read(spark, table, root, snapshot, row_id=True).where(deleted | updated)
+    events = changed.select(
         op.alias("op"),
         *ROW_ID,
         F.lit(txn).cast("long").alias("txn"),
-        data.alias("new_row"),
-        *table.partition_names,
-    ).where("op is not null")
-    events = changed.select(
-        "op", *ROW_ID, "txn",
-        F.when(F.col("op") == UPDATE, F.col("new_row")).alias("data"),
+        (F.when(op == UPDATE, row) if assign else F.lit(None).cast(table.data_schema)).alias("data"),
         *table.partition_names,
     )
     # One event per row id by construction: the snapshot holds each row id once.

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from tablejobs.errors import TableHasDataError, TableJobError, TransactionalTabl
 from tablejobs.operators.contract import validate_table
 from tablejobs.operators.fields import align_to_table, column
 from tablejobs.sinks.text import join_fields
-from tablejobs.storage import literal, quoted, session_setting
+from tablejobs.storage import literal, qualified_path, quoted, session_setting
 
 # Formats that only a Hive catalog can keep tables in.
 HIVE_STORAGE = ("textfile", "sequencefile", "avro")
@@ -117,13 +117,14 @@ def write_table(
     strict: bool = False,
     rebalance: bool = True,
     options: Mapping[str, str] | None = None,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Write rows into a table, making database and table first if they are missing.
 
     ``keep`` refuses a table that holds rows, ``update`` adds rows, ``replace`` leaves only the new rows
     (and the new shape, if the descriptor differs), ``replace_partitions`` swaps the partitions that
     the new rows touch. A ``replace`` with a new shape drops the old table first, so the rows must not
-    come from it.
+    come from it. ``watch`` may attach counters to the rows as they go to the files.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -133,7 +134,7 @@ def write_table(
         validate_table(spark, table)
     rows = _no_empty_keys(align_to_table(df, table), table)
     if mode == "replace" and spark.catalog.tableExists(table.full_name):
-        if not _same_shape(look_up(spark, table.full_name).descriptor, table):
+        if not _same_shape(spark, look_up(spark, table.full_name).descriptor, table):
             drop_table(spark, table)
     create_table(spark, table)
     if mode == "keep" and _holds_rows(spark, table):
@@ -142,20 +143,26 @@ def write_table(
         rows = join_fields(rows, table.delimiter, table.partition_names)
     if rebalance:
         rows = rebalanced(rows, table.partition_names)
-    _insert(rows, table, mode, options)
+    _insert(watch(rows) if watch else rows, table, mode, options)
 
 
-def _same_shape(found: TableDescriptor, table: TableDescriptor) -> bool:
-    return (found.schema, found.partition_names, found.storage, found.delimiter) == (
-        table.schema, table.partition_names, table.storage, table.delimiter
-    ) and (table.location is None or table.location.rstrip("/").endswith(found.location.split(":", 1)[-1]))
+def _same_shape(spark: SparkSession, found: TableDescriptor, table: TableDescriptor) -> bool:
+    def place(descriptor):
+        return qualified_path(spark, descriptor.location)
+
+    shapes = [(t.schema, t.partition_names, t.storage, t.delimiter) for t in (found, table)]
+    return shapes[0] == shapes[1] and (table.location is None or place(found) == place(table))
 
 
 def _insert(rows: DataFrame, table: TableDescriptor, mode: str, options) -> None:
+    spark = rows.sparkSession
     overwrite = mode in ("replace", "replace_partitions")
     scope = "dynamic" if mode == "replace_partitions" else "static"
-    # Inserting into a table takes the overwrite scope from the session, not from the writer.
-    with session_setting(rows.sparkSession, "spark.sql.sources.partitionOverwriteMode", scope):
+    # Inserting into a table takes these settings from the session, not from the writer.
+    with (
+        session_setting(spark, "spark.sql.sources.partitionOverwriteMode", scope),
+        session_setting(spark, "hive.exec.dynamic.partition.mode", "nonstrict"),
+    ):
         rows.write.options(**(options or {})).insertInto(quoted(table.full_name), overwrite=overwrite)
 
 

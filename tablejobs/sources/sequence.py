@@ -15,7 +15,7 @@ from tablejobs.sources.text import split_lines
 
 def scan_sequence_table(spark: SparkSession, table: TableDescriptor, path: str) -> DataFrame:
     pairs = spark.sparkContext.sequenceFile(path)
-    lines = spark.createDataFrame(pairs.map(lambda pair: (pair[1],)), "value string")
+    lines = spark.createDataFrame(pairs.map(lambda pair: (pair[1],)), "value string", verifySchema=False)
     return split_lines(lines, table)
 
 

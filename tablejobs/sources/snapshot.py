@@ -227,7 +227,11 @@ def _newest(events: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
 def _without(base: DataFrame, events: DataFrame, keys: list[str], broadcast_rows: int) -> DataFrame:
     """Base rows whose row id is in no event."""
     changed = events.select(*[F.col(key).alias(f"changed_{key}") for key in keys]).distinct()
-    if events.select("txn").count() <= broadcast_rows:
-        changed = F.broadcast(changed)
-    same_row = [base[key].eqNullSafe(changed[f"changed_{key}"]) for key in keys]
-    return base.join(changed, same_row, "left_anti")
+    few = events.select("txn").count() <= broadcast_rows
+    same_row = [
+        base[key] == changed[f"changed_{key}"]
+        if key in ROW_ID
+        else base[key].eqNullSafe(changed[f"changed_{key}"])
+        for key in keys
+    ]
+    return base.join(changed.hint("broadcast" if few else "merge"), same_row, "left_anti")

@@ -36,7 +36,7 @@ def scan_table(
     if table.transactional:
         raise TransactionalTableError(f"{name} is transactional, read it with snapshot_read")
     df = spark.read.options(**(options or {})).table(quoted(table.full_name))
-    if found.provider == "text" and df.columns != table.schema.names:
+    if found.delimited:
         df = split_lines(df, table)
     return _narrow(df, table, fields, predicate)
 

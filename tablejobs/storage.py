@@ -8,6 +8,11 @@ from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+_named: list[str] = []
 
 
 @cache
@@ -25,15 +30,29 @@ def shared_folder(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = _local_folder()
-    return f"{root.rstrip('/')}/tablejobs/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/tablejobs/{label}-{uuid.uuid4().hex}"
+    _named.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the folders ``shared_folder`` named in this process. Frames that read them end with it."""
+    while _named:
+        path = _named.pop()
+        if exists(spark, path):
+            remove(spark, path)
 
 
 def materialize(df: DataFrame, label: str = "rows") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later use does not compute it again."""
     path = shared_folder(df.sparkSession, label)
-    names = df.columns
-    df.toDF(*[f"c{i}" for i in range(len(names))]).write.parquet(path)
-    return df.sparkSession.read.parquet(path).toDF(*names)
+    # Numbered columns allow any names, repeated ones too; files have no type for nothing but nulls.
+    places = [f"c{i}" for i in range(len(df.columns))]
+    voids = {c for c, f in zip(places, df.schema) if isinstance(f.dataType, T.NullType)}
+    numbered = df.toDF(*places)
+    numbered.select([F.col(c).cast("string") if c in voids else c for c in places]).write.parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    return stored.select([F.lit(None).alias(c) if c in voids else c for c in places]).toDF(*df.columns)
 
 
 @contextmanager

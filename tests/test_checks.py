@@ -1,0 +1,35 @@
+"""Every check query against its SQL in another engine."""
+
+import os
+
+import duckdb
+import pytest
+from conftest import SMALL
+
+import __spark_entry__ as entry_points
+
+
+@pytest.fixture(scope="module")
+def other():
+    connection = duckdb.connect()
+    for file in os.listdir(SMALL):
+        connection.execute(f"CREATE VIEW {file.split('.')[0]} AS SELECT * FROM '{SMALL}/{file}'")
+    return connection
+
+
+def shaped(columns, data):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(columns), sorted(repr(tuple(row[i] for i in order)) for row in data)
+
+
+@pytest.mark.parametrize("name", entry_points.queries())
+def test_check_query(spark, other, name):
+    df = entry_points.queries()[name](spark, SMALL)
+    answer = other.execute(entry_points.oracle_sql()[name])
+    expected = shaped([column[0] for column in answer.description], answer.fetchall())
+    assert shaped(df.columns, df.collect()) == expected
+
+
+def test_entry(spark):
+    assert entry_points.entry(spark).count() == 2
+    assert entry_points.queries().keys() == entry_points.oracle_sql().keys()
