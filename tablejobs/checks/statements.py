@@ -1,4 +1,8 @@
-"""Check queries of SQL steps. Sums are taken over decimals, so that their value has no order."""
+"""Check queries of SQL steps.
+
+Sums are taken over whole units (cents for amounts with two decimals): unlike a sum of doubles they do
+not depend on the order of the rows, and as decimals they cannot overflow.
+"""
 
 from __future__ import annotations
 
@@ -76,11 +80,17 @@ def view_query(spark, sf_dir):
     return step.run(spark, keep_results=True)[-1]
 
 
+def _units(amount: str, per_one: int) -> str:
+    return f"CAST(CAST(floor({amount} * {per_one} + 0.5) AS BIGINT) AS DECIMAL(18, 0))"
+
+
+_CENTS = _units("o_totalprice", 100)
+
 # Orders are summed per customer before the join: a customer with very many orders is a few rows then.
-_JOIN = """
-    SELECT n_name, CAST(sum(spent) AS DOUBLE) AS revenue, sum(n) AS n_orders
+_JOIN = f"""
+    SELECT n_name, CAST(sum(spent) AS DOUBLE) / 100 AS revenue, CAST(sum(n) AS BIGINT) AS n_orders
     FROM (
-        SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(15, 2))) AS spent, count(*) AS n
+        SELECT o_custkey, sum({_CENTS}) AS spent, count(*) AS n
         FROM orders GROUP BY o_custkey
     ) o
     JOIN customer ON c_custkey = o_custkey
@@ -95,28 +105,28 @@ _SEMI_ANTI = """
     WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT o_custkey FROM orders) o WHERE o_custkey = c_custkey)
 """
 _AGGREGATE = """
-    SELECT l_returnflag, l_linestatus, CAST(sum(quantity) AS DOUBLE) AS sum_qty,
-           CAST(sum(price) AS DOUBLE) AS sum_base_price,
-           CAST(sum(price * (1 - discount)) AS DOUBLE) AS sum_disc_price,
-           CAST(sum(price * (1 - discount) * (1 + tax)) AS DOUBLE) AS sum_charge,
-           CAST(sum(quantity) AS DOUBLE) / count(*) AS avg_qty,
-           CAST(sum(price) AS DOUBLE) / count(*) AS avg_price,
+    SELECT l_returnflag, l_linestatus,
+           CAST(sum(quantity) AS DOUBLE) / 100 AS sum_qty,
+           CAST(sum(price) AS DOUBLE) / 100 AS sum_base_price,
+           CAST(sum(disc_price) AS DOUBLE) / 10000 AS sum_disc_price,
+           CAST(sum(charge) AS DOUBLE) / 1000000 AS sum_charge,
+           CAST(sum(quantity) AS DOUBLE) / 100 / count(*) AS avg_qty,
+           CAST(sum(price) AS DOUBLE) / 100 / count(*) AS avg_price,
            count(*) AS n_lines
     FROM (
-        SELECT l_returnflag, l_linestatus, CAST(l_quantity AS DECIMAL(10, 2)) AS quantity,
-               CAST(l_extendedprice AS DECIMAL(12, 2)) AS price,
-               CAST(l_discount AS DECIMAL(4, 2)) AS discount, CAST(l_tax AS DECIMAL(4, 2)) AS tax
+        SELECT l_returnflag, l_linestatus, {quantity} AS quantity, {price} AS price,
+               {disc_price} AS disc_price, {charge} AS charge
         FROM lineitem WHERE l_shipdate <= TIMESTAMP '{day}'
     ) l
     GROUP BY l_returnflag, l_linestatus
 """
-_ROLLUP = """
+_ROLLUP = f"""
     SELECT o_orderstatus, o_orderpriority, count(*) AS n_orders,
-           CAST(sum(CAST(o_totalprice AS DECIMAL(15, 2))) AS DOUBLE) AS total
+           CAST(sum({_CENTS}) AS DOUBLE) / 100 AS total
     FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)
 """
 _WINDOW = """
-    SELECT o_custkey, o_orderkey, o_totalprice, place FROM (
+    SELECT o_custkey, o_orderkey, o_totalprice, CAST(place AS INT) AS place FROM (
         SELECT o_custkey, o_orderkey, o_totalprice,
                row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS place
         FROM orders
@@ -139,7 +149,7 @@ _DATES = """
     FROM events GROUP BY CAST(ts AS DATE), event_type
 """
 _STRINGS = """
-    SELECT p_partkey, {word} AS first_word, length(p_name) AS n_chars,
+    SELECT p_partkey, {word} AS first_word, CAST(length(p_name) AS INT) AS n_chars,
            concat(lower(p_brand), '/', trim(p_type)) AS label, substring(p_brand, 7) AS brand_number
     FROM part
 """
@@ -156,7 +166,13 @@ def _check(names, spark_sql, duck_sql=None):
     return query, duck_sql or spark_sql
 
 
-_DAY = _AGGREGATE.format(day="1998-09-02 00:00:00")
+_DAY = _AGGREGATE.format(
+    day="1998-09-02 00:00:00",
+    quantity=_units("l_quantity", 100),
+    price=_units("l_extendedprice", 100),
+    disc_price=_units("l_extendedprice * (1 - l_discount)", 10000),
+    charge=_units("l_extendedprice * (1 - l_discount) * (1 + l_tax)", 1000000),
+)
 QUERIES = {
     "run_sql_steps": (
         run_sql_steps,
