@@ -20,7 +20,8 @@ DEFAULT_DATABASE = "default"
 DEFAULT_DELIMITER = "\x01"
 TRANSACTIONAL = "transactional"
 
-# Properties that make a line table (one string column) a delimited text table.
+# The column of a table of text lines, and the properties that make one a delimited text table.
+LINE = "value"
 COLUMNS_PROPERTY = "tablejobs.columns"
 DELIMITER_PROPERTY = "tablejobs.delimiter"
 
@@ -80,6 +81,8 @@ class TableDescriptor:
         for key in self.partition_keys:
             if key.lower() not in lower:
                 raise FieldError(f"partition key '{key}' is not among the columns {list(self.names)}")
+        if self.storage == "text" and LINE in self.partition_names:
+            raise FieldError(f"a text table cannot be partitioned by '{LINE}', the name of its line column")
         if self.location is not None and not _ABSOLUTE.match(self.location):
             raise FieldError(f"location must be an absolute path: {self.location}")
 
@@ -211,7 +214,7 @@ def look_up(spark: SparkSession, name: str) -> CatalogTable:
         types=tuple(c[1] for c in columns),
         partition_keys=tuple(partition_keys),
         database=database,
-        delimiter=properties.get(DELIMITER_PROPERTY),
+        delimiter=properties.get(DELIMITER_PROPERTY, about.get("storage_properties", {}).get("field.delim")),
         storage=_storage(about),
         location=about.get("location"),
         transactional=properties.get(TRANSACTIONAL, "false").lower() == "true",

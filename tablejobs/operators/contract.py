@@ -17,6 +17,11 @@ def _same(what: str, expected, found) -> None:
         raise TableMismatchError(f"{what}: expected {expected!r}, found {found!r}")
 
 
+def _same_type(table: TableDescriptor, found: TableDescriptor, name: str) -> None:
+    types = [descriptor.declared_types[name].simpleString() for descriptor in (table, found)]
+    _same(f"type of column {name}", *types)
+
+
 def validate_table(spark: SparkSession, table: TableDescriptor) -> None:
     """Raise unless the catalog table agrees with the descriptor in kind, path, transactional flag,
     and in number, names, types and order of data and partition columns."""
@@ -30,11 +35,11 @@ def validate_table(spark: SparkSession, table: TableDescriptor) -> None:
     _same("transactional", table.transactional, found.transactional)
     for expected, actual in zip(table.data_names, found.data_names):
         _same("column name", expected, actual)
-        _same(f"type of column {expected}", table.type_text(expected), found.type_text(actual))
+        _same_type(table, found, expected)
     _same("number of partition columns", len(table.partition_names), len(found.partition_names))
     for expected, actual in zip(table.partition_names, found.partition_names):
         _same("partition column name", expected, actual)
-        _same(f"type of partition column {expected}", table.type_text(expected), found.type_text(actual))
+        _same_type(table, found, expected)
 
 
 def _fits(value, field: T.StructField):

@@ -36,7 +36,7 @@ def order_rows(df: DataFrame, by: Sequence[str | Column], ties: Sequence[str | C
     row, put last, lets the ranges cut through such a value.
     """
     hashed = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
-    return df.orderBy(*by, *ties, F.xxhash64(*hashed))
+    return df.orderBy(*by, *ties, *([F.xxhash64(*hashed)] if hashed else []))
 
 
 def limit_rows(df: DataFrame, n: int, by: Sequence[str | Column]) -> DataFrame:

@@ -14,12 +14,13 @@ from tablejobs.operators.fields import align_to_table
 from tablejobs.sinks.tables import rebalanced
 from tablejobs.sources.snapshot import (
     DELETE,
+    INNER,
     INSERT,
     ROW_ID,
     UPDATE,
     Snapshot,
     change_schema,
-    snapshot_read,
+    rows_with_id,
 )
 from tablejobs.storage import exists, glob, move, qualified_path, remove
 
@@ -138,10 +139,10 @@ def apply_changes(
     )
     # The plain condition reaches the scan. A delete alone then reads the columns it tests, no others.
     op = F.when(deleted, F.lit(DELETE)).otherwise(F.lit(UPDATE))
-    changed = snapshot_read(spark, table, root, snapshot, row_id=True).where(deleted | updated)
+    changed = rows_with_id(spark, table, root, snapshot, table.data_names).where(deleted | updated)
     events = changed.select(
         op.alias("op"),
-        *ROW_ID,
+        *[F.col(INNER + name).alias(name) for name in ROW_ID],
         F.lit(txn).cast("long").alias("txn"),
         (F.when(op == UPDATE, row) if assign else F.lit(None).cast(table.data_schema)).alias("data"),
         *table.partition_names,

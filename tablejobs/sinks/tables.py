@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tablejobs.descriptor import (
     COLUMNS_PROPERTY,
     DELIMITER_PROPERTY,
+    LINE,
     TableDescriptor,
     look_up,
 )
@@ -46,7 +47,7 @@ def _create_statement(spark: SparkSession, table: TableDescriptor) -> str:
     if table.storage == "text":
         declared = [[n, table.type_text(n)] for n in table.data_names]
         properties = {COLUMNS_PROPERTY: json.dumps(declared), DELIMITER_PROPERTY: table.delimiter}
-        data = ["`value` string"]
+        data = [f"{quoted(LINE)} string"]
     parts = [f"CREATE TABLE IF NOT EXISTS {quoted(table.full_name)}"]
     if hive:
         parts.append(f"({', '.join(data)})")
@@ -121,6 +122,8 @@ def write_table(
 ) -> None:
     """Write rows into a table, making database and table first if they are missing.
 
+    Rows are brought into the shape of the table as it is in the catalog.
+
     ``keep`` refuses a table that holds rows, ``update`` adds rows, ``replace`` leaves only the new rows
     (and the new shape, if the descriptor differs), ``replace_partitions`` swaps the partitions that
     the new rows touch. A ``replace`` with a new shape drops the old table first, so the rows must not
@@ -132,18 +135,25 @@ def write_table(
     forbid_transactional(spark, table)
     if strict and spark.catalog.tableExists(table.full_name):
         validate_table(spark, table)
-    rows = _no_empty_keys(align_to_table(df, table), table)
     if mode == "replace" and spark.catalog.tableExists(table.full_name):
+        align_to_table(df, table)  # an error must come before the old table goes
         if not _same_shape(spark, look_up(spark, table.full_name).descriptor, table):
             drop_table(spark, table)
     create_table(spark, table)
     if mode == "keep" and _holds_rows(spark, table):
         raise TableHasDataError(f"{table.full_name} already holds rows")
+    # An existing table has the last word on columns, their order and their storage.
+    table = look_up(spark, table.full_name).descriptor
+    rows = _shaped(df, table, rebalance)
+    _insert(watch(rows) if watch else rows, table, mode, options)
+
+
+def _shaped(df: DataFrame, table: TableDescriptor, rebalance: bool) -> DataFrame:
+    """Rows as the files of a table take them."""
+    rows = _no_empty_keys(align_to_table(df, table), table)
     if table.storage == "text":
         rows = join_fields(rows, table.delimiter, table.partition_names)
-    if rebalance:
-        rows = rebalanced(rows, table.partition_names)
-    _insert(watch(rows) if watch else rows, table, mode, options)
+    return rebalanced(rows, table.partition_names) if rebalance else rows
 
 
 def _same_shape(spark: SparkSession, found: TableDescriptor, table: TableDescriptor) -> bool:
@@ -193,11 +203,7 @@ def write_files(
     options: Mapping[str, str] | None = None,
 ) -> None:
     """Write rows in the shape of a table below a path, without touching the catalog."""
-    rows = _no_empty_keys(align_to_table(df, table), table)
-    if table.storage == "text":
-        rows = join_fields(rows, table.delimiter, table.partition_names)
-    if rebalance:
-        rows = rebalanced(rows, table.partition_names)
+    rows = _shaped(df, table, rebalance)
     writer = rows.write.options(**(options or {})).mode(mode).format(table.storage)
     writer.partitionBy(*table.partition_names).save(path)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablejobs.descriptor import DEFAULT_DELIMITER
+from tablejobs.descriptor import DEFAULT_DELIMITER, LINE
 from tablejobs.errors import TableJobError
 from tablejobs.operators.fields import column
 from tablejobs.sources.text import NULL_TEXT
@@ -32,7 +32,7 @@ def _field_text(df: DataFrame, field: T.StructField, delimiter: str) -> Column:
 def join_fields(
     df: DataFrame, delimiter: str = DEFAULT_DELIMITER, partition_names: Sequence[str] = ()
 ) -> DataFrame:
-    """One ``value`` line per row, partition columns kept beside it.
+    """One line per row, partition columns kept beside it.
 
     A text value that would not read back the same stops the job with an error.
     """
@@ -41,7 +41,7 @@ def join_fields(
         for field in df.schema
         if field.name not in partition_names
     ]
-    return df.select(F.concat_ws(delimiter, *fields).alias("value"), *partition_names)
+    return df.select(F.concat_ws(delimiter, *fields).alias(LINE), *partition_names)
 
 
 def write_text_table(

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablejobs.descriptor import TableDescriptor
+from tablejobs.descriptor import LINE, TableDescriptor
 from tablejobs.sinks.text import join_fields
 from tablejobs.sources.text import split_lines
 
 
 def scan_sequence_table(spark: SparkSession, table: TableDescriptor, path: str) -> DataFrame:
     pairs = spark.sparkContext.sequenceFile(path)
-    lines = spark.createDataFrame(pairs.map(lambda pair: (pair[1],)), "value string", verifySchema=False)
+    lines = spark.createDataFrame(pairs.map(lambda pair: (pair[1],)), f"{LINE} string", verifySchema=False)
     return split_lines(lines, table)
 
 

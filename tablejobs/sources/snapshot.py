@@ -17,19 +17,25 @@ import re
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablejobs.descriptor import TableDescriptor
-from tablejobs.errors import SnapshotError
+from tablejobs.errors import FieldError, SnapshotError
 from tablejobs.operators.fields import lower_names, partition_filter
 from tablejobs.storage import glob, qualified_path
 
 # Fixed values of the change format.
 INSERT, UPDATE, DELETE = 0, 1, 2
 ROW_ID = ("orig_txn", "bucket", "row_id")
+EVENT = ("op", *ROW_ID, "txn", "data")
+
+# While rows are read, the columns of an event have names that no column of a table should have.
+INNER = "__"
+INNER_ROW_ID = tuple(INNER + name for name in ROW_ID)
 
 _FOLDER = re.compile(r"^(base|delta)_(\d+)(?:_(\d+))?")
 
@@ -60,6 +66,10 @@ class Snapshot:
 
 
 def change_schema(table: TableDescriptor) -> T.StructType:
+    """Columns of the change files of a table, without its partition columns."""
+    taken = [name for name in table.partition_names if name in EVENT]
+    if taken:
+        raise FieldError(f"{table.full_name}: partition columns of a transactional table cannot be {taken}")
     return T.StructType(
         [
             T.StructField("op", T.IntegerType()),
@@ -139,7 +149,7 @@ def _wanted(table: TableDescriptor, columns: Sequence[str] | None) -> list[str]:
     wanted = lower_names(columns)
     unknown = [name for name in wanted if name not in table.schema.names]
     if unknown:
-        raise SnapshotError(f"columns not in {table.full_name}: {unknown}")
+        raise FieldError(f"columns not in {table.full_name}: {unknown}")
     return [name for name in wanted if name in table.data_names]
 
 
@@ -167,9 +177,29 @@ def snapshot_read(
     ``row_id`` puts ``orig_txn, bucket, row_id`` in front, ``columns`` limits the columns read, and
     ``predicate`` selects partitions.
     """
-    root = qualified_path(spark, root)
-    keys = [*table.partition_names, *ROW_ID]
     names = _wanted(table, columns)
+    wanted_keys = table.partition_names if columns is None else lower_names(columns)
+    shown = names + [name for name in table.partition_names if name in wanted_keys]
+    taken = [name for name in shown if row_id and name in ROW_ID]
+    if taken:
+        raise FieldError(f"columns {taken} cannot be read beside the row id, leave them out")
+    rows = rows_with_id(spark, table, root, snapshot, names, predicate, broadcast_rows)
+    front = [F.col(INNER + name).alias(name) for name in ROW_ID] if row_id else []
+    return rows.select(*front, *[F.col(f"`{name}`") for name in shown])
+
+
+def rows_with_id(
+    spark: SparkSession,
+    table: TableDescriptor,
+    root: str,
+    snapshot: Snapshot,
+    names: Sequence[str],
+    predicate: str | None = None,
+    broadcast_rows: int = 1_000_000,
+) -> DataFrame:
+    """What ``snapshot_read`` reads: partition columns, row id under inner names, the named data columns."""
+    root = qualified_path(spark, root)
+    keys = [*table.partition_names, *INNER_ROW_ID]
     schema = T.StructType(
         [*change_schema(table), *(table.partition_schema if table.partitioned else ())]
     )
@@ -181,10 +211,12 @@ def snapshot_read(
     def read(paths: list[str]) -> DataFrame:
         reader = spark.read.schema(schema).option("basePath", root)
         df = reader.orc(paths) if paths else spark.createDataFrame([], schema)
-        return df if predicate is None else partition_filter(df, predicate, table.partition_names)
+        if predicate is not None:
+            df = partition_filter(df, predicate, table.partition_names)
+        return df.select(*[F.col(name).alias(INNER + name) for name in EVENT], *table.partition_names)
 
-    def rows(df: DataFrame, row: str) -> DataFrame:
-        return df.select(*keys, *_data(names, row))
+    def base_rows(paths: list[str]) -> DataFrame:
+        return read(paths).where(F.col("__op") != DELETE).select(*keys, *_data(names, "__data"))
 
     by_cut = defaultdict(list)
     for choice in choices:
@@ -192,45 +224,38 @@ def snapshot_read(
             by_cut[choice.cut].extend(delta.path for delta in choice.deltas)
     events = None
     for cut, paths in by_cut.items():
-        part = read(paths).where(snapshot.accepts(F.col("txn")))
-        part = part if cut is None else part.where(F.col("txn") > cut)
+        part = read(paths).where(snapshot.accepts(F.col("__txn")))
+        part = part if cut is None else part.where(F.col("__txn") > cut)
         events = part if events is None else events.unionByName(part)
 
     untouched = [c.base.path for c in choices if c.base and not c.deltas]
     touched = [c.base.path for c in choices if c.base and c.deltas]
     parts = []
     if untouched:
-        parts.append(rows(read(untouched).where(F.col("op") != DELETE), "data"))
+        parts.append(base_rows(untouched))
     if touched:
-        base = rows(read(touched).where(F.col("op") != DELETE), "data")
-        parts.append(_without(base, events, keys, broadcast_rows))
+        parts.append(_without(base_rows(touched), events, keys, broadcast_rows))
     if events is not None:
         parts.append(_newest(events, keys, names))
-    if not parts:
-        parts.append(rows(read([]), "data"))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    shown = names + [n for n in table.partition_names if columns is None or n in lower_names(columns)]
-    return result.select(*(ROW_ID if row_id else ()), *shown)
+    return reduce(DataFrame.unionByName, parts or [base_rows([])])
 
 
-def _newest(events: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+def _newest(events: DataFrame, keys: list[str], names: Sequence[str]) -> DataFrame:
     """The newest event per row id, without deletes. ``max_by`` is combined before the shuffle, so a row
     that was changed very often reaches the final task as a few rows only."""
-    event = F.struct("op", F.struct(*_data(names, "data")).alias("data"))
-    newest = events.groupBy(*keys).agg(F.max_by(event, "txn").alias("event"))
-    kept = newest.where(F.col("event.op") != DELETE)
-    return kept.select(*keys, *_data(names, "event.data"))
+    event = F.struct(F.col("__op").alias("op"), F.struct(*_data(names, "__data")).alias("data"))
+    newest = events.groupBy(*keys).agg(F.max_by(event, "__txn").alias("__event"))
+    kept = newest.where(F.col("__event.op") != DELETE)
+    return kept.select(*keys, *_data(names, "__event.data"))
 
 
 def _without(base: DataFrame, events: DataFrame, keys: list[str], broadcast_rows: int) -> DataFrame:
     """Base rows whose row id is in no event."""
     changed = events.select(*[F.col(key).alias(f"changed_{key}") for key in keys]).distinct()
-    few = events.select("txn").count() <= broadcast_rows
+    few = events.select("__txn").count() <= broadcast_rows
     same_row = [
         base[key] == changed[f"changed_{key}"]
-        if key in ROW_ID
+        if key in INNER_ROW_ID
         else base[key].eqNullSafe(changed[f"changed_{key}"])
         for key in keys
     ]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablejobs.descriptor import TableDescriptor
+from tablejobs.descriptor import LINE, TableDescriptor
 from tablejobs.errors import TableJobError
 
 # Fixed value of the text format.
@@ -27,23 +27,23 @@ def _typed(text: Column, data_type: T.DataType) -> Column:
 
 
 def split_lines(lines: DataFrame, table: TableDescriptor, typed: bool = True) -> DataFrame:
-    """Turn a frame with a ``value`` line column (and partition columns) into the table's rows.
+    """Turn a frame with a line column (and partition columns) into the table's rows.
 
     A line with too few fields gives nulls, a field that does not fit its type gives null.
     With ``typed=False`` the fields stay text.
     """
     pattern = re.sub(r"([^\w\s])", r"\\\1", table.delimiter)
-    parts = lines.select(F.split("value", pattern, -1).alias("parts"), *table.partition_names)
+    parts = lines.select(F.split(LINE, pattern, -1).alias("__parts"), *table.partition_names)
     fields = []
     for place, field in enumerate(table.data_schema):
-        text = F.nullif(F.get("parts", F.lit(place)), F.lit(NULL_TEXT))
+        text = F.nullif(F.get("__parts", F.lit(place)), F.lit(NULL_TEXT))
         fields.append((_typed(text, field.dataType) if typed else text).alias(field.name))
     return parts.select(*fields, *table.partition_names)
 
 
 def line_schema(table: TableDescriptor) -> T.StructType:
     keys = list(table.partition_schema) if table.partitioned else []
-    return T.StructType([T.StructField("value", T.StringType()), *keys])
+    return T.StructType([T.StructField(LINE, T.StringType()), *keys])
 
 
 def scan_text_table(

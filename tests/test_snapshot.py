@@ -99,6 +99,26 @@ def test_same_row_id_in_two_partitions_and_null_partition(spark):
     assert rows(keys) == [("Asia",), ("Europe",)]
 
 
+def test_columns_named_like_those_of_an_event(spark):
+    names = ("op", "bucket", "txn", "data", "event", "row_id", "region")
+    table = tj.TableDescriptor("log", names, ("string",) * 7, ("region",), transactional=True)
+    root = shared_folder(spark, "acid")
+    df = spark.createDataFrame([("GET", "b1", "t", "d", "e", "1", "EU"), ("PUT", "b2", "t", "d", "e", "2", "US")], list(names))
+    tj.write_base(tj.insert_events(df, table, 1, "row_id", "0"), table, root, 1)
+    tj.apply_changes(
+        spark, table, root, tj.Snapshot(1), 2, assign={"data": "concat(op, bucket)"}, update_where="bucket = 'b2'"
+    )
+    assert rows(tj.snapshot_read(spark, table, root, tj.Snapshot(2))) == [
+        ("GET", "b1", "t", "d", "e", "1", "EU"), ("PUT", "b2", "t", "PUTb2", "e", "2", "US")
+    ]
+    got = tj.snapshot_read(spark, table, root, tj.Snapshot(2), row_id=True, columns=["OP", "data"])
+    assert rows(got) == [(1, 0, 1, "GET", "d"), (1, 0, 2, "PUT", "PUTb2")]
+    with pytest.raises(FieldError):
+        tj.snapshot_read(spark, table, root, tj.Snapshot(2), row_id=True)
+    with pytest.raises(FieldError):
+        change_schema(tj.TableDescriptor("log", names, ("string",) * 7, ("bucket",)))
+
+
 def test_empty_folder_gives_no_rows(spark):
     assert rows(tj.snapshot_read(spark, PLAIN, shared_folder(spark, "acid"), tj.Snapshot(3))) == []
 

@@ -3,6 +3,7 @@ from conftest import rows
 
 import tablejobs as tj
 from tablejobs.errors import (
+    FieldError,
     TableHasDataError,
     TableJobError,
     TableMismatchError,
@@ -81,6 +82,13 @@ def test_strict_finds_another_place(spark, database):
         tj.validate_table(spark, keyed(database))
 
 
+def test_strict_compares_types_not_their_spelling(spark, database):
+    tj.create_table(spark, keyed(database, ("a", "b", "c"), ("integer", "long", "varchar(5)")))
+    tj.validate_table(spark, keyed(database, ("a", "b", "c"), ("INT", "bigint", "VARCHAR(5)")))
+    with pytest.raises(TableMismatchError):
+        tj.validate_table(spark, keyed(database, ("a", "b", "c"), ("INT", "bigint", "VARCHAR(6)")))
+
+
 def test_drop_removes_managed_files_and_keeps_external_ones(spark, database):
     df = spark.createDataFrame([("a",)], "key string")
     for location in (None, shared_folder(spark, "external")):
@@ -149,6 +157,23 @@ def test_modes(spark, database, storage):
         tj.write_table(frame(), table, "other")
 
 
+@pytest.mark.parametrize("storage", STORAGE)
+def test_rows_follow_the_columns_of_the_existing_table(spark, database, storage):
+    made = keyed(database, ("a", "b", "c"), ("string", "string", "int"), storage=storage, delimiter="|")
+    tj.create_table(spark, made)
+    df = spark.createDataFrame([("b1", "a1")], "b string, a string")
+    tj.write_table(df, keyed(database, ("b", "a"), ("string", "string"), storage=storage), "update")
+    tj.insert_into(df, made.full_name)
+    assert rows(tj.scan_table(spark, made.full_name)) == [("a1", "b1", None)] * 2
+
+
+def test_failed_replace_keeps_the_old_table(spark, database):
+    tj.write_table(spark.createDataFrame([("a",)], "key string"), keyed(database))
+    with pytest.raises(FieldError):
+        tj.write_table(spark.createDataFrame([("a",)], "other string"), keyed(database, ("key2",)), "replace")
+    assert rows(tj.scan_table(spark, f"{database}.mytable")) == [("a",)]
+
+
 def test_replace_gives_the_new_shape(spark, database):
     tj.write_table(spark.createDataFrame([("a",)], "key string"), keyed(database))
     wider = keyed(database, ("key", "n"), ("string", "int"), partition_keys=("n",), storage="parquet")

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import tablejobs as tj
-from tablejobs.errors import TableJobError
+from tablejobs.errors import FieldError, TableJobError
 from tablejobs.storage import shared_folder
 
 TYPES = {
@@ -85,6 +85,11 @@ def test_one_column_table_named_value(spark, database):
     assert rows(tj.scan_table(spark, table.full_name)) == [(7,), (None,)]
 
 
+def test_line_column_is_no_partition_column(spark):
+    with pytest.raises(FieldError):
+        tj.TableDescriptor("t", ("a", "VALUE"), ("string", "string"), ("value",))
+
+
 def test_sequence_file(spark):
     table = tj.TableDescriptor("t", ("a", "b"), ("string", "int"), storage="sequencefile")
     df = spark.createDataFrame([("x", 1), (None, 2), ("", None)], "a string, b int")
