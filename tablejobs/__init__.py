@@ -16,7 +16,7 @@ from tablejobs.operators.rows import (
 )
 from tablejobs.plans.metrics import StepMetrics
 from tablejobs.plans.steps import SqlStep, load_file, run_sql_steps
-from tablejobs.sinks.changes import apply_changes, insert_events, write_base, write_delta
+from tablejobs.sinks.changes import adopt_files, apply_changes, insert_events, write_base, write_delta
 from tablejobs.sinks.discard import discard
 from tablejobs.sinks.tables import (
     create_table,
@@ -37,7 +37,7 @@ from tablejobs.sources.tables import scan_at_location, scan_partitioned, scan_ta
 from tablejobs.sources.text import scan_text_table
 
 __all__ = [
-    "Snapshot", "SqlStep", "StepMetrics", "TableDescriptor", "align_to_table", "apply_changes",
+    "Snapshot", "SqlStep", "StepMetrics", "TableDescriptor", "adopt_files", "align_to_table", "apply_changes",
     "apply_filter", "apply_function", "check_contract", "copy_to_file", "copy_to_table",
     "create_table", "describe_table", "discard", "distinct_values", "drop_table", "filter_rows",
     "group_count", "insert_constant", "insert_events", "insert_into", "limit_rows", "load_file",

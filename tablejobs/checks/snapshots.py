@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import tablejobs as tj
 from tablejobs.checks.fixtures import describe, once, source
+from tablejobs.sinks.changes import PUBLIC_LAYOUT
+from tablejobs.sources.snapshot import DELETE
 from tablejobs.storage import shared_folder
 
 ROW_ID, BUCKET = "o_orderkey", "o_orderkey % 4"
@@ -122,6 +126,26 @@ def apply_changes(spark, sf_dir):
     return tj.snapshot_read(spark, table, root, tj.Snapshot(2))
 
 
+def adopt_files(spark, sf_dir):
+    """A base and a delta in the public ORC layout, taken over and read."""
+    df, table = _orders(spark, sf_dir, ("o_orderstatus",))
+    foreign, root = shared_folder(spark, "foreign"), shared_folder(spark, "orders")
+    for folder, events in (
+        ("base_0000001", tj.insert_events(df, table, 1, ROW_ID, BUCKET)),
+        (
+            "delta_0000002_0000002",
+            tj.insert_events(df.where("o_orderpriority = '5-LOW'"), table, 1, ROW_ID, BUCKET)
+            .withColumn("op", F.lit(DELETE))
+            .withColumn("txn", F.lit(2).cast("bigint")),
+        ),
+    ):
+        for status in ("F", "O", "P"):
+            part = events.where(F.col("o_orderstatus") == status).drop("o_orderstatus")
+            part.toDF(*PUBLIC_LAYOUT).write.orc(f"{foreign}/o_orderstatus={status}/{folder}")
+    tj.adopt_files(spark, table, foreign, root)
+    return tj.snapshot_read(spark, table, root, tj.Snapshot(2))
+
+
 _UPDATED = """
     SELECT {row_id} o_orderkey, {more}
            CASE WHEN o_orderpriority = '1-URGENT' THEN 'U' ELSE o_orderstatus END AS o_orderstatus {rest}
@@ -166,6 +190,13 @@ QUERIES = {
         snapshot_partition_filter,
         _CHANGED_PARTITIONS + " AND o_orderpriority >= '3-MEDIUM'",
     ),
+    "adopt_files": (
+        adopt_files,
+        """
+        SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, o_orderstatus
+        FROM orders WHERE o_orderpriority <> '5-LOW'
+        """,
+    ),
     "apply_changes": (
         apply_changes,
         """

@@ -36,6 +36,19 @@ def write_table_update(spark, sf_dir):
     return tj.scan_table(spark, table.full_name)
 
 
+def drop_table(spark, sf_dir):
+    """An external table is dropped: the rows stay at the declared place, a managed one leaves none."""
+    df = source(spark, sf_dir, "customer")
+    database = new_database(spark)
+    kept = describe(df, "kept", database=database, location=shared_folder(spark, "kept"))
+    gone = describe(df, "gone", database=database)
+    for table in (kept, gone):
+        tj.write_table(df, table)
+        tj.drop_table(spark, table)
+    tj.create_table(spark, gone)
+    return tj.scan_at_location(spark, kept).unionByName(tj.scan_at_location(spark, gone))
+
+
 def write_partitioned(spark, sf_dir):
     """Rows per partition, for the partitions the catalog knows."""
     df = source(spark, sf_dir, "lineitem")
@@ -255,6 +268,7 @@ QUERIES = {
         write_table_update,
         "SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'O'",
     ),
+    "drop_table": (drop_table, "SELECT * FROM customer"),
     "write_partitioned": (
         write_partitioned,
         """

@@ -6,7 +6,7 @@ import warnings
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +23,7 @@ def lower_names(names: Sequence[str]) -> list[str]:
     return lower
 
 
-def column(df: DataFrame, name: str):
+def column(df: DataFrame, name: str) -> Column:
     """A column by its plain name, whatever characters the name has."""
     return df[f"`{name.replace('`', '``')}`"]
 
@@ -64,6 +64,14 @@ def partition_filter(df: DataFrame, predicate: str, partition_names: Sequence[st
     return df.where(predicate)
 
 
+def fitted(value: Column, data_type: T.DataType, what: str) -> Column:
+    """A value as another type. One that does not fit is an error, whatever the session's cast rules."""
+    cast = value.try_cast(data_type)
+    message = F.concat(F.lit(f"{what} does not fit {data_type.simpleString()}: "), value.cast("string"))
+    wrong = F.raise_error(message).cast(data_type)
+    return F.when(value.isNotNull() & cast.isNull(), wrong).otherwise(cast)
+
+
 def align_to_table(df: DataFrame, table: TableDescriptor) -> DataFrame:
     """Bring rows into the shape of a table: its columns, its order, its types.
 
@@ -84,6 +92,6 @@ def align_to_table(df: DataFrame, table: TableDescriptor) -> DataFrame:
         else:
             value = column(df, known[field.name])
             if df.schema[known[field.name]].dataType != field.dataType:
-                value = value.cast(field.dataType)
+                value = fitted(value, field.dataType, f"column '{field.name}'")
         shaped.append(value.alias(field.name))
     return df.select(shaped)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections import defaultdict
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablejobs.descriptor import TableDescriptor
 from tablejobs.errors import FieldError, SnapshotError
-from tablejobs.operators.fields import align_to_table
+from tablejobs.operators.fields import align_to_table, fitted
 from tablejobs.sinks.tables import rebalanced
 from tablejobs.sources.snapshot import (
     DELETE,
@@ -20,10 +23,15 @@ from tablejobs.sources.snapshot import (
     UPDATE,
     Snapshot,
     change_schema,
+    list_folders,
     rows_with_id,
 )
 from tablejobs.storage import exists, glob, move, qualified_path, remove
 
+# The columns of the public layout, in the order of ours, and a null in a partition path.
+PUBLIC_LAYOUT = ("operation", "originalTransaction", "bucket", "rowId", "currentTransaction", "row")
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def insert_events(
     df: DataFrame, table: TableDescriptor, txn: int, row_id: Column | str, bucket: Column | str
@@ -131,12 +139,13 @@ def apply_changes(
 
     deleted = expression("false" if delete_where is None else delete_where)
     updated = expression("true" if update_where is None else update_where) if assign else F.lit(False)
-    row = F.struct(
-        *[
-            expression(assign.get(f.name, F.col(f"`{f.name}`"))).cast(f.dataType).alias(f.name)
-            for f in table.data_schema
-        ]
-    )
+
+    def new_value(field: T.StructField) -> Column:
+        if field.name not in assign:
+            return F.col(f"`{field.name}`")
+        return fitted(expression(assign[field.name]), field.dataType, f"value of '{field.name}'")
+
+    row = F.struct(*[new_value(field).alias(field.name) for field in table.data_schema])
     # The plain condition reaches the scan. A delete alone then reads the columns it tests, no others.
     op = F.when(deleted, F.lit(DELETE)).otherwise(F.lit(UPDATE))
     changed = rows_with_id(spark, table, root, snapshot, table.data_names).where(deleted | updated)
@@ -149,3 +158,37 @@ def apply_changes(
     )
     # One event per row id by construction: the snapshot holds each row id once.
     write_delta(events, table, root, txn, check=False)
+
+
+def _path_value(name: str, data_type: T.DataType) -> Column:
+    """The value of a partition column, taken from the path of the file a row comes from."""
+
+    def decoded(text: Column) -> Column:
+        return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+    # Once for the address of the file, once for the characters a folder name cannot have.
+    text = decoded(decoded(F.regexp_extract(F.input_file_name(), f"/{re.escape(name)}=([^/]*)/", 1)))
+    return F.nullif(text, F.lit(NULL_PARTITION)).cast(data_type).alias(name)
+
+
+def adopt_files(spark: SparkSession, table: TableDescriptor, source: str, root: str) -> None:
+    """Copy a transactional table in the public ORC layout into one that ``snapshot_read`` reads.
+
+    Spark cannot read some columns of such files without the others, nor partition columns beside them,
+    so each base and delta is read whole, once, and written again with other column names. ``table``
+    describes rows and partitions.
+    """
+    ours = change_schema(table)
+    public = T.StructType([T.StructField(name, f.dataType) for name, f in zip(PUBLIC_LAYOUT, ours)])
+    keys = [_path_value(f.name, f.dataType) for f in (table.partition_schema if table.partitioned else ())]
+    by_name = defaultdict(list)
+    for folders in list_folders(spark, table, qualified_path(spark, source)).values():
+        for folder in folders:
+            by_name[folder.kind, folder.low, folder.high].append(folder.path)
+    for (kind, low, high), paths in sorted(by_name.items()):
+        whole = spark.read.schema(public).option("recursiveFileLookup", "true").orc(paths)
+        events = whole.toDF(*ours.names).select("*", *keys)
+        if kind == "base":
+            write_base(events, table, root, high)
+        else:
+            write_delta(events, table, root, low, high)

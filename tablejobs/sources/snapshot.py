@@ -104,7 +104,8 @@ class _Choice:
         return self.base.high if reaches_across else None
 
 
-def _folders(spark: SparkSession, table: TableDescriptor, root: str) -> dict[str, list[_Folder]]:
+def list_folders(spark: SparkSession, table: TableDescriptor, root: str) -> dict[str, list[_Folder]]:
+    """Base and delta folders of each partition folder."""
     levels = "".join(f"{name}=*/" for name in table.partition_names)
     found = defaultdict(list)
     for path in glob(spark, f"{root}/{levels}{{base,delta}}_*"):
@@ -205,7 +206,7 @@ def rows_with_id(
     )
     choices = [
         _choose(partition, folders, snapshot)
-        for partition, folders in _folders(spark, table, root).items()
+        for partition, folders in list_folders(spark, table, root).items()
     ]
 
     def read(paths: list[str]) -> DataFrame:

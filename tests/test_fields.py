@@ -71,3 +71,17 @@ def test_alignment_converts_types(spark):
 def test_alignment_refuses(spark, columns):
     with pytest.raises(FieldError):
         tj.align_to_table(spark.createDataFrame([], columns), TABLE)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_alignment_never_loses_a_value(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([("seven", "x")], "bar string, baz string")
+        with pytest.raises(Exception, match="does not fit int"):
+            tj.align_to_table(df, TABLE).collect()
+        big = spark.createDataFrame([(2**40, "x")], "bar bigint, baz string")
+        with pytest.raises(Exception, match="does not fit int"):
+            tj.align_to_table(big, TABLE).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

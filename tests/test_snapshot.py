@@ -7,8 +7,9 @@ from conftest import rows
 
 import tablejobs as tj
 from tablejobs.errors import FieldError, SnapshotError, TransactionalTableError
+from tablejobs.sinks.changes import PUBLIC_LAYOUT
 from tablejobs.sources.snapshot import DELETE, INSERT, UPDATE, _choose, _Folder, change_schema
-from tablejobs.storage import exists, glob, shared_folder
+from tablejobs.storage import exists, glob, move, shared_folder
 
 PLAIN = tj.TableDescriptor("acid", ("id", "msg"), ("int", "string"), transactional=True)
 PARTITIONED = tj.TableDescriptor(
@@ -119,6 +120,25 @@ def test_columns_named_like_those_of_an_event(spark):
         change_schema(tj.TableDescriptor("log", names, ("string",) * 7, ("bucket",)))
 
 
+def test_adopting_files_of_the_public_layout(spark):
+    """Partition values with characters that paths cannot hold, and a null one."""
+    places = [("Asia", "50% a+b/c=d"), ("Asia", None), ("Süd Ost", "India")]
+    foreign, root = shared_folder(spark, "foreign"), shared_folder(spark, "acid")
+    staged = shared_folder(spark, "staged")
+    made = events(
+        spark, PARTITIONED, [(INSERT, (1, 0, i), 1, (i, f"row {i}"), *p) for i in range(2) for p in places]
+    )
+    gone = events(spark, PARTITIONED, [(DELETE, (1, 0, 0), 2, None, *p) for p in places[1:]])
+    for name, df in (("base_0000001", made), ("delta_0000002_0000002", gone)):
+        df.toDF(*PUBLIC_LAYOUT, "continent", "country").write.partitionBy("continent", "country").orc(f"{staged}/{name}")
+        for folder in glob(spark, f"{staged}/{name}/*/*"):
+            move(spark, folder, f"{foreign}/{'/'.join(folder.split('/')[-2:])}/{name}")
+    tj.adopt_files(spark, PARTITIONED, foreign, root)
+    got = tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(2))
+    assert rows(got) == sorted([(0, "row 0", *places[0]), *[(1, "row 1", *p) for p in places]], key=repr)
+    assert len(rows(tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(1)))) == 6
+
+
 def test_empty_folder_gives_no_rows(spark):
     assert rows(tj.snapshot_read(spark, PLAIN, shared_folder(spark, "acid"), tj.Snapshot(3))) == []
 
