@@ -34,12 +34,12 @@ from tablejobs.sources.inputs import query_inputs
 from tablejobs.sources.sequence import scan_sequence_table, write_sequence_table
 from tablejobs.sources.snapshot import Snapshot, snapshot_read
 from tablejobs.sources.tables import scan_at_location, scan_partitioned, scan_table, table_location
-from tablejobs.sources.text import scan_text_table
+from tablejobs.sources.text import create_text_view, scan_text_table
 
 __all__ = [
     "Snapshot", "SqlStep", "StepMetrics", "TableDescriptor", "adopt_files", "align_to_table", "apply_changes",
     "apply_filter", "apply_function", "check_contract", "copy_to_file", "copy_to_table",
-    "create_table", "describe_table", "discard", "distinct_values", "drop_table", "filter_rows",
+    "create_table", "create_text_view", "describe_table", "discard", "distinct_values", "drop_table", "filter_rows",
     "group_count", "insert_constant", "insert_events", "insert_into", "limit_rows", "load_file",
     "map_columns", "order_rows", "partition_filter", "project_fields", "query_inputs",
     "register_partitions", "remove_partitions", "run_sql_steps", "scan_at_location",

@@ -48,8 +48,9 @@ def as_stored(data_type: T.DataType) -> T.DataType:
 class TableDescriptor:
     """Declared shape of a table. Names and types are matched without regard to case.
 
-    ``storage`` is a Spark format (``text``, ``orc``, ``parquet``, ``json``) or, in a session with a
-    Hive catalog, ``sequencefile``, ``avro`` or ``textfile``. ``delimiter`` belongs to text storage.
+    ``storage`` is a Spark format (``orc``, ``parquet``, ``json``, ``text``) or, in a session with a Hive
+    catalog, ``textfile``, ``sequencefile`` or ``avro``. Left out, it is ``text`` if a delimiter is given
+    and ``orc`` otherwise. Tables of delimited text have the delimiter ``\\1`` unless another is given.
     """
 
     table: str
@@ -58,7 +59,7 @@ class TableDescriptor:
     partition_keys: tuple[str, ...] = ()
     database: str | None = DEFAULT_DATABASE
     delimiter: str | None = None
-    storage: str = "text"
+    storage: str | None = None
     location: str | None = None
     transactional: bool = False
     buckets: int = 0
@@ -72,7 +73,8 @@ class TableDescriptor:
             object.__setattr__(self, field, tuple(getattr(self, field) or ()))
         object.__setattr__(self, "table", self.table.lower())
         object.__setattr__(self, "database", (self.database or DEFAULT_DATABASE).lower())
-        object.__setattr__(self, "storage", self.storage.lower())
+        storage = self.storage or ("orc" if self.delimiter is None else "text")
+        object.__setattr__(self, "storage", storage.lower())
         if self.delimiter is None and self.storage in ("text", "textfile", "sequencefile"):
             object.__setattr__(self, "delimiter", DEFAULT_DELIMITER)
         lower = [name.lower() for name in self.names]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,19 +15,33 @@ from tablejobs.operators.fields import column
 from tablejobs.sources.text import NULL_TEXT
 
 
+# What numbers, dates, flags and base64 text can be made of.
+_VALUE_CHARACTERS = re.compile(r"[\w+./:= -]")
+
+
+def _splits(text: Column, delimiter: str) -> Column:
+    """Would a reader see the delimiter before the end of this text?"""
+    if len(delimiter) == 1:
+        return text.contains(delimiter)
+    return F.instr(F.concat(text, F.lit(delimiter)), delimiter) != F.length(text) + 1
+
+
 def _field_text(df: DataFrame, field: T.StructField, delimiter: str) -> Column:
     value = column(df, field.name)
     if isinstance(field.dataType, T.BinaryType):
-        return F.base64(value)
-    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        text = F.base64(value)
+        unsafe = text.contains("\n")
+    elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
         raise TableJobError(f"text tables hold scalar columns only: {field.name}")
-    if not isinstance(field.dataType, T.StringType):
-        return value.cast("string")
-    unsafe = (
-        value.contains(delimiter) | value.contains("\n") | value.contains("\r") | (value == NULL_TEXT)
-    )
+    elif isinstance(field.dataType, T.StringType):
+        text, unsafe = value, value.contains("\n") | value.contains("\r") | (value == NULL_TEXT)
+    else:
+        text, unsafe = value.cast("string"), F.lit(False)
+        if not _VALUE_CHARACTERS.search(delimiter):
+            return text
     message = f"column '{field.name}' holds the delimiter, a line break or the null mark"
-    return F.when(unsafe, F.raise_error(F.lit(message)).cast("string")).otherwise(value)
+    refused = F.raise_error(F.lit(message)).cast("string")
+    return F.when(unsafe | _splits(text, delimiter), refused).otherwise(text)
 
 
 def join_fields(
@@ -34,8 +49,10 @@ def join_fields(
 ) -> DataFrame:
     """One line per row, partition columns kept beside it.
 
-    A text value that would not read back the same stops the job with an error.
+    A value that would not read back the same stops the job with an error.
     """
+    if delimiter in NULL_TEXT or "\n" in delimiter or "\r" in delimiter:
+        raise TableJobError(f"text fields cannot be divided by {delimiter!r}")
     fields = [
         F.coalesce(_field_text(df, field, delimiter), F.lit(NULL_TEXT))
         for field in df.schema

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablejobs.descriptor import LINE, TableDescriptor
+from tablejobs.descriptor import DEFAULT_DELIMITER, LINE, TableDescriptor
 from tablejobs.sinks.text import join_fields
 from tablejobs.sources.text import split_lines
 
@@ -22,5 +22,5 @@ def scan_sequence_table(spark: SparkSession, table: TableDescriptor, path: str)
 def write_sequence_table(
     df: DataFrame, table: TableDescriptor, path: str, codec: str | None = None
 ) -> None:
-    lines = join_fields(df, table.delimiter)
+    lines = join_fields(df, table.delimiter or DEFAULT_DELIMITER)
     lines.rdd.map(lambda row: (None, row[0])).saveAsSequenceFile(path, codec)

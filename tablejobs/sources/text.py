@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablejobs.descriptor import LINE, TableDescriptor
+from tablejobs.descriptor import DEFAULT_DELIMITER, LINE, TableDescriptor, look_up
 from tablejobs.errors import TableJobError
+from tablejobs.storage import literal, quoted
 
 # Fixed value of the text format.
 NULL_TEXT = "\\N"
@@ -26,14 +27,17 @@ def _typed(text: Column, data_type: T.DataType) -> Column:
     return text.try_cast(data_type)
 
 
+def _pattern(table: TableDescriptor) -> str:
+    return re.sub(r"([^\w\s])", r"\\\1", table.delimiter or DEFAULT_DELIMITER)
+
+
 def split_lines(lines: DataFrame, table: TableDescriptor, typed: bool = True) -> DataFrame:
     """Turn a frame with a line column (and partition columns) into the table's rows.
 
     A line with too few fields gives nulls, a field that does not fit its type gives null.
     With ``typed=False`` the fields stay text.
     """
-    pattern = re.sub(r"([^\w\s])", r"\\\1", table.delimiter)
-    parts = lines.select(F.split(LINE, pattern, -1).alias("__parts"), *table.partition_names)
+    parts = lines.select(F.split(LINE, _pattern(table), -1).alias("__parts"), *table.partition_names)
     fields = []
     for place, field in enumerate(table.data_schema):
         text = F.nullif(F.get("__parts", F.lit(place)), F.lit(NULL_TEXT))
@@ -41,6 +45,27 @@ def split_lines(lines: DataFrame, table: TableDescriptor, typed: bool = True) ->
     return parts.select(*fields, *table.partition_names)
 
 
+def create_text_view(spark: SparkSession, name: str, view: str) -> None:
+    """A view through which SQL sees the rows of a delimited text table instead of its lines."""
+    table = look_up(spark, name).descriptor
+    fields = []
+    for place, field in enumerate(table.data_schema):
+        text = f"nullif(get(__parts, {place}), {literal(NULL_TEXT)})"
+        kind = field.dataType
+        _typed(F.lit(None), kind)  # refuses what text cannot hold
+        if isinstance(kind, T.BinaryType):
+            text = f"try_to_binary({text}, 'base64')"
+        elif not isinstance(kind, T.StringType):
+            text = f"try_cast({text} AS {kind.simpleString()})"
+        fields.append(f"{text} AS {quoted(field.name)}")
+    keys = [quoted(key) for key in table.partition_names]
+    parts = f"split({quoted(LINE)}, {literal(_pattern(table))}, -1) AS __parts"
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {quoted(view)} AS SELECT {', '.join(fields + keys)} "
+        f"FROM (SELECT {', '.join([parts, *keys])} FROM {quoted(table.full_name)})"
+    )
+
+
 def line_schema(table: TableDescriptor) -> T.StructType:
     keys = list(table.partition_schema) if table.partitioned else []
     return T.StructType([T.StructField(LINE, T.StringType()), *keys])

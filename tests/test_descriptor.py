@@ -92,10 +92,12 @@ def test_unpartitioned_table_has_no_partition_schema(spark):
         TableDescriptor("t", ONE, TYPES).partition_schema
 
 
-def test_delimiter():
-    assert TableDescriptor("t", ONE, TYPES).delimiter == "\x01"
-    assert TableDescriptor("t", ONE, TYPES, delimiter="\t").delimiter == "\t"
-    assert TableDescriptor("t", ONE, TYPES, storage="orc").delimiter is None
+def test_delimiter_and_storage():
+    assert TableDescriptor("t", ONE, TYPES, storage="TEXT").delimiter == "\x01"
+    tab = TableDescriptor("t", ONE, TYPES, delimiter="\t")
+    assert (tab.delimiter, tab.storage) == ("\t", "text")
+    plain = TableDescriptor("t", ONE, TYPES)
+    assert (plain.delimiter, plain.storage) == (None, "orc")
 
 
 def test_location():
