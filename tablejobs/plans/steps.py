@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablejobs.descriptor import TableDescriptor
 from tablejobs.errors import SqlStepError, TableJobError
+from tablejobs.plans.metrics import StepMetrics
 from tablejobs.sinks.discard import discard
 from tablejobs.sinks.tables import create_table, write_table
 from tablejobs.sources.text import scan_text_table
@@ -21,18 +22,23 @@ def run_sql_steps(
     statements: Sequence[str],
     keep_results: bool = False,
     store_results: bool = True,
+    metrics: StepMetrics | None = None,
+    group: str = "sql",
 ) -> list[DataFrame | None] | None:
     """Run statements in order and stop at the first that fails.
 
     Without ``keep_results`` the rows of a query are computed and dropped. With it they are returned as
     frames, and a statement without rows (a command) gives ``None``. The rows are stored in the shared
     folder as they are at that moment; ``store_results=False`` spares that copy for steps whose later
-    statements do not change what the query reads.
+    statements do not change what the query reads. ``metrics`` counts the rows of each query that is
+    computed here.
     """
     results = []
     for statement in statements:
         try:
             rows = spark.sql(statement)
+            if metrics is not None and rows.columns and (store_results or not keep_results):
+                rows = metrics.count(rows, group)
             if not rows.columns:
                 rows = None
             elif keep_results and store_results:
@@ -68,8 +74,13 @@ class SqlStep:
             object.__setattr__(self, "statements", (self.statements,))
 
     def run(
-        self, spark: SparkSession, keep_results: bool = False, store_results: bool = True
+        self,
+        spark: SparkSession,
+        keep_results: bool = False,
+        store_results: bool = True,
+        metrics: StepMetrics | None = None,
     ) -> list[DataFrame | None] | None:
+        """Run the statements as ``run_sql_steps`` does. Counters are in the group of the step's name."""
         session = spark.newSession()
         inherited = {k: v for k, v in spark.conf.getAll.items() if spark.conf.isModifiable(k)}
         for key, value in {**inherited, **(self.settings or {})}.items():
@@ -77,7 +88,9 @@ class SqlStep:
         if self.sink is not None:
             create_table(session, self.sink)
         try:
-            results = run_sql_steps(session, self.statements, keep_results, store_results)
+            results = run_sql_steps(
+                session, self.statements, keep_results, store_results, metrics, self.name
+            )
             if self.sink is not None:
                 create_table(session, self.sink)
             return results

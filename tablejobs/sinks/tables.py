@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,8 +128,7 @@ def write_table(
 
     ``keep`` refuses a table that holds rows, ``update`` adds rows, ``replace`` leaves only the new rows
     (and the new shape, if the descriptor differs), ``replace_partitions`` swaps the partitions that
-    the new rows touch. A ``replace`` with a new shape drops the old table first, so the rows must not
-    come from it. ``watch`` may attach counters to the rows as they go to the files.
+    the new rows touch. Rows cannot replace the table they are read from. ``watch`` may attach counters to the rows as they go to the files.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -137,7 +138,10 @@ def write_table(
         validate_table(spark, table)
     if mode == "replace" and spark.catalog.tableExists(table.full_name):
         align_to_table(df, table)  # an error must come before the old table goes
-        if not _same_shape(spark, look_up(spark, table.full_name).descriptor, table):
+        found = look_up(spark, table.full_name).descriptor
+        if not _same_shape(spark, found, table):
+            if _reads_below(df, found.location):
+                raise TableJobError(f"rows read from {table.full_name} cannot replace it by another shape")
             drop_table(spark, table)
     create_table(spark, table)
     if mode == "keep" and _holds_rows(spark, table):
@@ -148,6 +152,14 @@ def write_table(
     _insert(watch(rows) if watch else rows, table, mode, options)
 
 
+def _reads_below(df: DataFrame, location: str) -> bool:
+    def bare(address: str) -> str:
+        return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", address)
+
+    folder = bare(location).rstrip("/") + "/"
+    return any(bare(unquote(address)).startswith(folder) for address in df.inputFiles())
+
+
 def _shaped(df: DataFrame, table: TableDescriptor, rebalance: bool) -> DataFrame:
     """Rows as the files of a table take them."""
     rows = _no_empty_keys(align_to_table(df, table), table)

@@ -1,4 +1,4 @@
-"""Snapshot reads: the known cases, and random histories against a plain simulation."""
+"""Snapshot reads: the known cases, and random histories against a plain loop."""
 
 import random
 
@@ -221,7 +221,7 @@ def test_plain_scan_of_a_transactional_table_is_refused(spark, database):
         tj.scan_table(spark, f"{database}.a")
 
 
-def simulate(history, snapshot):
+def expected_rows(history, snapshot):
     """Newest accepted event per row, deletes left out."""
     newest = {}
     for op, key, txn, row, *part in history:
@@ -267,7 +267,7 @@ def test_random_histories(spark, seed):
     folded = [
         (INSERT, row[:3], max(e[2] for e in history if e[1] == row[:3] and tuple(e[4:]) == row[5:]
                               and e[2] <= compacted), row[3:5], *row[5:])
-        for row in simulate(history, tj.Snapshot(compacted))
+        for row in expected_rows(history, tj.Snapshot(compacted))
     ]
     tj.write_base(events(spark, table, folded), table, root, compacted)
     for snapshot in (
@@ -282,4 +282,4 @@ def test_random_histories(spark, seed):
                 # without a base nothing proves that they are all there.
                 assert table.partitioned and not snapshot.accepts_base(compacted)
                 continue
-            assert rows(got) == simulate(history, snapshot), (seed, snapshot)
+            assert rows(got) == expected_rows(history, snapshot), (seed, snapshot)

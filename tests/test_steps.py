@@ -144,6 +144,15 @@ def test_counters_are_summed(spark):
     assert metrics.as_dict(spark) == {"read": {"rows": 7, "total": 9}, "write": {"rows": 5}}
 
 
+def test_counters_of_statements(spark):
+    metrics = tj.StepMetrics()
+    for name, n in (("a", 3), ("b", 4), ("a", 5)):
+        step = tj.SqlStep(name, ["SET x=1", f"SELECT * FROM range({n})", f"SELECT * FROM range({n})"], ["none"])
+        step.run(spark, keep_results=n == 4, metrics=metrics)
+    found = metrics.as_dict(spark)
+    assert found == {"a": {"rows": 18}, "b": {"rows": 9}}
+
+
 def test_discard_counts(spark):
     assert tj.discard(spark.range(10)) == 10
     assert tj.discard(spark.range(0)) == 0

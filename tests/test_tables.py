@@ -167,6 +167,18 @@ def test_rows_follow_the_columns_of_the_existing_table(spark, database, storage)
     assert rows(tj.scan_table(spark, made.full_name)) == [("a1", "b1", None)] * 2
 
 
+@pytest.mark.parametrize("storage", STORAGE)
+def test_rows_cannot_replace_their_own_table(spark, database, storage):
+    table = keyed(database, ("a", "p"), ("string", "string"), partition_keys=("p",), storage=storage)
+    tj.write_table(spark.createDataFrame([("1", "x y")], "a string, p string"), table)
+    mine = tj.scan_table(spark, table.full_name)
+    with pytest.raises(Exception, match="(?i)overwrite"):
+        tj.write_table(mine, table, "replace")
+    with pytest.raises(TableJobError, match="cannot replace"):
+        tj.write_table(mine, keyed(database, ("a", "p"), ("string", "string"), storage=storage), "replace")
+    assert rows(tj.scan_table(spark, table.full_name)) == [("1", "x y")]
+
+
 def test_failed_replace_keeps_the_old_table(spark, database):
     tj.write_table(spark.createDataFrame([("a",)], "key string"), keyed(database))
     with pytest.raises(FieldError):
