@@ -32,10 +32,10 @@ def apply_function(
 def apply_filter(
     df: DataFrame, keep: Callable[..., pd.Series], inputs: Sequence[str]
 ) -> DataFrame:
-    """Keep the rows for which a function from pandas series gives true."""
+    """Keep the rows for which a function from pandas series gives true (not false, not null)."""
 
     def call(*batch: pd.Series) -> pd.Series:
-        return keep(*batch).astype(bool)
+        return keep(*batch).eq(True).fillna(False).astype(bool)
 
     wanted = F.pandas_udf(call, "boolean")
     return df.where(wanted(*[F.col(name) for name in inputs]))

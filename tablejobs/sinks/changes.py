@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections import defaultdict
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tablejobs.descriptor import TableDescriptor
 from tablejobs.errors import FieldError, SnapshotError
 from tablejobs.operators.fields import align_to_table, fitted
-from tablejobs.sinks.tables import rebalanced
+from tablejobs.sinks.tables import no_empty_keys, rebalanced
 from tablejobs.sources.snapshot import (
     DELETE,
     INNER,
@@ -26,11 +26,10 @@ from tablejobs.sources.snapshot import (
     list_folders,
     rows_with_id,
 )
-from tablejobs.storage import exists, glob, move, qualified_path, remove
+from tablejobs.storage import decoded, exists, glob, move, partition_value, qualified_path, remove
 
-# The columns of the public layout, in the order of ours, and a null in a partition path.
+# The columns of the public layout, in the order of ours.
 PUBLIC_LAYOUT = ("operation", "originalTransaction", "bucket", "rowId", "currentTransaction", "row")
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def insert_events(
@@ -60,15 +59,22 @@ def _write_folder(
         raise SnapshotError(f"{root}: {name} is there already")
     staging = f"{root}/_staging_{uuid.uuid4().hex}"
     seen = Observation()
-    rows = events.select(*change_schema(table).names, *table.partition_names)
+    rows = no_empty_keys(events.select(*change_schema(table).names, *table.partition_names), table)
+    unnamed = reduce(Column.__or__, [F.col(column).isNull() for column in ("op", *ROW_ID, "txn")])
     rows = rebalanced(rows, table.partition_names).observe(
-        seen, F.min("txn").alias("first"), F.max("txn").alias("last")
+        seen,
+        F.min("txn").alias("first"),
+        F.max("txn").alias("last"),
+        F.max(unnamed).alias("unnamed"),
     )
     rows.write.partitionBy(*table.partition_names).orc(staging)
-    first, last = seen.get["first"], seen.get["last"]
-    if first is not None and not (low <= first and last <= high):
+    found = seen.get
+    if found["unnamed"]:
         remove(spark, staging)
-        raise SnapshotError(f"{name} holds transactions {first} to {last}")
+        raise SnapshotError(f"{name} holds an event without operation, row id or transaction")
+    if found["first"] is not None and not (low <= found["first"] and found["last"] <= high):
+        remove(spark, staging)
+        raise SnapshotError(f"{name} holds transactions {found['first']} to {found['last']}")
     if check:
         written = spark.read.schema(events.select(*table.partition_names, *ROW_ID, "txn").schema).orc(staging)
         version = [*table.partition_names, *ROW_ID, *(() if name.startswith("base") else ("txn",))]
@@ -160,17 +166,6 @@ def apply_changes(
     write_delta(events, table, root, txn, check=False)
 
 
-def _path_value(name: str, data_type: T.DataType) -> Column:
-    """The value of a partition column, taken from the path of the file a row comes from."""
-
-    def decoded(text: Column) -> Column:
-        return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
-
-    # Once for the address of the file, once for the characters a folder name cannot have.
-    text = decoded(decoded(F.regexp_extract(F.input_file_name(), f"/{re.escape(name)}=([^/]*)/", 1)))
-    return F.nullif(text, F.lit(NULL_PARTITION)).cast(data_type).alias(name)
-
-
 def adopt_files(spark: SparkSession, table: TableDescriptor, source: str, root: str) -> None:
     """Copy a transactional table in the public ORC layout into one that ``snapshot_read`` reads.
 
@@ -180,7 +175,9 @@ def adopt_files(spark: SparkSession, table: TableDescriptor, source: str, root:
     """
     ours = change_schema(table)
     public = T.StructType([T.StructField(name, f.dataType) for name, f in zip(PUBLIC_LAYOUT, ours)])
-    keys = [_path_value(f.name, f.dataType) for f in (table.partition_schema if table.partitioned else ())]
+    # Names of files come as addresses, in which the characters of a path are encoded once more.
+    file = decoded(F.input_file_name())
+    keys = [partition_value(file, field) for field in (table.partition_schema if table.partitioned else ())]
     by_name = defaultdict(list)
     for folders in list_folders(spark, table, qualified_path(spark, source)).values():
         for folder in folders:

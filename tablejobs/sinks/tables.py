@@ -97,8 +97,8 @@ def rebalanced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *keys) if keys and adaptive else df
 
 
-def _no_empty_keys(df: DataFrame, table: TableDescriptor) -> DataFrame:
-    # Spark stores an empty partition value as null, which would change the row.
+def no_empty_keys(df: DataFrame, table: TableDescriptor) -> DataFrame:
+    """Refuse empty partition values: Spark stores them as null, which would change the row."""
     for name in table.partition_names:
         if isinstance(df.schema[name].dataType, T.StringType):
             message = F.lit(f"partition column '{name}' holds an empty string")
@@ -162,7 +162,7 @@ def _reads_below(df: DataFrame, location: str) -> bool:
 
 def _shaped(df: DataFrame, table: TableDescriptor, rebalance: bool) -> DataFrame:
     """Rows as the files of a table take them."""
-    rows = _no_empty_keys(align_to_table(df, table), table)
+    rows = no_empty_keys(align_to_table(df, table), table)
     if table.storage == "text":
         rows = join_fields(rows, table.delimiter, table.partition_names)
     return rebalanced(rows, table.partition_names) if rebalance else rows

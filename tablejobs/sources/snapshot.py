@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from tablejobs.descriptor import TableDescriptor
 from tablejobs.errors import FieldError, SnapshotError
 from tablejobs.operators.fields import lower_names, partition_filter
-from tablejobs.storage import glob, qualified_path
+from tablejobs.storage import glob, partition_value, qualified_path
 
 # Fixed values of the change format.
 INSERT, UPDATE, DELETE = 0, 1, 2
@@ -118,6 +118,16 @@ def list_folders(spark: SparkSession, table: TableDescriptor, root: str) -> dict
     return found
 
 
+def _selected(
+    spark: SparkSession, table: TableDescriptor, folders: dict[str, list[_Folder]], predicate: str
+) -> dict[str, list[_Folder]]:
+    """The partition folders a predicate selects, so that no other is listed or opened."""
+    known = spark.createDataFrame([(path,) for path in folders], "__folder string")
+    keys = [partition_value(F.col("__folder"), f) for f in (table.partition_schema if table.partitioned else ())]
+    kept = partition_filter(known.select("__folder", *keys), predicate, table.partition_names)
+    return {row["__folder"]: folders[row["__folder"]] for row in kept.select("__folder").collect()}
+
+
 def _reaches(deltas: Iterable[_Folder], last: int) -> bool:
     """Do the deltas hold every transaction from the first to ``last``?"""
     covered = 0
@@ -176,7 +186,7 @@ def snapshot_read(
     ``broadcast_rows`` of them (each 20 bytes plus partition values); beyond that Spark joins by shuffle.
 
     ``row_id`` puts ``orig_txn, bucket, row_id`` in front, ``columns`` limits the columns read, and
-    ``predicate`` selects partitions.
+    ``predicate`` selects partitions before their files are listed.
     """
     names = _wanted(table, columns)
     wanted_keys = table.partition_names if columns is None else lower_names(columns)
@@ -204,16 +214,14 @@ def rows_with_id(
     schema = T.StructType(
         [*change_schema(table), *(table.partition_schema if table.partitioned else ())]
     )
-    choices = [
-        _choose(partition, folders, snapshot)
-        for partition, folders in list_folders(spark, table, root).items()
-    ]
+    folders = list_folders(spark, table, root)
+    if predicate is not None:
+        folders = _selected(spark, table, folders, predicate)
+    choices = [_choose(partition, found, snapshot) for partition, found in folders.items()]
 
     def read(paths: list[str]) -> DataFrame:
         reader = spark.read.schema(schema).option("basePath", root)
         df = reader.orc(paths) if paths else spark.createDataFrame([], schema)
-        if predicate is not None:
-            df = partition_filter(df, predicate, table.partition_names)
         return df.select(*[F.col(name).alias(INNER + name) for name in EVENT], *table.partition_names)
 
     def base_rows(paths: list[str]) -> DataFrame:

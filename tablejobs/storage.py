@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Fixed value: a null in the path of a partition.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 _named: list[str] = []
 
 
@@ -80,6 +84,17 @@ def literal(text: str) -> str:
     return f"'{escaped}'"
 
 
+def decoded(text: Column) -> Column:
+    """Text with its ``%xx`` codes replaced."""
+    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
+def partition_value(path: Column, field: T.StructField) -> Column:
+    """The value of a partition column in the path of a folder or file."""
+    text = decoded(F.regexp_extract(path, f"/{re.escape(field.name)}=([^/]*)(/|$)", 1))
+    return F.nullif(text, F.lit(NULL_PARTITION)).cast(field.dataType).alias(field.name)
+
+
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 

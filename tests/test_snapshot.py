@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 
 import tablejobs as tj
-from tablejobs.errors import FieldError, SnapshotError, TransactionalTableError
+from tablejobs.errors import FieldError, PartitionFilterError, SnapshotError, TransactionalTableError
 from tablejobs.sinks.changes import PUBLIC_LAYOUT
 from tablejobs.sources.snapshot import DELETE, INSERT, UPDATE, _choose, _Folder, change_schema
 from tablejobs.storage import exists, glob, move, shared_folder
@@ -137,6 +137,17 @@ def test_adopting_files_of_the_public_layout(spark):
     got = tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(2))
     assert rows(got) == sorted([(0, "row 0", *places[0]), *[(1, "row 1", *p) for p in places]], key=repr)
     assert len(rows(tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(1)))) == 6
+    for predicate, place in (
+        ("country LIKE '50% a+b/c=_'", places[0]), ("country IS NULL", places[1]), ("continent = 'Süd Ost'", places[2])
+    ):
+        one = tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(1), predicate=predicate)
+        assert rows(one) == [(i, f"row {i}", *place) for i in range(2)]
+        assert len(one.inputFiles()) <= 2
+    with pytest.raises(PartitionFilterError):
+        tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(1), predicate="id = 1")
+    with pytest.warns(UserWarning, match="ignored"):
+        plain = base_with_delta(spark, PLAIN)
+        assert len(rows(tj.snapshot_read(spark, PLAIN, plain, tj.Snapshot(5), predicate="id = 1"))) == 2
 
 
 def test_empty_folder_gives_no_rows(spark):
@@ -199,6 +210,14 @@ def test_transactions_must_be_in_the_range(spark):
     assert not exists(spark, f"{root}/delta_0000002_0000002")
 
 
+@pytest.mark.parametrize("key, part", [((None, 0, 0), ASIA), ((1, 0, None), ASIA), ((1, 0, 0), ("", "India"))])
+def test_incomplete_events_are_refused(spark, key, part):
+    root = shared_folder(spark, "acid")
+    with pytest.raises(Exception, match="without|empty string"):
+        tj.write_delta(events(spark, PARTITIONED, [(INSERT, key, 1, (1, "a"), *part)]), PARTITIONED, root, 1)
+    assert not glob(spark, f"{root}/*=*")
+
+
 def test_folder_is_never_written_twice(spark):
     root = base_with_delta(spark, PLAIN)
     with pytest.raises(SnapshotError, match="already"):

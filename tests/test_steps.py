@@ -166,6 +166,9 @@ def test_user_functions(spark):
 
     assert rows(tj.apply_function(df, both, ["k", "n"], "out", "string")) == [("a", 1, "a1"), ("b", None, "b0")]
     assert rows(tj.apply_filter(df, lambda k: k == "b", ["k"])) == [("b", None)]
+    some = spark.createDataFrame([("ring",), ("rung",), (None,)], "k string")
+    assert rows(tj.apply_filter(some, lambda k: k.str.endswith("ing"), ["k"])) == [("ring",)]
+    assert rows(tj.apply_filter(df, lambda n: n > 0, ["n"])) == [("a", 1)]
 
 
 def test_row_operators(spark):
