@@ -5,7 +5,7 @@ from tablejobs import TableDescriptor, create_table, describe_table
 from tablejobs.descriptor import _storage
 from tablejobs.errors import FieldError, TableJobError
 
-ONE = ("one", "two", "three")
+COLUMNS = ("id", "label", "active")
 TYPES = ("int", "string", "boolean")
 
 
@@ -33,27 +33,27 @@ def test_names_may_not_differ_in_case_only():
 
 
 def test_table_and_database_are_lower_case():
-    table = TableDescriptor("MyTable", ONE, TYPES, database="MyDB")
-    assert table.full_name == "mydb.mytable"
-    assert TableDescriptor("T", ONE, TYPES, database=None).database == "default"
-    assert TableDescriptor("T", ONE, TYPES, database="").database == "default"
+    table = TableDescriptor("Sales", COLUMNS, TYPES, database="Shop")
+    assert table.full_name == "shop.sales"
+    assert TableDescriptor("T", COLUMNS, TYPES, database=None).database == "default"
+    assert TableDescriptor("T", COLUMNS, TYPES, database="").database == "default"
 
 
 def test_fields_have_types(spark):
-    table = TableDescriptor("t", ONE, TYPES)
+    table = TableDescriptor("t", COLUMNS, TYPES)
     assert table.schema == T.StructType(
         [
-            T.StructField("one", T.IntegerType()),
-            T.StructField("two", T.StringType()),
-            T.StructField("three", T.BooleanType()),
+            T.StructField("id", T.IntegerType()),
+            T.StructField("label", T.StringType()),
+            T.StructField("active", T.BooleanType()),
         ]
     )
 
 
 def test_types_and_names_are_matched_in_lower_case(spark):
-    table = TableDescriptor("t", ("Key", "VALUE"), ("INT", "STRING"))
-    assert table.schema.names == ["key", "value"]
-    assert table.type_text("KEY") == "int"
+    table = TableDescriptor("t", ("Code", "NAME"), ("INT", "STRING"))
+    assert table.schema.names == ["code", "name"]
+    assert table.type_text("CODE") == "int"
 
 
 @pytest.mark.parametrize(
@@ -79,50 +79,50 @@ def test_union_type_is_refused(spark):
 
 
 def test_partition_columns_are_found_by_name(spark):
-    last = TableDescriptor("t", ONE, TYPES, ("three",))
-    assert last.data_names == ["one", "two"]
-    assert last.partition_schema == T.StructType([T.StructField("three", T.BooleanType())])
-    first = TableDescriptor("t", ("key", "value"), ("int", "string"), ("key",))
-    assert first.data_schema == T.StructType([T.StructField("value", T.StringType())])
-    assert first.schema.names == ["value", "key"]
+    last = TableDescriptor("t", COLUMNS, TYPES, ("active",))
+    assert last.data_names == ["id", "label"]
+    assert last.partition_schema == T.StructType([T.StructField("active", T.BooleanType())])
+    first = TableDescriptor("t", ("code", "name"), ("int", "string"), ("code",))
+    assert first.data_schema == T.StructType([T.StructField("name", T.StringType())])
+    assert first.schema.names == ["name", "code"]
 
 
 def test_unpartitioned_table_has_no_partition_schema(spark):
     with pytest.raises(TableJobError):
-        TableDescriptor("t", ONE, TYPES).partition_schema
+        TableDescriptor("t", COLUMNS, TYPES).partition_schema
 
 
 def test_delimiter_and_storage():
-    assert TableDescriptor("t", ONE, TYPES, storage="TEXT").delimiter == "\x01"
-    tab = TableDescriptor("t", ONE, TYPES, delimiter="\t")
+    assert TableDescriptor("t", COLUMNS, TYPES, storage="TEXT").delimiter == "\x01"
+    tab = TableDescriptor("t", COLUMNS, TYPES, delimiter="\t")
     assert (tab.delimiter, tab.storage) == ("\t", "text")
-    plain = TableDescriptor("t", ONE, TYPES)
+    plain = TableDescriptor("t", COLUMNS, TYPES)
     assert (plain.delimiter, plain.storage) == (None, "orc")
 
 
 def test_location():
-    assert TableDescriptor("myTable", ONE, TYPES).location_in("warehouse") == "warehouse/mytable"
-    other = TableDescriptor("myTable", ONE, TYPES, database="myDB")
-    assert other.location_in("warehouse") == "warehouse/mydb.db/mytable"
-    placed = TableDescriptor("t", ONE, TYPES, location="file:/custom_path")
-    assert placed.location_in("warehouse") == "file:/custom_path"
+    assert TableDescriptor("Sales", COLUMNS, TYPES).location_in("warehouse") == "warehouse/sales"
+    other = TableDescriptor("Sales", COLUMNS, TYPES, database="Shop")
+    assert other.location_in("warehouse") == "warehouse/shop.db/sales"
+    placed = TableDescriptor("t", COLUMNS, TYPES, location="file:/data/placed")
+    assert placed.location_in("warehouse") == "file:/data/placed"
     with pytest.raises(FieldError):
-        TableDescriptor("t", ONE, TYPES, location="not/absolute")
+        TableDescriptor("t", COLUMNS, TYPES, location="not/absolute")
 
 
 def test_equality_ignores_case():
-    one = TableDescriptor("mytable", ONE, TYPES)
-    two = TableDescriptor("MYTABLE", ("ONE", "two", "three"), TYPES)
-    three = TableDescriptor("myTable", ("one", "three", "two"), ("int", "BOOLEAN", "string"))
+    one = TableDescriptor("sales", COLUMNS, TYPES)
+    two = TableDescriptor("SALES", ("ID", "label", "active"), TYPES)
+    three = TableDescriptor("Sales", ("id", "active", "label"), ("int", "BOOLEAN", "string"))
     assert one == two and one != three
     assert len({one, two, three}) == 2
-    assert one != TableDescriptor("mytable", ONE, TYPES, transactional=True)
-    assert "mytable" in repr(one)
+    assert one != TableDescriptor("sales", COLUMNS, TYPES, transactional=True)
+    assert "sales" in repr(one)
 
 
 def test_transactional_flag():
-    assert TableDescriptor("t", ONE, TYPES, transactional=True).transactional
-    assert not TableDescriptor("t", ONE, TYPES).transactional
+    assert TableDescriptor("t", COLUMNS, TYPES, transactional=True).transactional
+    assert not TableDescriptor("t", COLUMNS, TYPES).transactional
 
 
 @pytest.mark.parametrize("storage", ["orc", "text", "parquet"])

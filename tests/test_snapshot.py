@@ -16,6 +16,7 @@ PARTITIONED = tj.TableDescriptor(
     "acid", ("id", "msg", "continent", "country"), ("int", "string", "string", "string"),
     ("continent", "country"), transactional=True,
 )
+# Rows and row ids of the known cases are those every reader of such a table must give.
 ASIA = ("Asia", "India")
 
 

@@ -12,18 +12,17 @@ def test_statements_run_in_order(spark, database):
     tj.run_sql_steps(
         spark,
         [
-            f"CREATE TABLE {database}.keyvalue (key string, value string) USING orc",
-            f"INSERT OVERWRITE TABLE {database}.keyvalue SELECT 'Hello', 'hive!'",
-            f"INSERT INTO TABLE {database}.keyvalue SELECT 'Multiple', 'queries'",
-            f"INSERT INTO TABLE {database}.keyvalue SELECT 'are', 'supported'",
+            f"CREATE TABLE {database}.words (word string, meaning string) USING orc",
+            f"INSERT INTO TABLE {database}.words SELECT 'old', 'gone'",
+            f"INSERT OVERWRITE TABLE {database}.words SELECT 'ja', 'yes'",
+            f"INSERT INTO TABLE {database}.words SELECT 'nein', 'no'",
         ],
     )
-    got = rows(spark.table(f"{database}.keyvalue"))
-    assert got == [("Hello", "hive!"), ("Multiple", "queries"), ("are", "supported")]
+    assert rows(spark.table(f"{database}.words")) == [("ja", "yes"), ("nein", "no")]
 
 
 def test_first_failure_stops_and_names_the_statement(spark, database):
-    bad = "creat table foo (key string)"
+    bad = "CREAT TABLE mistyped (a int)"
     with pytest.raises(SqlStepError) as caught:
         tj.run_sql_steps(spark, [bad, f"CREATE TABLE {database}.later (a int) USING orc"])
     assert caught.value.statement == bad and bad in str(caught.value)
@@ -97,18 +96,18 @@ def test_caller_sees_what_a_step_wrote(spark, database):
 
 
 def test_inputs_of_nested_views(spark, database):
-    table = f"{database}.keyvalue"
+    table = f"{database}.words"
     tj.run_sql_steps(
         spark,
         [
-            f"CREATE TABLE {table} (key string, value string) USING orc",
-            f"INSERT INTO {table} VALUES ('42', 'a'), ('42', 'b'), ('7', 'c')",
-            f"CREATE VIEW {database}.first AS SELECT * FROM {table} WHERE key = '42'",
-            f"CREATE VIEW {database}.second AS SELECT value FROM {database}.first",
+            f"CREATE TABLE {table} (word string, meaning string) USING orc",
+            f"INSERT INTO {table} VALUES ('x', 'a'), ('x', 'b'), ('y', 'c')",
+            f"CREATE VIEW {database}.first AS SELECT * FROM {table} WHERE word = 'x'",
+            f"CREATE VIEW {database}.second AS SELECT meaning FROM {database}.first",
         ],
     )
     found = tj.query_inputs(spark, f"SELECT * FROM {database}.second").collect()
-    place = tj.table_location(spark, tj.TableDescriptor("keyvalue", ("key",), ("string",), (), database))
+    place = tj.table_location(spark, tj.TableDescriptor("words", ("word",), ("string",), (), database))
     assert [(row.input.replace("///", "/"), row.n_rows) for row in found] == [(place, 3)]
 
 

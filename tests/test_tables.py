@@ -16,7 +16,7 @@ STORAGE = ["orc", "text", "parquet", "json"]
 
 
 def keyed(database, names=("key",), types=("string",), **more):
-    return tj.TableDescriptor("mytable", names, types, database=database, **{"storage": "orc", **more})
+    return tj.TableDescriptor("kept", names, types, database=database, **{"storage": "orc", **more})
 
 
 def test_create(spark, database):
@@ -71,7 +71,7 @@ def test_strict_ignores_case(spark, database, storage):
         spark, keyed(database, ("name", "id"), ("string", "string"), partition_keys=("id",), storage=storage)
     )
     same = tj.TableDescriptor(
-        "MYTABLE", ("NAME", "ID"), ("StRinG", "string"), ("ID",), database.upper(), storage=storage
+        "KEPT", ("NAME", "ID"), ("StRinG", "string"), ("ID",), database.upper(), storage=storage
     )
     tj.create_table(spark, same, strict=True)
 
@@ -102,7 +102,7 @@ def test_drop_removes_managed_files_and_keeps_external_ones(spark, database):
 
 def test_place_of_an_existing_table_wins(spark, database):
     place = shared_folder(spark, "away")
-    spark.sql(f"CREATE TABLE {database}.mytable (one string, two string) USING orc LOCATION '{place}'")
+    spark.sql(f"CREATE TABLE {database}.kept (one string, two string) USING orc LOCATION '{place}'")
     table = keyed(database, ("one", "two"), ("string", "string"), partition_keys=("two",))
     assert tj.table_location(spark, table).endswith(place)
 
@@ -183,7 +183,7 @@ def test_failed_replace_keeps_the_old_table(spark, database):
     tj.write_table(spark.createDataFrame([("a",)], "key string"), keyed(database))
     with pytest.raises(FieldError):
         tj.write_table(spark.createDataFrame([("a",)], "other string"), keyed(database, ("key2",)), "replace")
-    assert rows(tj.scan_table(spark, f"{database}.mytable")) == [("a",)]
+    assert rows(tj.scan_table(spark, f"{database}.kept")) == [("a",)]
 
 
 def test_replace_gives_the_new_shape(spark, database):
