@@ -26,7 +26,7 @@ from tablejobs.sources.snapshot import (
     list_folders,
     rows_with_id,
 )
-from tablejobs.storage import decoded, exists, glob, move, partition_value, qualified_path, remove
+from tablejobs.storage import decoded, glob, move, partition_value, qualified_path, remove
 
 # The columns of the public layout, in the order of ours.
 PUBLIC_LAYOUT = ("operation", "originalTransaction", "bucket", "rowId", "currentTransaction", "row")

@@ -128,7 +128,8 @@ def write_table(
 
     ``keep`` refuses a table that holds rows, ``update`` adds rows, ``replace`` leaves only the new rows
     (and the new shape, if the descriptor differs), ``replace_partitions`` swaps the partitions that
-    the new rows touch. Rows cannot replace the table they are read from. ``watch`` may attach counters to the rows as they go to the files.
+    the new rows touch. Rows cannot replace the table they are read from. ``watch`` may attach counters
+    to the rows as they go to the files.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")

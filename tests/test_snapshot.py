@@ -23,7 +23,8 @@ ASIA = ("Asia", "India")
 def events(spark, table, data):
     """``data``: (op, (orig_txn, bucket, row_id), txn, row or None, *partition values)."""
     keys = "".join(f", {name} string" for name in table.partition_names)
-    ddl = f"op int, orig_txn bigint, bucket int, row_id bigint, txn bigint, data {change_schema(table)['data'].dataType.simpleString()}"
+    row_type = table.data_schema.simpleString()
+    ddl = f"op int, orig_txn bigint, bucket int, row_id bigint, txn bigint, data {row_type}"
     return spark.createDataFrame([(op, *key, txn, row, *part) for op, key, txn, row, *part in data], ddl + keys)
 
 
@@ -105,7 +106,8 @@ def test_columns_named_like_those_of_an_event(spark):
     names = ("op", "bucket", "txn", "data", "event", "row_id", "region")
     table = tj.TableDescriptor("log", names, ("string",) * 7, ("region",), transactional=True)
     root = shared_folder(spark, "acid")
-    df = spark.createDataFrame([("GET", "b1", "t", "d", "e", "1", "EU"), ("PUT", "b2", "t", "d", "e", "2", "US")], list(names))
+    data = [("GET", "b1", "t", "d", "e", "1", "EU"), ("PUT", "b2", "t", "d", "e", "2", "US")]
+    df = spark.createDataFrame(data, list(names))
     tj.write_base(tj.insert_events(df, table, 1, "row_id", "0"), table, root, 1)
     tj.apply_changes(
         spark, table, root, tj.Snapshot(1), 2, assign={"data": "concat(op, bucket)"}, update_where="bucket = 'b2'"
@@ -131,7 +133,8 @@ def test_adopting_files_of_the_public_layout(spark):
     )
     gone = events(spark, PARTITIONED, [(DELETE, (1, 0, 0), 2, None, *p) for p in places[1:]])
     for name, df in (("base_0000001", made), ("delta_0000002_0000002", gone)):
-        df.toDF(*PUBLIC_LAYOUT, "continent", "country").write.partitionBy("continent", "country").orc(f"{staged}/{name}")
+        public = df.toDF(*PUBLIC_LAYOUT, *PARTITIONED.partition_names)
+        public.write.partitionBy(*PARTITIONED.partition_names).orc(f"{staged}/{name}")
         for folder in glob(spark, f"{staged}/{name}/*/*"):
             move(spark, folder, f"{foreign}/{'/'.join(folder.split('/')[-2:])}/{name}")
     tj.adopt_files(spark, PARTITIONED, foreign, root)

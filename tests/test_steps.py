@@ -65,7 +65,8 @@ def test_step_settings_do_not_leak(spark):
     assert rows(step.run(spark, keep_results=True)[0]) == [(None,)]
     assert spark.conf.get("spark.sql.ansi.enabled") == before
     with pytest.raises(SqlStepError):
-        tj.SqlStep("s", "SELECT CAST('x' AS int) AS n", ["none"], settings={"spark.sql.ansi.enabled": "true"}).run(spark)
+        strict = {"spark.sql.ansi.enabled": "true"}
+        tj.SqlStep("s", "SELECT CAST('x' AS int) AS n", ["none"], settings=strict).run(spark)
 
 
 def test_step_takes_over_the_settings_of_the_session(spark):

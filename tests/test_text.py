@@ -103,9 +103,12 @@ def test_one_column_table_named_value(spark, database):
 def test_view_shows_rows_to_sql(spark, database, delimiter):
     kinds = {**TYPES, "p": "string"}
     table = tj.TableDescriptor("lines", tuple(kinds), tuple(kinds.values()), ("p",), database, delimiter)
-    data = [("text", True, 1, 2, 3, 4, 0.5, 1.5, None, None, datetime.date(2024, 1, 2), bytearray(b"ab"), Decimal("1.250"), "x"),
-            ("", None, None, None, None, None, None, None, None, None, None, None, None, "y"),
-            (None, *[None] * 12, None)]
+    day = datetime.date(2024, 1, 2)
+    data = [
+        ("text", True, 1, 2, 3, 4, 0.5, 1.5, None, None, day, bytearray(b"ab"), Decimal("1.250"), "x"),
+        ("", *[None] * 12, "y"),
+        (None, *[None] * 12, None),
+    ]
     tj.write_table(spark.createDataFrame(data, f"{DDL}, p string"), table)
     tj.create_text_view(spark, table.full_name, f"{database}.shown")
     assert rows(spark.table(f"{database}.shown")) == rows(tj.scan_table(spark, table.full_name))
