@@ -182,16 +182,21 @@ def test_row_operators(spark):
     assert [tuple(r) for r in tj.limit_rows(df, 2, ["n", "k"]).collect()] == [("a", 1), ("b", 1)]
 
 
-def test_cluster_must_name_the_shared_folder(spark, monkeypatch):
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local[2]"])
+def test_only_a_local_session_may_leave_the_shared_folder_out(master):
     class Conf:
         def get(self, key, default):
             return default
 
     class Context:
-        master = "yarn"
+        pass
 
     class Session:
         conf, sparkContext = Conf(), Context()
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(Session(), "x")
+    Context.master = master
+    if master.startswith("local"):
+        assert shared_folder(Session(), "x") != shared_folder(Session(), "x")
+    else:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(Session(), "x")
