@@ -9,13 +9,13 @@ text plus one document, whatever the corpus holds.
 
 from __future__ import annotations
 
-import hashlib
 import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,13 +40,8 @@ def terms(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_TERM_BYTES).split()
 
 
-def _packed(places: np.ndarray) -> bytes:
-    """Ascending places as differences, low halves first: the high halves are nearly all zero and compress away."""
-    steps = np.diff(places, prepend=0).astype("<u4")
-    return (steps & 0xFFFF).astype("<u2").tobytes() + (steps >> 16).astype("<u2").tobytes()
-
-
 def _unpacked(data: bytes) -> np.ndarray:
+    """Places from their differences, low halves first: high halves are nearly all zero and compress away."""
     low, high = np.frombuffer(data, "<u2").reshape(2, -1).astype(np.int64)
     return np.cumsum(low + (high << 16))
 
@@ -60,11 +55,13 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     source = ids_and_texts(docs, id_col, text_col).select(F.col("id").cast("string").alias("id"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in slices(batch, 1, BLOCK):
-                yield from block(part.column(0).to_pylist(), part.column(1).to_pylist())
+                yield from block(f"{task}-{number}", part.column(0).to_pylist(), part.column(1).to_pylist())
+                number += 1
 
-    def block(ids: list, texts: list) -> Iterator[pa.RecordBatch]:
+    def block(name: str, ids: list, texts: list) -> Iterator[pa.RecordBatch]:
         words, firsts, counts, place = [], [], [], 0
         for text in texts:
             own = terms(text)
@@ -73,7 +70,6 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             counts.append(len(own))
             place += len(own) + GAP
         table = json.dumps([ids, firsts, counts]).encode()
-        name = hashlib.blake2b(table + b"".join(words[:64]) + b"\0".join(words[-64:]), digest_size=16).hexdigest()
         yield _rows(name, [None], [table])
         if not words:
             return

@@ -164,10 +164,17 @@ def fit(texts: list[str | None], labels: list[int]) -> Detector:
         made.weights[0] = np.log((sum(labels) + 0.5) / (len(labels) - sum(labels) + 0.5))
         return made
     rows = np.zeros((len(texts), 2 * GAINS + 3))
+    seen: Counter = Counter()
+    halves = []
+    for label in labels:  # both classes in both halves
+        halves.append(seen[label] % 2)
+        seen[label] += 1
     for half in (0, 1):
-        other = train(words[1 - half :: 2], labels[1 - half :: 2])
-        for i in range(half, len(texts), 2):
-            rows[i] = other.features(words[i])
+        chosen = [i for i, own in enumerate(halves) if own != half]
+        other = train([words[i] for i in chosen], [labels[i] for i in chosen])
+        for i, own in enumerate(halves):
+            if own == half:
+                rows[i] = other.features(words[i])
     made, y = train(words, labels), np.array(labels, float)
     made.weights = logistic(rows, y, 1.0)
     # Calibrated so that 0.5 is the threshold with the best F1 on the fitting rows.
