@@ -74,10 +74,10 @@ def snapshots(spark) -> None:
                 spark, table, root, tj.Snapshot(1), snapshot.high_mark,
                 assign={"o_orderstatus": "'U'"}, update_where=f"o_totalprice <= {limit}",
             )
-        for name, rows in (("broadcast", 1_000_000), ("shuffle", 0)):
-            seconds = median_seconds(
-                lambda: run(tj.snapshot_read(spark, table, root, snapshot, broadcast_rows=rows))
-            )
+        for name, threshold in (("broadcast", "10m"), ("shuffle", "-1")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            seconds = median_seconds(lambda: run(tj.snapshot_read(spark, table, root, snapshot)))
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
             show("snapshot read", seconds, n_rows, changed=share, join=name)
 
 

@@ -67,13 +67,8 @@ def scan_table_sequencefile(spark, sf_dir):
 
 def scan_nested_types(spark, sf_dir):
     df = tj.scan_table(spark, _catalog_table(spark, sf_dir, "embeddings"))
-    return df.select(
-        "vec_id",
-        "label",
-        F.size("embedding").alias("dimensions"),
-        F.element_at("embedding", 1).cast("double").alias("first_value"),
-        F.element_at("embedding", -1).cast("double").alias("last_value"),
-    )
+    every = df.select("vec_id", "label", F.posexplode("embedding").alias("place", "value"))
+    return every.withColumn("value", F.col("value").cast("double"))
 
 
 def project_fields(spark, sf_dir):
@@ -170,10 +165,8 @@ QUERIES = {
     "scan_nested_types": (
         scan_nested_types,
         """
-        SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dimensions,
-               CAST(embedding[1] AS DOUBLE) AS first_value,
-               CAST(embedding[len(embedding)] AS DOUBLE) AS last_value
-        FROM embeddings
+        SELECT vec_id, label, CAST(place - 1 AS INTEGER) AS place, CAST(embedding[place] AS DOUBLE) AS value
+        FROM (SELECT *, unnest(generate_series(1, len(embedding))) AS place FROM embeddings)
         """,
     ),
     "project_fields": (

@@ -48,9 +48,12 @@ def snapshot_read(spark, sf_dir):
 
 
 def snapshot_read_by_shuffle(spark, sf_dir):
-    """The same rows by the plan for more changed rows than may be broadcast."""
+    """The same rows in a session in which nothing is broadcast."""
     table, root = _base_with_deltas(spark, sf_dir)
-    return tj.snapshot_read(spark, table, root, tj.Snapshot(7), broadcast_rows=0)
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    return tj.snapshot_read(session, table, root, tj.Snapshot(7))
 
 
 def snapshot_read_open_txn(spark, sf_dir):
@@ -60,8 +63,11 @@ def snapshot_read_open_txn(spark, sf_dir):
 
 def snapshot_row_id(spark, sf_dir):
     table, root = _base_with_deltas(spark, sf_dir)
-    columns = ["o_orderkey", "o_orderstatus"]
-    return tj.snapshot_read(spark, table, root, tj.Snapshot(7), row_id=True, columns=columns)
+    return tj.snapshot_read(spark, table, root, tj.Snapshot(7), row_id=True)
+
+
+def _statuses(df):
+    return [row[0] for row in df.select("o_orderstatus").distinct().orderBy("o_orderstatus").collect()]
 
 
 def snapshot_delta_only(spark, sf_dir):
@@ -70,17 +76,18 @@ def snapshot_delta_only(spark, sf_dir):
 
     def make():
         root = shared_folder(spark, "orders")
-        for txn, status in enumerate(("F", "O", "P"), start=1):
-            rows = df.where(df.o_orderstatus == status)
+        found = _statuses(df)
+        for txn, status in enumerate(found, start=1):
+            rows = df.where(df.o_orderstatus.eqNullSafe(status))
             tj.write_delta(tj.insert_events(rows, table, txn, ROW_ID, BUCKET), table, root, txn)
         tj.apply_changes(
-            spark, table, root, tj.Snapshot(3), 4,
+            spark, table, root, tj.Snapshot(len(found)), len(found) + 1,
             assign={"o_orderpriority": "'0-NOW'"}, update_where="o_totalprice > 400000",
         )
         return root
 
     root = once(spark, sf_dir, "orders deltas", make)
-    return tj.snapshot_read(spark, table, root, tj.Snapshot(4), row_id=True)
+    return tj.snapshot_read(spark, table, root, tj.Snapshot(len(_statuses(df)) + 1), row_id=True)
 
 
 def _partitioned(spark, sf_dir):
@@ -139,7 +146,7 @@ def adopt_files(spark, sf_dir):
             .withColumn("txn", F.lit(2).cast("bigint")),
         ),
     ):
-        for status in ("F", "O", "P"):
+        for status in _statuses(df):
             part = events.where(F.col("o_orderstatus") == status).drop("o_orderstatus")
             part.toDF(*PUBLIC_LAYOUT).write.orc(f"{foreign}/o_orderstatus={status}/{folder}")
     tj.adopt_files(spark, table, foreign, root)
@@ -172,13 +179,13 @@ QUERIES = {
         _UPDATED.format(
             row_id="CAST(1 AS BIGINT) AS orig_txn, CAST(o_orderkey % 4 AS INTEGER) AS bucket, "
             "o_orderkey AS row_id,",
-            more="", rest="",
+            more=_ALL["more"], rest=_ALL["rest"],
         ),
     ),
     "snapshot_delta_only": (
         snapshot_delta_only,
         """
-        SELECT CAST(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS BIGINT) AS orig_txn,
+        SELECT CAST(dense_rank() OVER (ORDER BY o_orderstatus) AS BIGINT) AS orig_txn,
                CAST(o_orderkey % 4 AS INTEGER) AS bucket, o_orderkey AS row_id,
                o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
                CASE WHEN o_totalprice > 400000 THEN '0-NOW' ELSE o_orderpriority END AS o_orderpriority

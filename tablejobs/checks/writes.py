@@ -12,7 +12,7 @@ from tablejobs.storage import quoted, shared_folder
 
 
 def write_text_table(spark, sf_dir):
-    df = source(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    df = source(spark, sf_dir, "orders")
     path = shared_folder(spark, "orders")
     tj.write_text_table(df, path, "\t")
     return tj.scan_text_table(spark, describe(df, "orders", storage="text", delimiter="\t"), path)
@@ -190,7 +190,7 @@ def remove_partitions(spark, sf_dir):
 
 
 def step_metrics(spark, sf_dir):
-    """Counters of three steps, two of them in one group."""
+    """Counters of four steps, two of them in one group, one of them of SQL statements that write and read."""
     metrics = tj.StepMetrics()
     orders, lines = source(spark, sf_dir, "orders"), source(spark, sf_dir, "lineitem")
     database = new_database(spark)
@@ -202,7 +202,18 @@ def step_metrics(spark, sf_dir):
     )
     tj.write_table(metrics.count(lines, "write"), describe(lines, "lineitem", database=database))
     tj.discard(metrics.count(source(spark, sf_dir, "events"), "read"))
-    return metrics.totals(spark)
+    held, copy = quoted(f"{database}.orders"), quoted(f"{database}.copy")
+    tj.SqlStep(
+        "sql",
+        [
+            f"CREATE TABLE {copy} (o_orderkey bigint, o_totalprice double) USING orc",
+            f"INSERT INTO {copy} SELECT o_orderkey, o_totalprice FROM {held}",
+            f"INSERT OVERWRITE {copy} SELECT o_orderkey, o_totalprice FROM {held} WHERE o_orderstatus = 'F'",
+            f"SELECT * FROM {copy}",
+        ],
+        sources=[f"{database}.orders"],
+    ).run(spark, metrics=metrics)
+    return metrics.totals(spark).where("counter <> 'files_written'")
 
 
 def map_columns(spark, sf_dir):
@@ -262,7 +273,7 @@ _CONTRACT = """
 _NO_PRIORITY = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate"
 
 QUERIES = {
-    "write_text_table": (write_text_table, "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders"),
+    "write_text_table": (write_text_table, "SELECT * FROM orders"),
     "write_table_modes": (write_table_modes, "SELECT * FROM orders"),
     "write_table_update": (
         write_table_update,
@@ -316,6 +327,10 @@ QUERIES = {
         SELECT 'write', 'partial', count(*) FROM orders WHERE o_orderstatus = 'P'
         UNION ALL
         SELECT 'read', 'rows', count(*) FROM events
+        UNION ALL
+        SELECT 'sql', 'rows', count(*) FROM orders WHERE o_orderstatus = 'F'
+        UNION ALL
+        SELECT 'sql', 'rows_written', count(*) + count(*) FILTER (o_orderstatus = 'F') FROM orders
         """,
     ),
     "map_columns": (map_columns, "SELECT upper(p_name) AS p_name, upper(p_type) AS p_type FROM part"),

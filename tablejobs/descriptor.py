@@ -68,7 +68,7 @@ class TableDescriptor:
         if not self.table:
             raise FieldError("a table name is required")
         if not self.names or len(self.names) != len(self.types):
-            raise FieldError("names and types must not be empty and must have the same length")
+            raise FieldError("every column needs one name and one type")
         for field in ("names", "types", "partition_keys"):
             object.__setattr__(self, field, tuple(getattr(self, field) or ()))
         object.__setattr__(self, "table", self.table.lower())
@@ -86,7 +86,7 @@ class TableDescriptor:
         if self.storage == "text" and LINE in self.partition_names:
             raise FieldError(f"a text table cannot be partitioned by '{LINE}', the name of its line column")
         if self.location is not None and not _ABSOLUTE.match(self.location):
-            raise FieldError(f"location must be an absolute path: {self.location}")
+            raise FieldError(f"give the location from the root on, not as {self.location}")
 
     # -- names and types ------------------------------------------------------------------
 

@@ -37,5 +37,5 @@ class SqlStepError(TableJobError):
     """A statement of a SQL step failed; the text of the statement is in the message."""
 
     def __init__(self, statement: str, cause: BaseException):
-        super().__init__(f"error '{cause}' while running statement: {statement}")
+        super().__init__(f"statement failed: {statement}\n{cause}")
         self.statement = statement

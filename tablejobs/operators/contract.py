@@ -12,34 +12,30 @@ from tablejobs.operators.fields import column, lower_names
 from tablejobs.storage import qualified_path
 
 
-def _same(what: str, expected, found) -> None:
-    if expected != found:
-        raise TableMismatchError(f"{what}: expected {expected!r}, found {found!r}")
+def differences(spark: SparkSession, table: TableDescriptor) -> list[str]:
+    """Everything in which the catalog table differs from the descriptor: a line for each."""
+    from tablejobs.sources.tables import expected_location
 
+    catalog = look_up(spark, table.full_name)
+    found = catalog.descriptor
 
-def _same_type(table: TableDescriptor, found: TableDescriptor, name: str) -> None:
-    types = [descriptor.declared_types[name].simpleString() for descriptor in (table, found)]
-    _same(f"type of column {name}", *types)
+    def columns(descriptor: TableDescriptor, names: list[str]) -> list[str]:
+        return [f"{name} {descriptor.declared_types[name].simpleString()}" for name in names]
 
+    facts = {
+        "data columns": (columns(table, table.data_names), columns(found, found.data_names)),
+        "partition columns": (columns(table, table.partition_names), columns(found, found.partition_names)),
+        "kind": ("MANAGED" if table.location is None else "EXTERNAL", catalog.kind),
+        "path": (expected_location(spark, table), qualified_path(spark, found.location)),
+        "transactional": (table.transactional, found.transactional),
+    }
+    return [f"{what}: expected {want!r}, found {got!r}" for what, (want, got) in facts.items() if want != got]
 
-def validate_table(spark: SparkSession, table: TableDescriptor) -> None:
-    """Raise unless the catalog table agrees with the descriptor in kind, path, transactional flag,
-    and in number, names, types and order of data and partition columns."""
-    from tablejobs.sources.tables import expected_location
 
-    catalog = look_up(spark, table.full_name)
-    found = catalog.descriptor
-    _same("kind of table", "MANAGED" if table.location is None else "EXTERNAL", catalog.kind)
-    _same("path", expected_location(spark, table), qualified_path(spark, found.location))
-    _same("number of columns", len(table.data_names), len(found.data_names))
-    _same("transactional", table.transactional, found.transactional)
-    for expected, actual in zip(table.data_names, found.data_names):
-        _same("column name", expected, actual)
-        _same_type(table, found, expected)
-    _same("number of partition columns", len(table.partition_names), len(found.partition_names))
-    for expected, actual in zip(table.partition_names, found.partition_names):
-        _same("partition column name", expected, actual)
-        _same_type(table, found, expected)
+def validate_table(spark: SparkSession, table: TableDescriptor) -> None:
+    """Raise, with all differences, unless the catalog table agrees with the descriptor."""
+    if report := differences(spark, table):
+        raise TableMismatchError(f"{table.full_name}: " + "; ".join(report))
 
 
 def _fits(value, field: T.StructField):

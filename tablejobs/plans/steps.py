@@ -31,7 +31,7 @@ def run_sql_steps(
     frames, and a statement without rows (a command) gives ``None``. The rows are stored in the shared
     folder as they are at that moment; ``store_results=False`` spares that copy for steps whose later
     statements do not change what the query reads. ``metrics`` counts the rows of each query that is
-    computed here.
+    computed here, and the rows and files that commands write.
     """
     results = []
     for statement in statements:
@@ -40,6 +40,8 @@ def run_sql_steps(
             if metrics is not None and rows.columns and (store_results or not keep_results):
                 rows = metrics.count(rows, group)
             if not rows.columns:
+                if metrics is not None:
+                    metrics.count_command(rows, group)
                 rows = None
             elif keep_results and store_results:
                 rows = materialize(rows, "result")
@@ -106,8 +108,8 @@ class SqlStep:
 
 
 def load_file(
-    spark: SparkSession, path: str, table: TableDescriptor, overwrite: bool = True
+    spark: SparkSession, path: str, table: TableDescriptor, overwrite: bool = True, bad_rows: str = "error"
 ) -> None:
-    """Load delimited text files into a table."""
-    rows = scan_text_table(spark, table, path)
+    """Load delimited text files into a table. Lines that do not fit stop the load unless ``bad_rows`` is ``"null"``."""
+    rows = scan_text_table(spark, table, path, bad_rows=bad_rows)
     write_table(rows, table, "replace" if overwrite else "update")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections import defaultdict
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -24,12 +25,15 @@ from tablejobs.sources.snapshot import (
     Snapshot,
     change_schema,
     list_folders,
+    pending_mark,
     rows_with_id,
 )
-from tablejobs.storage import decoded, glob, move, partition_value, qualified_path, remove
+from tablejobs.storage import decoded, exists, glob, make_folder, materialize, move, partition_value, qualified_path, remove
 
 # The columns of the public layout, in the order of ours.
 PUBLIC_LAYOUT = ("operation", "originalTransaction", "bucket", "rowId", "currentTransaction", "row")
+#: Folders that are put in place at a time.
+MOVES = 16
 
 
 def insert_events(
@@ -55,7 +59,11 @@ def _write_folder(
     spark = events.sparkSession
     root = qualified_path(spark, root)
     levels = "".join(f"{key}=*/" for key in table.partition_names)
-    if glob(spark, f"{root}/{levels}{name}"):
+    mark = pending_mark(root, name)
+    if exists(spark, mark):  # an earlier try broke off: nobody reads what it left
+        for folder in glob(spark, f"{root}/{levels}{name}"):
+            remove(spark, folder)
+    elif glob(spark, f"{root}/{levels}{name}"):
         raise SnapshotError(f"{root}: {name} is there already")
     staging = f"{root}/_staging_{uuid.uuid4().hex}"
     seen = Observation()
@@ -82,13 +90,16 @@ def _write_folder(
         if not twice.isEmpty():
             remove(spark, staging)
             raise SnapshotError(f"{name} holds a row id twice for one transaction")
-    # The rows become visible only when a reader's snapshot accepts their transactions, so the
-    # folders of several partitions may appear one after the other.
     if not table.partitioned:
         move(spark, staging, f"{root}/{name}")
+        remove(spark, mark)
         return
-    for folder in glob(spark, f"{staging}/{levels.rstrip('/')}"):
-        move(spark, folder, f"{root}{folder[len(staging):]}/{name}")
+    # Readers skip what is marked as pending, so all partitions appear at once when the mark goes.
+    make_folder(spark, mark)
+    folders = glob(spark, f"{staging}/{levels.rstrip('/')}")
+    with ThreadPoolExecutor(MOVES) as pool:
+        list(pool.map(lambda folder: move(spark, folder, f"{root}{folder[len(staging):]}/{name}"), folders))
+    remove(spark, mark)
     remove(spark, staging)
 
 
@@ -162,10 +173,41 @@ def apply_changes(
         (F.when(op == UPDATE, row) if assign else F.lit(None).cast(table.data_schema)).alias("data"),
         *table.partition_names,
     )
+    events = materialize(events, "changes") if _unseen(spark, table, root, snapshot) else events
+    _refuse_conflicts(spark, table, root, snapshot, events)
     # One event per row id by construction: the snapshot holds each row id once.
     write_delta(events, table, root, txn, check=False)
 
 
+def _unseen(spark: SparkSession, table: TableDescriptor, root: str, snapshot: Snapshot) -> list[str]:
+    """Deltas that hold, or may hold, transactions the snapshot does not accept."""
+    folders = list_folders(spark, table, qualified_path(spark, root))
+    return [
+        folder.path
+        for found in folders.values()
+        for folder in found
+        if folder.kind == "delta"
+        and (folder.high > snapshot.high_mark or any(folder.low <= t <= folder.high for t in snapshot.open_txns))
+    ]
+
+
+def _refuse_conflicts(
+    spark: SparkSession, table: TableDescriptor, root: str, snapshot: Snapshot, events: DataFrame
+) -> None:
+    """An update or delete that the snapshot does not see must not meet a row that is changed now: it would be lost."""
+    paths = _unseen(spark, table, root, snapshot)
+    if not paths:
+        return
+    keys = [*table.partition_names, *ROW_ID]
+    schema = T.StructType([*change_schema(table), *(table.partition_schema if table.partitioned else ())])
+    others = spark.read.schema(schema).option("basePath", qualified_path(spark, root)).orc(paths)
+    others = others.where(~snapshot.accepts(F.col("txn")) & (F.col("op") != INSERT))
+    others = others.select(*[F.col(key).alias(f"other_{key}") for key in keys])
+    same = [events[key].eqNullSafe(others[f"other_{key}"]) for key in keys]
+    if not events.select(*keys).join(others, same, "left_semi").isEmpty():
+        raise SnapshotError(f"{table.full_name}: a transaction outside the snapshot changed some of these rows already")
+
+
 def adopt_files(spark: SparkSession, table: TableDescriptor, source: str, root: str) -> None:
     """Copy a transactional table in the public ORC layout into one that ``snapshot_read`` reads.
 

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Callable, Mapping, Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +20,7 @@ from tablejobs.errors import TableHasDataError, TableJobError, TransactionalTabl
 from tablejobs.operators.contract import validate_table
 from tablejobs.operators.fields import align_to_table, column
 from tablejobs.sinks.text import join_fields
-from tablejobs.storage import literal, qualified_path, quoted, session_setting
+from tablejobs.storage import literal, materialize, qualified_path, quoted, session_setting
 
 # Formats that only a Hive catalog can keep tables in.
 HIVE_STORAGE = ("textfile", "sequencefile", "avro")
@@ -128,7 +126,8 @@ def write_table(
 
     ``keep`` refuses a table that holds rows, ``update`` adds rows, ``replace`` leaves only the new rows
     (and the new shape, if the descriptor differs), ``replace_partitions`` swaps the partitions that
-    the new rows touch. Rows cannot replace the table they are read from. ``watch`` may attach counters
+    the new rows touch. Rows that replace a table are written to the shared folder first, so a value that
+    does not fit leaves the old table as it is, and rows may come from the table itself. ``watch`` may attach counters
     to the rows as they go to the files.
     """
     if mode not in MODES:
@@ -138,11 +137,10 @@ def write_table(
     if strict and spark.catalog.tableExists(table.full_name):
         validate_table(spark, table)
     if mode == "replace" and spark.catalog.tableExists(table.full_name):
-        align_to_table(df, table)  # an error must come before the old table goes
+        # Rows are computed and checked first, in the shared folder: an error must come before the old table goes.
+        df = _staged(df, table)
         found = look_up(spark, table.full_name).descriptor
         if not _same_shape(spark, found, table):
-            if _reads_below(df, found.location):
-                raise TableJobError(f"rows read from {table.full_name} cannot replace it by another shape")
             drop_table(spark, table)
     create_table(spark, table)
     if mode == "keep" and _holds_rows(spark, table):
@@ -153,12 +151,12 @@ def write_table(
     _insert(watch(rows) if watch else rows, table, mode, options)
 
 
-def _reads_below(df: DataFrame, location: str) -> bool:
-    def bare(address: str) -> str:
-        return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", address)
-
-    folder = bare(location).rstrip("/") + "/"
-    return any(bare(unquote(address)).startswith(folder) for address in df.inputFiles())
+def _staged(df: DataFrame, table: TableDescriptor) -> DataFrame:
+    """The rows in the shape of the table, written once to the shared folder with every check of their values."""
+    rows = no_empty_keys(align_to_table(df, table), table)
+    if table.storage == "text":
+        join_fields(rows, table.delimiter, table.partition_names).write.format("noop").mode("overwrite").save()
+    return materialize(rows, "replace")
 
 
 def _shaped(df: DataFrame, table: TableDescriptor, rebalance: bool) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ def _splits(text: Column, delimiter: str) -> Column:
     return F.instr(F.concat(text, F.lit(delimiter)), delimiter) != F.length(text) + 1
 
 
-def _field_text(df: DataFrame, field: T.StructField, delimiter: str) -> Column:
+def _field_text(df: DataFrame, field: T.StructField, delimiter: str, line_end: str | None) -> Column:
     value = column(df, field.name)
     if isinstance(field.dataType, T.BinaryType):
         text = F.base64(value)
@@ -34,10 +35,14 @@ def _field_text(df: DataFrame, field: T.StructField, delimiter: str) -> Column:
     elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
         raise TableJobError(f"text tables hold scalar columns only: {field.name}")
     elif isinstance(field.dataType, T.StringType):
-        text, unsafe = value, value.contains("\n") | value.contains("\r") | (value == NULL_TEXT)
+        breaks = [line_end] if line_end else ["\n", "\r"]
+        unsafe = reduce(Column.__or__, [value.contains(end) for end in breaks], value == NULL_TEXT)
+        text = value
     else:
         text, unsafe = value.cast("string"), F.lit(False)
-        if not _VALUE_CHARACTERS.search(delimiter):
+        if line_end and _VALUE_CHARACTERS.search(line_end):
+            unsafe = text.contains(line_end)
+        elif not _VALUE_CHARACTERS.search(delimiter):
             return text
     message = f"column '{field.name}' holds the delimiter, a line break or the null mark"
     refused = F.raise_error(F.lit(message)).cast("string")
@@ -45,16 +50,19 @@ def _field_text(df: DataFrame, field: T.StructField, delimiter: str) -> Column:
 
 
 def join_fields(
-    df: DataFrame, delimiter: str = DEFAULT_DELIMITER, partition_names: Sequence[str] = ()
+    df: DataFrame,
+    delimiter: str = DEFAULT_DELIMITER,
+    partition_names: Sequence[str] = (),
+    line_end: str | None = None,
 ) -> DataFrame:
-    """One line per row, partition columns kept beside it.
+    """One line per row, partition columns kept beside it. ``line_end`` is the separator of lines, if it is not a break.
 
     A value that would not read back the same stops the job with an error.
     """
     if delimiter in NULL_TEXT or "\n" in delimiter or "\r" in delimiter:
         raise TableJobError(f"text fields cannot be divided by {delimiter!r}")
     fields = [
-        F.coalesce(_field_text(df, field, delimiter), F.lit(NULL_TEXT))
+        F.coalesce(_field_text(df, field, delimiter, line_end), F.lit(NULL_TEXT))
         for field in df.schema
         if field.name not in partition_names
     ]
@@ -69,4 +77,5 @@ def write_text_table(
     options: Mapping[str, str] | None = None,
 ) -> None:
     """Write rows as delimited text without a header, columns in frame order."""
-    join_fields(df, delimiter).write.options(**(options or {})).mode(mode).text(path)
+    ends = [value for key, value in (options or {}).items() if key.lower() == "linesep"]
+    join_fields(df, delimiter, line_end=ends[0] if ends else None).write.options(**(options or {})).mode(mode).text(path)

@@ -104,28 +104,50 @@ class _Choice:
         return self.base.high if reaches_across else None
 
 
-def list_folders(spark: SparkSession, table: TableDescriptor, root: str) -> dict[str, list[_Folder]]:
-    """Base and delta folders of each partition folder."""
+def pending_mark(root: str, name: str) -> str:
+    """The folder that says a base or delta of this name is still being put in place."""
+    return f"{root}/_pending_{name}"
+
+
+def list_folders(
+    spark: SparkSession, table: TableDescriptor, root: str, predicate: str | None = None
+) -> dict[str, list[_Folder]]:
+    """Base and delta folders of each partition folder, without those still being put in place.
+
+    With a predicate, the partition folders are listed first, and only the selected ones are looked into.
+    """
     levels = "".join(f"{name}=*/" for name in table.partition_names)
+    pending = {path.rpartition("/_pending_")[2] for path in glob(spark, pending_mark(root, "*"))}
+    places = [f"{root}/{levels}"]
+    if predicate is not None and table.partitioned:
+        places = [f"{_escaped(path)}/" for path in _selected(spark, table, glob(spark, f"{root}/{levels.rstrip('/')}"), predicate)]
+    elif predicate is not None:
+        _selected(spark, table, [root], predicate)  # checks the predicate
     found = defaultdict(list)
-    for path in glob(spark, f"{root}/{levels}{{base,delta}}_*"):
+    for path in (path for place in places for path in glob(spark, f"{place}{{base,delta}}_*")):
         partition, _, name = path.rpartition("/")
         match = _FOLDER.match(name)
-        if match:
+        if match and name not in pending:
             kind, low, high = match.groups()
             low = int(low)
             found[partition].append(_Folder(path, kind, low, low if kind == "base" else int(high or low)))
     return found
 
 
-def _selected(
-    spark: SparkSession, table: TableDescriptor, folders: dict[str, list[_Folder]], predicate: str
-) -> dict[str, list[_Folder]]:
-    """The partition folders a predicate selects, so that no other is listed or opened."""
+def _escaped(path: str) -> str:
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def _selected(spark: SparkSession, table: TableDescriptor, folders: Sequence[str], predicate: str) -> list[str]:
+    """The partition folders a predicate selects, so that no other is looked into."""
     known = spark.createDataFrame([(path,) for path in folders], "__folder string")
-    keys = [partition_value(F.col("__folder"), f) for f in (table.partition_schema if table.partitioned else ())]
-    kept = partition_filter(known.select("__folder", *keys), predicate, table.partition_names)
-    return {row["__folder"]: folders[row["__folder"]] for row in kept.select("__folder").collect()}
+    kept = partition_filter(known.select("__folder", *_keys(table)), predicate, table.partition_names)
+    return [row["__folder"] for row in kept.select("__folder").collect()]
+
+
+def _keys(table: TableDescriptor) -> list[Column]:
+    """The partition columns of a folder, from its path."""
+    return [partition_value(F.col("__folder"), f) for f in (table.partition_schema if table.partitioned else ())]
 
 
 def _reaches(deltas: Iterable[_Folder], last: int) -> bool:
@@ -176,17 +198,18 @@ def snapshot_read(
     row_id: bool = False,
     columns: Sequence[str] | None = None,
     predicate: str | None = None,
-    broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """The rows of a transactional table as a snapshot sees them.
 
-    Base rows whose row id no accepted delta event names pass straight from the scan. For changed row ids
-    the newest accepted event counts, and a delete removes the row. Partitions without deltas take no
-    part in the join. The changed row ids are broadcast only if a count shows at most
-    ``broadcast_rows`` of them (each 20 bytes plus partition values); beyond that Spark joins by shuffle.
+    Base rows and inserted rows pass straight from the scan unless an accepted update or delete names their
+    row id; these ids are narrow, and Spark joins them by broadcast or shuffle by its own estimate of their
+    bytes. For changed row ids the newest accepted event counts, and a delete removes the row. Partitions
+    without deltas take no part in the join. No job runs while the frame is built, unless a predicate
+    has to be evaluated on the names of partition folders. The number of scans does not follow the number
+    of partitions.
 
     ``row_id`` puts ``orig_txn, bucket, row_id`` in front, ``columns`` limits the columns read, and
-    ``predicate`` selects partitions before their files are listed.
+    ``predicate`` selects partitions before their base and delta folders are listed.
     """
     names = _wanted(table, columns)
     wanted_keys = table.partition_names if columns is None else lower_names(columns)
@@ -194,7 +217,7 @@ def snapshot_read(
     taken = [name for name in shown if row_id and name in ROW_ID]
     if taken:
         raise FieldError(f"columns {taken} cannot be read beside the row id, leave them out")
-    rows = rows_with_id(spark, table, root, snapshot, names, predicate, broadcast_rows)
+    rows = rows_with_id(spark, table, root, snapshot, names, predicate)
     front = [F.col(INNER + name).alias(name) for name in ROW_ID] if row_id else []
     return rows.select(*front, *[F.col(f"`{name}`") for name in shown])
 
@@ -206,7 +229,6 @@ def rows_with_id(
     snapshot: Snapshot,
     names: Sequence[str],
     predicate: str | None = None,
-    broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """What ``snapshot_read`` reads: partition columns, row id under inner names, the named data columns."""
     root = qualified_path(spark, root)
@@ -214,9 +236,7 @@ def rows_with_id(
     schema = T.StructType(
         [*change_schema(table), *(table.partition_schema if table.partitioned else ())]
     )
-    folders = list_folders(spark, table, root)
-    if predicate is not None:
-        folders = _selected(spark, table, folders, predicate)
+    folders = list_folders(spark, table, root, predicate)
     choices = [_choose(partition, found, snapshot) for partition, found in folders.items()]
 
     def read(paths: list[str]) -> DataFrame:
@@ -227,28 +247,41 @@ def rows_with_id(
     def base_rows(paths: list[str]) -> DataFrame:
         return read(paths).where(F.col("__op") != DELETE).select(*keys, *_data(names, "__data"))
 
-    by_cut = defaultdict(list)
-    for choice in choices:
-        if choice.deltas:
-            by_cut[choice.cut].extend(delta.path for delta in choice.deltas)
     events = None
-    for cut, paths in by_cut.items():
-        part = read(paths).where(snapshot.accepts(F.col("__txn")))
-        part = part if cut is None else part.where(F.col("__txn") > cut)
-        events = part if events is None else events.unionByName(part)
+    if deltas := [delta.path for choice in choices for delta in choice.deltas]:
+        events = read(deltas).where(snapshot.accepts(F.col("__txn")))
+        cuts = {partition: choice.cut for partition, choice in zip(folders, choices) if choice.cut is not None}
+        if cuts:
+            events = _after_cuts(events, table, cuts)
 
     untouched = [c.base.path for c in choices if c.base and not c.deltas]
     touched = [c.base.path for c in choices if c.base and c.deltas]
     parts = []
     if untouched:
         parts.append(base_rows(untouched))
-    if touched:
-        parts.append(_without(base_rows(touched), events, keys, broadcast_rows))
     if events is not None:
-        parts.append(_newest(events, keys, names))
+        # A row id is inserted once, in its first transaction, so an insert is a row like one of a base.
+        inserted = events.where(F.col("__op") == INSERT).select(*keys, *_data(names, "__data"))
+        rows = base_rows(touched).unionByName(inserted) if touched else inserted
+        changes = events.where(F.col("__op") != INSERT)
+        parts.append(_without(rows, changes, keys))
+        parts.append(_newest(changes, keys, names))
     return reduce(DataFrame.unionByName, parts or [base_rows([])])
 
 
+def _after_cuts(events: DataFrame, table: TableDescriptor, cuts: dict[str, int]) -> DataFrame:
+    """Events that the base of their partition does not hold already. The cuts are rows, one per partition."""
+    spark = events.sparkSession
+    known = spark.createDataFrame(list(cuts.items()), "__folder string, __cut bigint")
+    if not table.partitioned:
+        return events.where(F.col("__txn") > next(iter(cuts.values())))
+    keys = [key.alias(f"__of_{name}") for key, name in zip(_keys(table), table.partition_names)]
+    known = known.select("__cut", *keys)
+    same = [events[name].eqNullSafe(known[f"__of_{name}"]) for name in table.partition_names]
+    joined = events.join(known, same, "left").where(F.col("__cut").isNull() | (F.col("__txn") > F.col("__cut")))
+    return joined.drop("__cut", *[f"__of_{name}" for name in table.partition_names])
+
+
 def _newest(events: DataFrame, keys: list[str], names: Sequence[str]) -> DataFrame:
     """The newest event per row id, without deletes. ``max_by`` is combined before the shuffle, so a row
     that was changed very often reaches the final task as a few rows only."""
@@ -258,14 +291,13 @@ def _newest(events: DataFrame, keys: list[str], names: Sequence[str]) -> DataFra
     return kept.select(*keys, *_data(names, "__event.data"))
 
 
-def _without(base: DataFrame, events: DataFrame, keys: list[str], broadcast_rows: int) -> DataFrame:
-    """Base rows whose row id is in no event."""
-    changed = events.select(*[F.col(key).alias(f"changed_{key}") for key in keys]).distinct()
-    few = events.select("__txn").count() <= broadcast_rows
+def _without(rows: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose row id no update or delete names."""
+    changed = changes.select(*[F.col(key).alias(f"changed_{key}") for key in keys]).distinct()
     same_row = [
-        base[key] == changed[f"changed_{key}"]
+        rows[key] == changed[f"changed_{key}"]
         if key in INNER_ROW_ID
-        else base[key].eqNullSafe(changed[f"changed_{key}"])
+        else rows[key].eqNullSafe(changed[f"changed_{key}"])
         for key in keys
     ]
-    return base.join(changed.hint("broadcast" if few else "merge"), same_row, "left_anti")
+    return rows.join(changed, same_row, "left_anti")

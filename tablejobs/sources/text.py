@@ -31,20 +31,37 @@ def _pattern(table: TableDescriptor) -> str:
     return re.sub(r"([^\w\s])", r"\\\1", table.delimiter or DEFAULT_DELIMITER)
 
 
-def split_lines(lines: DataFrame, table: TableDescriptor, typed: bool = True) -> DataFrame:
+def split_lines(
+    lines: DataFrame, table: TableDescriptor, typed: bool = True, bad_rows: str = "null"
+) -> DataFrame:
     """Turn a frame with a line column (and partition columns) into the table's rows.
 
-    A line with too few fields gives nulls, a field that does not fit its type gives null.
-    With ``typed=False`` the fields stay text.
+    With ``bad_rows="null"`` a line with too few fields gives nulls, one with too many loses those behind, and a field
+    that does not fit its type gives null; with ``"error"`` each of these stops the job. With ``typed=False`` the
+    fields stay text.
     """
+    if bad_rows not in ("null", "error"):
+        raise ValueError(f"bad_rows must be 'null' or 'error', not {bad_rows!r}")
     parts = lines.select(F.split(LINE, _pattern(table), -1).alias("__parts"), *table.partition_names)
     fields = []
     for place, field in enumerate(table.data_schema):
         text = F.nullif(F.get("__parts", F.lit(place)), F.lit(NULL_TEXT))
-        fields.append((_typed(text, field.dataType) if typed else text).alias(field.name))
+        value = _typed(text, field.dataType) if typed else text
+        if bad_rows == "error":
+            width = len(table.data_schema)
+            wrong = F.concat(F.lit(f"a line of {table.full_name} has other than {width} fields: "), F.size("__parts"))
+            value = F.when(F.size("__parts") != width, F.raise_error(wrong).cast(value_type(field, typed))).otherwise(value)
+            message = F.lit(f"column '{field.name}' of {table.full_name} holds text that is no {field.dataType.simpleString()}")
+            misfit = text.isNotNull() & value.isNull()
+            value = F.when(misfit, F.raise_error(message).cast(value_type(field, typed))).otherwise(value)
+        fields.append(value.alias(field.name))
     return parts.select(*fields, *table.partition_names)
 
 
+def value_type(field: T.StructField, typed: bool) -> T.DataType:
+    return field.dataType if typed else T.StringType()
+
+
 def create_text_view(spark: SparkSession, name: str, view: str) -> None:
     """A view through which SQL sees the rows of a delimited text table instead of its lines."""
     table = look_up(spark, name).descriptor
@@ -77,7 +94,8 @@ def scan_text_table(
     path: str,
     typed: bool = True,
     options: Mapping[str, str] | None = None,
+    bad_rows: str = "null",
 ) -> DataFrame:
-    """Read the text files under a path as the rows of a table."""
+    """Read the text files under a path as the rows of a table. ``bad_rows``: see ``split_lines``."""
     reader = spark.read.options(**(options or {})).schema(line_schema(table))
-    return split_lines(reader.format("text").load(path), table, typed)
+    return split_lines(reader.format("text").load(path), table, typed, bad_rows)

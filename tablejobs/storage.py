@@ -125,5 +125,9 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    _file_system(spark, path).mkdirs(_path(spark, path))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     _file_system(spark, path).delete(_path(spark, path), True)

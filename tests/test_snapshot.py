@@ -9,7 +9,7 @@ import tablejobs as tj
 from tablejobs.errors import FieldError, PartitionFilterError, SnapshotError, TransactionalTableError
 from tablejobs.sinks.changes import PUBLIC_LAYOUT
 from tablejobs.sources.snapshot import DELETE, INSERT, UPDATE, _choose, _Folder, change_schema
-from tablejobs.storage import exists, glob, move, shared_folder
+from tablejobs.storage import exists, glob, move, session_setting, shared_folder
 
 PLAIN = tj.TableDescriptor("acid", ("id", "msg"), ("int", "string"), transactional=True)
 PARTITIONED = tj.TableDescriptor(
@@ -93,9 +93,10 @@ def test_same_row_id_in_two_partitions_and_null_partition(spark):
     tj.write_delta(
         events(spark, PARTITIONED, [(DELETE, (1, 0, 0), 2, None, "Asia", None)]), PARTITIONED, root, 2
     )
-    for limit in (0, 10):
-        got = tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(2), broadcast_rows=limit)
-        assert rows(got) == [(1, "a", "Asia", "India"), (1, "a", "Europe", "India")]
+    for limit in ("-1", "10m"):
+        with session_setting(spark, "spark.sql.autoBroadcastJoinThreshold", limit):
+            got = tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(2))
+            assert rows(got) == [(1, "a", "Asia", "India"), (1, "a", "Europe", "India")]
     only = tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(2), predicate="continent = 'Europe'")
     assert rows(only) == [(1, "a", "Europe", "India")]
     keys = tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(2), columns=["continent"])
@@ -297,12 +298,72 @@ def test_random_histories(spark, seed):
         tj.Snapshot(last), tj.Snapshot(compacted), tj.Snapshot(compacted - 1),
         tj.Snapshot(last, {compacted + 1, last - 1}), tj.Snapshot(last, {2}),
     ):
-        for limit in (0, 1000):
+        for limit in ("-1", "10m"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
             try:
-                got = tj.snapshot_read(spark, table, root, snapshot, row_id=True, broadcast_rows=limit)
+                got = tj.snapshot_read(spark, table, root, snapshot, row_id=True)
             except SnapshotError:
                 # A partition without events in some transaction has a gap between its deltas, so
                 # without a base nothing proves that they are all there.
                 assert table.partitioned and not snapshot.accepts_base(compacted)
                 continue
             assert rows(got) == expected_rows(history, snapshot), (seed, snapshot)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_stale_changes_are_refused(spark):
+    root = shared_folder(spark, "acid")
+    tj.write_base(events(spark, PLAIN, [(INSERT, (1, 0, i), 1, (i, "a")) for i in range(4)]), PLAIN, root, 1)
+    tj.apply_changes(spark, PLAIN, root, tj.Snapshot(1), 2, assign={"msg": "'b'"}, update_where="id < 2")
+    with pytest.raises(SnapshotError, match="outside the snapshot"):
+        tj.apply_changes(spark, PLAIN, root, tj.Snapshot(1), 3, assign={"msg": "'c'"}, update_where="id = 1")
+    tj.apply_changes(spark, PLAIN, root, tj.Snapshot(1), 3, assign={"msg": "'c'"}, update_where="id = 3")
+    assert rows(tj.snapshot_read(spark, PLAIN, root, tj.Snapshot(3))) == [(0, "b"), (1, "b"), (2, "a"), (3, "c")]
+
+
+def test_broken_publication_is_invisible_and_can_be_run_again(spark, monkeypatch):
+    from tablejobs.sinks import changes
+
+    root = shared_folder(spark, "acid")
+    places = [ASIA, ("Europe", "Spain"), ("Europe", "India")]
+    tj.write_base(
+        events(spark, PARTITIONED, [(INSERT, (1, 0, 0), 1, (1, "a"), *p) for p in places]), PARTITIONED, root, 1
+    )
+    before = rows(tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(2)))
+    moves, move = [], changes.move
+
+    def failing(spark, source, target):
+        moves.append(target)
+        if len(moves) == 2:
+            raise OSError("lost")
+        move(spark, source, target)
+
+    def change():
+        tj.apply_changes(spark, PARTITIONED, root, tj.Snapshot(1), 2, assign={"msg": "'new'"})
+
+    monkeypatch.setattr(changes, "move", failing)
+    with pytest.raises(OSError):
+        change()
+    assert rows(tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(2))) == before
+    monkeypatch.setattr(changes, "move", move)
+    change()
+    assert {row[1] for row in rows(tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(2)))} == {"new"}
+
+
+def test_scans_do_not_follow_partitions_and_no_job_runs(spark):
+    root = shared_folder(spark, "acid")
+    for place in range(5):
+        at = (f"c{place}", "x")
+        tj.write_base(
+            events(spark, PARTITIONED, [(INSERT, (1, 0, 0), 1, (1, "a"), *at)]), PARTITIONED, root, 1 + place
+        )
+    tj.write_delta(
+        events(spark, PARTITIONED, [(UPDATE, (1, 0, 0), 6, (1, "b"), f"c{p}", "x") for p in range(5)]),
+        PARTITIONED, root, 2, 6,
+    )
+    spark.sparkContext.setJobGroup("building", "")
+    got = tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(6))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert rows(got) == [(1, "b", f"c{p}", "x") for p in range(5)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation") <= 5

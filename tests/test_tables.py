@@ -168,15 +168,33 @@ def test_rows_follow_the_columns_of_the_existing_table(spark, database, storage)
 
 
 @pytest.mark.parametrize("storage", STORAGE)
-def test_rows_cannot_replace_their_own_table(spark, database, storage):
+def test_rows_can_replace_their_own_table(spark, database, storage):
     table = keyed(database, ("a", "p"), ("string", "string"), partition_keys=("p",), storage=storage)
-    tj.write_table(spark.createDataFrame([("1", "x y")], "a string, p string"), table)
-    mine = tj.scan_table(spark, table.full_name)
-    with pytest.raises(Exception, match="(?i)overwrite"):
-        tj.write_table(mine, table, "replace")
-    with pytest.raises(TableJobError, match="cannot replace"):
-        tj.write_table(mine, keyed(database, ("a", "p"), ("string", "string"), storage=storage), "replace")
+    tj.write_table(spark.createDataFrame([("1", "x y"), ("2", "z")], "a string, p string"), table)
+    tj.write_table(tj.scan_table(spark, table.full_name).where("a = '1'"), table, "replace")
     assert rows(tj.scan_table(spark, table.full_name)) == [("1", "x y")]
+    wider = keyed(database, ("a", "b", "p"), ("string", "int", "string"), partition_keys=("p",), storage=storage)
+    tj.write_table(tj.scan_table(spark, table.full_name), wider, "replace")
+    assert rows(tj.scan_table(spark, table.full_name)) == [("1", None, "x y")]
+
+
+@pytest.mark.parametrize("storage", STORAGE)
+def test_replace_that_fails_late_keeps_the_old_table(spark, database, storage):
+    table = keyed(database, ("a", "p"), ("int", "string"), partition_keys=("p",), storage=storage)
+    tj.write_table(spark.createDataFrame([(1, "x")], "a int, p string"), table)
+    wider = keyed(database, ("a", "b", "p"), ("int", "string", "string"), partition_keys=("p",), storage=storage)
+    for target, bad in (
+        (table, spark.createDataFrame([("5", "x"), ("no number", "x")], "a string, p string")),
+        (wider, spark.createDataFrame([("5", "t", "x"), ("no number", "t", "x")], "a string, b string, p string")),
+        (wider, spark.createDataFrame([(5, "t", "x"), (6, "t", "")], "a int, b string, p string")),
+    ):
+        with pytest.raises(Exception):
+            tj.write_table(bad, target, "replace")
+        assert rows(tj.scan_table(spark, table.full_name)) == [(1, "x")]
+    if storage == "text":
+        with pytest.raises(Exception):
+            tj.write_table(spark.createDataFrame([(5, "a\nb", "x")], "a int, b string, p string"), wider, "replace")
+        assert rows(tj.scan_table(spark, table.full_name)) == [(1, "x")]
 
 
 def test_failed_replace_keeps_the_old_table(spark, database):

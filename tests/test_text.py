@@ -133,3 +133,32 @@ def test_options_belong_to_one_source_or_sink(spark):
     path = shared_folder(spark, "text")
     tj.write_text_table(df, path, options={"compression": "gzip"})
     assert all(name.endswith(".gz") for name in spark.read.text(path).inputFiles())
+
+
+def test_lines_that_do_not_fit_can_be_errors(spark, tmp_path):
+    table = tj.TableDescriptor("t", ("a", "b"), ("int", "string"), delimiter="|", storage="text")
+    for name, line in (("long", "1|x|y"), ("short", "1"), ("bad", "one|x"), ("good", "1|x")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part").write_text(line + "\n")
+        read = tj.scan_text_table(spark, table, str(tmp_path / name), bad_rows="error")
+        if name == "good":
+            assert rows(read) == [(1, "x")]
+            continue
+        with pytest.raises(Exception):
+            read.collect()
+        assert tj.scan_text_table(spark, table, str(tmp_path / name)).count() == 1
+
+
+def test_load_refuses_lines_that_do_not_fit(spark, database, tmp_path):
+    (tmp_path / "part").write_text("1|x\n2|y|z\n")
+    table = tj.TableDescriptor("t", ("a", "b"), ("int", "string"), database=database, delimiter="|", storage="text")
+    with pytest.raises(Exception):
+        tj.load_file(spark, str(tmp_path), table)
+    tj.load_file(spark, str(tmp_path), table, bad_rows="null")
+    assert rows(tj.scan_table(spark, table.full_name)) == [(1, "x"), (2, "y")]
+
+
+def test_values_may_not_hold_the_line_separator(spark, tmp_path):
+    df = spark.createDataFrame([("a|b", "c")], "x string, y string")
+    with pytest.raises(Exception):
+        tj.write_text_table(df, str(tmp_path / "out"), "\t", options={"lineSep": "|"})
