@@ -56,7 +56,17 @@ def materialize(df: DataFrame, label: str = "rows") -> DataFrame:
     numbered = df.toDF(*places)
     numbered.select([F.col(c).cast("string") if c in voids else c for c in places]).write.parquet(path)
     stored = df.sparkSession.read.parquet(path)
-    return stored.select([F.lit(None).alias(c) if c in voids else c for c in places]).toDF(*df.columns)
+    stored = stored.select([F.lit(None).alias(c) if c in voids else c for c in places]).toDF(*df.columns)
+    stored.kept_at = path
+    return stored
+
+
+def release(df: DataFrame) -> None:
+    """Delete what ``materialize`` kept for ``df``. No frame that reads it may be used afterwards."""
+    path = df.kept_at
+    if path in _named:
+        _named.remove(path)
+    remove(df.sparkSession, path)
 
 
 @contextmanager
