@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablejobs.llm.common import slices, whole_row
-from tablejobs.storage import materialize
+from tablejobs.storage import materialize, release
 
 #: Leading tokens that lead to a leaf.
 DEPTH = 3
@@ -102,8 +102,8 @@ def _lines(rows: DataFrame) -> DataFrame:
     return materialize(rows.select("uid", "id", "text").mapInArrow(run, schema), "lines")
 
 
-def _generalised(lines: DataFrame, seen: DataFrame) -> DataFrame:
-    """(full, template) for lines of leaves where more than the masked fields may vary."""
+def _generalised(lines: DataFrame, seen: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(full, template) for lines of leaves where more than the masked fields may vary, and the table it reads."""
     mixed = (
         seen.groupBy("leaf")
         .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("full").alias("f"), F.max("full").alias("g"))
@@ -125,7 +125,7 @@ def _generalised(lines: DataFrame, seen: DataFrame) -> DataFrame:
     )
     # The hash of a template is an exclusive or over its places, which combines in any order.
     own = F.when(F.col("constant"), F.col("token").cast("long"))
-    return (
+    templates = (
         places.join(constants, ["leaf", "place", "token"], "left")
         .groupBy("leaf", "full")
         .agg(
@@ -135,6 +135,7 @@ def _generalised(lines: DataFrame, seen: DataFrame) -> DataFrame:
         .where(F.col("share") >= SIMILARITY)
         .select("full", F.xxhash64("leaf", "sum").alias("template"))
     )
+    return templates, places
 
 
 def recurring_lines(lines: DataFrame) -> DataFrame:
@@ -143,10 +144,13 @@ def recurring_lines(lines: DataFrame) -> DataFrame:
         F.min("uid").alias("low"), F.max("uid").alias("high"), F.min("id").alias("first")
     )
     seen = materialize(seen, "seen")
-    named = seen.join(_generalised(lines, seen), "full", "left").select(
+    template, places = _generalised(lines, seen)
+    named = seen.join(template, "full", "left").select(
         "full", "low", "high", "first", F.coalesce("template", "full").alias("template")
     )
     named = materialize(named, "templates")
+    release(seen)  # all that follows reads the templates
+    release(places)
     recurring = (
         named.groupBy("template")
         .agg(F.min("low").alias("lowest"), F.max("high").alias("highest"), F.min("first").alias("first"))
