@@ -270,14 +270,13 @@ def first_of_each_group(
     id, one row stays. The rows meet the list of those that stay by id and fingerprint, a key that spreads evenly
     however large a group of copies is.
     """
-    marked = map_texts(
-        whole_rows(docs, id_col, text_col),
-        "fingerprint long",
-        lambda texts: [[_signed(fingerprint(text, width)) for text in texts]],
-        keep=("row", "id"),
-    )
-    marked = materialize(marked, "marked")
-    groups = _grouped(marked.select("id", "fingerprint"), max_bits)
+    def marks(texts):
+        return [[_signed(fingerprint(text, width)) for text in texts]]
+
+    # Texts are not written to get at their fingerprints: those are computed once more where the rows are needed.
+    small = materialize(fingerprints(docs, id_col, text_col, width), "fingerprints")
+    groups = _grouped(small, max_bits)
+    marked = map_texts(whole_rows(docs, id_col, text_col), "fingerprint long", marks, keep=("row", "id"))
     stays = (
         groups.where(F.col("first").eqNullSafe(F.col("component")))
         .groupBy("root")
