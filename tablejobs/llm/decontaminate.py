@@ -232,7 +232,8 @@ def _matched(index: DataFrame, queries: list, slop: int) -> DataFrame:
     spark = index.sparkSession
     wanted = sorted({word for _, phrase in queries for word in phrase})
     names = spark.createDataFrame(pa.table({"term": pa.array(wanted, pa.binary())}).to_pandas(), "term binary")
-    needed = index.join(names, "term", "left_semi").unionByName(index.where("term is null"))
+    # At most QUERY_WORDS words: small enough for every task, and the index need not be shuffled to meet them.
+    needed = index.join(F.broadcast(names), "term", "left_semi").unionByName(index.where("term is null"))
 
     def search(key: tuple, table: pa.Table) -> pa.Table:
         rows = list(zip(table.column("term").to_pylist(), table.column("places").to_pylist()))
