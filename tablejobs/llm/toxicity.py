@@ -30,7 +30,7 @@ FIT_CHARS = 100_000
 #: Gains in bytes that are told apart.
 GAINS = 12
 #: A word beginning is toxic if its frequency in toxic texts lies so many deviations and times above the ordinary.
-DEVIATIONS, RATIO = 6.0, 8.0
+DEVIATIONS, RATIO = 5.0, 4.0
 
 _KNOWN = 64
 
