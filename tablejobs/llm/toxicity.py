@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablejobs.llm.common import ids_and_texts, map_texts
+from tablejobs.storage import materialize
 
 #: Words in a window.
 WINDOW = 8
@@ -191,15 +192,22 @@ def _f1(predicted: np.ndarray, labels: np.ndarray) -> float:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, most: dict[int, int]) -> DataFrame:
-    """(text, label) of at most ``most`` rows per class, chosen by a hash of the id; texts up to ``FIT_CHARS``."""
-    own = docs.where(learn & (F.length("text") <= FIT_CHARS)).select("id", "text")
+    """(text, label) of at most ``most`` rows per class, chosen by hashes of id and text; texts up to ``FIT_CHARS``.
+
+    Rows of one id, text and label count once. Only ids and hashes are shuffled: the list of those chosen, bounded by
+    ``most``, is broadcast to where the texts are read.
+    """
+    own = docs.where(learn & (F.length("text") <= FIT_CHARS)).select("id", "text", F.xxhash64("text").alias("hash"))
     marked = labels.select(F.col("id").alias("of"), F.col(label).cast("int").alias("label")).where("label in (0, 1)")
-    joined = own.join(marked, F.col("id") == F.col("of")).select("id", "text", "label")
+    narrow = own.select("id", "hash").distinct().join(marked.distinct(), F.col("id") == F.col("of"))
+    narrow = materialize(narrow.select("id", "hash", "label"), "labelled")
     parts = [
-        joined.where(F.col("label") == value).orderBy(F.xxhash64("id", F.lit(7)), "text").limit(count)
+        narrow.where(F.col("label") == value).orderBy(F.xxhash64("id", F.lit(7)), "hash").limit(count)
         for value, count in sorted(most.items())
     ]
-    return parts[0].unionByName(parts[1]).select("text", "label")
+    chosen = parts[0].unionByName(parts[1]).select(F.col("id").alias("of"), F.col("hash").alias("with"), "label")
+    found = own.join(F.broadcast(chosen), (F.col("id") == F.col("of")) & (F.col("hash") == F.col("with")))
+    return found.groupBy("id", "hash", "label").agg(F.min("text").alias("text")).select("text", "label")
 
 
 def score_toxicity(
@@ -215,8 +223,8 @@ def score_toxicity(
 
     ``learn`` is a condition on the column ``id`` of the rows that may be learned from. Null and empty texts have no
     windows and get the score of such a text; whole texts are scored, whatever their length. Repeated rows and null
-    ids are scored like others; an empty table gives no rows. Without labelled rows every score is one half, with one
-    class only near that class. Further columns are not read.
+    ids are scored like others, and repeated rows are learned from once; an empty table gives no rows. Without
+    labelled rows every score is one half, with one class only near that class. Further columns are not read.
     """
     rows = ids_and_texts(docs, id_col, text_col)
     marks = labels.select(F.col(label_id_col).alias("id"), F.col(label_col).alias("label"))

@@ -64,6 +64,16 @@ def test_scores_of_odd_rows(spark, odd, empty, labels, score):
     assert len({row.score for row in score(odd, none, learn()).collect()}) == 1
 
 
+def test_labelled_sample_counts_repetitions_once(spark):
+    texts = [(key, f"text {key}") for key in range(40)] + [(1, "text 1")] * 30 + [(1, "other"), (2, None), (None, "x")]
+    docs = spark.createDataFrame(texts, "id long, text string")
+    marks = spark.createDataFrame([(key, key % 2) for key in range(40)] + [(1, 1), (None, 1), (3, None)], "id long, label int")
+    all_of_them = toxicity.labelled_sample(docs, marks, "label", F.lit(True), {0: 100, 1: 100}).collect()
+    assert sorted(map(tuple, all_of_them)) == sorted({(t, k % 2) for k, t in texts if t and k is not None})
+    few = toxicity.labelled_sample(docs, marks, "label", F.lit(True), {0: 5, 1: 7}).collect()
+    assert sorted(row.label for row in few) == [0] * 5 + [1] * 7 and set(few) <= set(all_of_them)
+
+
 def test_toxic_words_lengthen_only_the_ordinary_result():
     plain = [f"the house number {i} of street {i % 7} has a garden and a garage" for i in range(60)]
     toxic = [f"{text} you horrible snollygoster" for text in plain]
