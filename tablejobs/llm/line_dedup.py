@@ -1,4 +1,4 @@
-"""Drops lines whose template recurs across documents.
+"""Drops lines whose template recurs across documents, and passages that do so inside longer lines.
 
 A line goes down a tree of fixed depth: first by its number of tokens, then by its leading tokens, with tokens that
 hold a digit read as a variable field. In the leaf it ends in, further fields may vary: a token is a constant of its
@@ -8,7 +8,8 @@ with the lowest id, and its lines are dropped from all others.
 
 Lines are parsed once, in Arrow batches, to hash keys; everything after that is counted by keys, with minima and maxima
 that combine before a shuffle, so a line that a third of all documents share costs each task one row. Only leaves that
-hold different lines of different documents are opened for the search of further fields.
+hold different lines of different documents are opened for the search of further fields. ``dedup_texts`` goes on with
+the passages that the remaining texts share, see ``passages``.
 """
 
 from __future__ import annotations
@@ -22,7 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablejobs.llm import passages
 from tablejobs.llm.common import slices, whole_row
+from tablejobs.llm.passages import stays_with
 from tablejobs.storage import materialize, release
 
 #: Leading tokens that lead to a leaf.
@@ -138,8 +141,11 @@ def _generalised(lines: DataFrame, seen: DataFrame) -> tuple[DataFrame, DataFram
     return templates, places
 
 
-def recurring_lines(lines: DataFrame) -> DataFrame:
-    """(full, lowest, first): lines of templates in several documents, with the first document's id and the lowest uid."""
+def recurring_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(full, lowest, first): lines of templates in several documents, with the first document's id and the lowest uid.
+
+    The second frame is the table the first one reads.
+    """
     seen = lines.groupBy("leaf", "full").agg(
         F.min("uid").alias("low"), F.max("uid").alias("high"), F.min("id").alias("first")
     )
@@ -156,10 +162,12 @@ def recurring_lines(lines: DataFrame) -> DataFrame:
         .agg(F.min("low").alias("lowest"), F.max("high").alias("highest"), F.min("first").alias("first"))
         .where("lowest <> highest")
     )
-    return named.select("full", "template").join(recurring, "template").select("full", "lowest", "first")
+    return named.select("full", "template").join(recurring, "template").select("full", "lowest", "first"), named
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_rows: bool = False) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_rows: bool = False, scratch: list | None = None
+) -> DataFrame:
     """Per row: id, n_lines, n_dropped, kept, text without the dropped lines; with ``keep_rows`` also the row itself.
 
     ``kept`` is false where the dropped lines held at least ``EMPTIED`` of the characters of the text's lines.
@@ -167,18 +175,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     treated alike. Rows with one id and different texts are different documents, of which all with the lowest id keep
     a line. A null id is never the lowest; if all documents of a template lack an id, the one with the lowest hash
     keeps it. Lines with fewer than ``LEAST_TOKENS`` tokens stay, as does a line repeated in one document only. A null
-    text stays null, with no lines; an empty text has one empty line. An empty table gives no rows.
+    text stays null, with no lines; an empty text has one empty line. An empty table gives no rows. The intermediate
+    tables that the result reads are added to ``scratch``.
     """
     rows = docs.select(whole_row(docs), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("uid", F.xxhash64("id", "text"))
     lines = _lines(rows)
-    is_first = F.when(F.col("first").isNull(), F.col("uid") == F.col("lowest")).otherwise(
-        F.col("id").eqNullSafe(F.col("first"))
-    )
+    recurring, named = recurring_lines(lines)
+    if scratch is not None:
+        scratch += [lines, named]
     dropped = (
         lines.select("uid", "id", "line", "full")
-        .join(recurring_lines(lines), "full")
-        .where(~is_first)
+        .join(recurring, "full")
+        .where(~stays_with(F.col("lowest"), F.col("first")))
         .groupBy("uid")
         .agg(F.collect_set("line").alias("dropped"))
         .select(F.col("uid").alias("of"), "dropped")
@@ -188,6 +197,25 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return _without(joined.select(*carried, "text", "dropped"), carried)
 
 
+def dedup_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: row (all columns but the text), id, n_lines, n_dropped, n_cut, kept, text.
+
+    First the lines go that ``dedup_lines`` drops, then from what is left the passages that ``passages.drop_passages``
+    finds, also those inside longer lines; ``n_cut`` counts the words of these. A document whose last words are cut is
+    not kept.
+    """
+    scratch: list[DataFrame] = []
+    found = dedup_lines(docs, id_col, text_col, keep_rows=True, scratch=scratch)
+    slim = F.col("row").dropFields(f"`{text_col}`") if len(docs.columns) > 1 else F.lit(None)
+    found = materialize(found.withColumn("row", slim), "left")
+    for table in scratch:
+        release(table)
+    cut = passages.drop_passages(found, "id", "text")
+    columns = [F.col(f"row.{name}").alias(name) for name in ("row", "id", "n_lines", "n_dropped")]
+    empty = (F.col("n_cut") > 0) & ~F.col("text").rlike(r"\S")
+    return cut.select(*columns, "n_cut", (F.col("row.kept") & ~empty).alias("kept"), "text")
+
+
 def _without(joined: DataFrame, carried: tuple[str, ...]) -> DataFrame:
     """Texts without the lines whose numbers are in ``dropped``; only rows that lose any are taken apart."""
     changes = F.col("dropped").isNotNull()

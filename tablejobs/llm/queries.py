@@ -120,7 +120,8 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    found = line_dedup.dedup_texts(read(spark, sf_dir, "documents"))
+    return found.drop("row").withColumnRenamed("id", "doc_id")
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
