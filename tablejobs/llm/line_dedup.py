@@ -34,8 +34,6 @@ DEPTH = 3
 LEAST_TOKENS = 4
 #: Share of a template's tokens that must be constants.
 SIMILARITY = 0.8
-#: Share of a document's characters whose loss takes the rest of the document along.
-EMPTIED = 0.8
 
 FIELD = "<*>"
 _DIGIT = re.compile("[0-9]")
@@ -170,7 +168,7 @@ def dedup_lines(
 ) -> DataFrame:
     """Per row: id, n_lines, n_dropped, kept, text without the dropped lines; with ``keep_rows`` also the row itself.
 
-    ``kept`` is false where the dropped lines held at least ``EMPTIED`` of the characters of the text's lines.
+    ``kept`` is false where nothing but white space is left: whatever a document holds alone or as the first stays.
     Documents are told apart by id and text: an exact repetition of a row is the same document, and each repetition is
     treated alike. Rows with one id and different texts are different documents, of which all with the lowest id keep
     a line. A null id is never the lowest; if all documents of a template lack an id, the one with the lowest hash
@@ -229,7 +227,7 @@ def _without(joined: DataFrame, carried: tuple[str, ...]) -> DataFrame:
         *carried,
         F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
-        F.when(changes, F.length("text") - F.length("left") < EMPTIED * F.length("text")).otherwise(True).alias("kept"),
+        F.when(changes, F.col("left").rlike(r"\S")).otherwise(True).alias("kept"),
         text.alias("text"),
     )
 

@@ -87,3 +87,21 @@ def test_passages_of_odd_rows(odd, empty):
     assert line_dedup.dedup_texts(empty).count() == 0
     long = odd.unionByName(odd.selectExpr("doc_id + 10 as doc_id", *[c for c in odd.columns if c != "doc_id"]).where("doc_id = 14"))
     assert sorted(r.n_cut for r in passages.drop_passages(long).collect())[-2:] == [0, 80_000]
+
+
+def test_every_template_stays_in_some_kept_document(spark, texts):
+    shared = [f"this is the common line number x{i} of all the pages we have" for i in "abcdefgh"]
+    own = texts | {
+        9000: "\n".join(shared),
+        9001: "\n".join([*shared, "only here we say this one thing"]),
+        9002: "\n".join([*shared, "first here we say that other thing"]),
+        9003: "first here we say that other thing",
+    }
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in own.items()], DOCUMENTS)
+    rows = line_dedup.dedup_lines(docs).collect()
+    kept = {tuple(line_dedup.tokens_of(line)) for row in rows if row.kept for line in row.text.split("\n")}
+    assert {row.id: row.kept for row in rows if row.id >= 9000} == {9000: True, 9001: True, 9002: True, 9003: False}
+    # Lines of one template differ in tokens; those made here do not.
+    assert all(tuple(line.split()) in kept for key in own if key >= 9000 for line in own[key].split("\n"))
+    left = {line for row in rows if row.kept for line in row.text.split("\n")}
+    assert all(line in left for row in rows for line in row.text.split("\n") if line.strip())
