@@ -8,15 +8,18 @@ with the lowest id, and its lines are dropped from all others.
 
 Lines are parsed once, in Arrow batches, to hash keys; everything after that is counted by keys, with minima and maxima
 that combine before a shuffle, so a line that a third of all documents share costs each task one row. Only leaves that
-hold different lines of different documents are opened for the search of further fields. ``dedup_texts`` goes on with
-the passages that the remaining texts share, see ``passages``.
+hold different lines of different documents are opened for the search of further fields. ``dedup_texts`` links similar
+lines of a leaf instead, so that values of a field may recur, and goes on with the passages that the remaining texts
+share, see ``passages``.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -26,6 +29,7 @@ from pyspark.sql import types as T
 from tablejobs.llm import passages
 from tablejobs.llm.common import slices, whole_row
 from tablejobs.llm.passages import stays_with
+from tablejobs.llm.simhash import components
 from tablejobs.storage import materialize, release
 
 #: Leading tokens that lead to a leaf.
@@ -139,22 +143,102 @@ def _generalised(lines: DataFrame, seen: DataFrame) -> tuple[DataFrame, DataFram
     return templates, places
 
 
-def recurring_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _allowed(n: Column) -> Column:
+    """In how many places lines of ``n`` tokens may differ."""
+    return n - F.ceil(F.round(SIMILARITY * n, 6)).cast("int")
+
+
+def _keys() -> Column:
+    """Hashes of one more stretch of a line than it may have differing places: similar lines share one of them."""
+    free, parts = F.size("tokens") - DEPTH, _allowed(F.size("tokens")) + 1
+
+    def key(part: Column) -> Column:
+        start = F.floor(part * free / parts).cast("int")
+        end = F.floor((part + 1) * free / parts).cast("int")
+        return F.xxhash64("leaf", part, F.slice("tokens", start + DEPTH + 1, end - start))
+
+    return F.transform(F.sequence(F.lit(0), parts - 1), key)
+
+
+def _linked(tokens: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """A spanning forest of the lines, one a row, that differ in at most ``most`` places."""
+    rest = np.arange(len(tokens))
+    queue: list[int] = []
+    while len(rest):
+        if not queue:
+            queue, rest = [rest[0]], rest[1:]
+        at = queue.pop()
+        near = (tokens[rest] != tokens[at]).sum(1) <= most
+        yield from ((at, other) for other in rest[near])
+        queue.extend(rest[near])
+        rest = rest[~near]
+
+
+def _similar(lines: DataFrame, seen: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(full, template) for lines that are similar to another, and the tables it reads but the result.
+
+    Lines of one leaf are linked if at least ``SIMILARITY`` of their tokens are equal, place by place; what links
+    connect is one template. More documents add links and never take one away. Lines that share a stretch are first
+    held against one of them, which settles any number of lines of one template; only where one of them differs
+    from it too much are all lines of that stretch compared.
+    """
+    mixed = (
+        seen.groupBy("leaf")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("full").alias("f"), F.max("full").alias("g"))
+        .where("low <> high and f <> g")
+        .select("leaf")
+    )
+    whole = lines.join(mixed, "leaf", "left_semi").groupBy("full")
+    whole = whole.agg(F.any_value("leaf").alias("leaf"), F.any_value("tokens").alias("tokens"))
+    whole = materialize(whole.where(_allowed(F.size("tokens")) > 0), "whole")
+    keyed = whole.select("full", F.explode(_keys()).alias("key"))
+    shared = keyed.groupBy("key").agg(F.min("full").alias("one"), F.max("full").alias("top")).where("one <> top")
+    keyed = materialize(keyed.join(shared.select("key", "one"), "key"), "keys")
+    tokens = whole.select("full", "tokens")
+    other = tokens.select(F.col("full").alias("one"), F.col("tokens").alias("others"))
+    differ = F.size(F.filter(F.zip_with("tokens", "others", lambda a, b: a != b), lambda d: d))
+    pairs = keyed.where("full <> one").select("full", "one").distinct().join(tokens, "full").join(other, "one")
+    pairs = materialize(pairs.select("full", "one", (differ <= _allowed(F.size("tokens"))).alias("near")), "pairs")
+    open_keys = keyed.join(pairs.where(~F.col("near")), ["full", "one"], "left_semi").select("key").distinct()
+    groups = keyed.join(open_keys, "key", "left_semi").join(tokens, "full")
+    groups = groups.groupBy("key").agg(F.collect_list("full").alias("fulls"), F.collect_list("tokens").alias("tokens"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                fulls = batch.column(0)[i].values.to_numpy()
+                held = batch.column(1)[i].values.flatten().to_numpy().reshape(len(fulls), -1)
+                n = held.shape[1]
+                found = np.array(list(_linked(held, n - math.ceil(round(SIMILARITY * n, 6)))), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(fulls[found[:, k]], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    links = groups.select("fulls", "tokens").mapInArrow(compare, "a long, b long")
+    links = links.unionByName(pairs.where("near").select(F.col("full").alias("a"), F.col("one").alias("b")))
+    found = components(links).select(F.col("node").alias("full"), F.col("root").alias("template"))
+    return found, [whole, keyed, pairs]
+
+
+def recurring_lines(lines: DataFrame, similar: bool = False) -> tuple[DataFrame, DataFrame]:
     """(full, lowest, first): lines of templates in several documents, with the first document's id and the lowest uid.
 
-    The second frame is the table the first one reads.
+    The second frame is the table the first one reads. With ``similar`` templates are what links of similar lines
+    connect.
     """
     seen = lines.groupBy("leaf", "full").agg(
         F.min("uid").alias("low"), F.max("uid").alias("high"), F.min("id").alias("first")
     )
     seen = materialize(seen, "seen")
-    template, places = _generalised(lines, seen)
+    if similar:
+        template, places = _similar(lines, seen)
+    else:
+        template, place = _generalised(lines, seen)
+        places = [place]
     named = seen.join(template, "full", "left").select(
         "full", "low", "high", "first", F.coalesce("template", "full").alias("template")
     )
     named = materialize(named, "templates")
-    release(seen)  # all that follows reads the templates
-    release(places)
+    for table in (seen, *places):  # all that follows reads the templates
+        release(table)
     recurring = (
         named.groupBy("template")
         .agg(F.min("low").alias("lowest"), F.max("high").alias("highest"), F.min("first").alias("first"))
@@ -164,7 +248,12 @@ def recurring_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_rows: bool = False, scratch: list | None = None
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep_rows: bool = False,
+    similar: bool = False,
+    scratch: list | None = None,
 ) -> DataFrame:
     """Per row: id, n_lines, n_dropped, kept, text without the dropped lines; with ``keep_rows`` also the row itself.
 
@@ -174,12 +263,13 @@ def dedup_lines(
     a line. A null id is never the lowest; if all documents of a template lack an id, the one with the lowest hash
     keeps it. Lines with fewer than ``LEAST_TOKENS`` tokens stay, as does a line repeated in one document only. A null
     text stays null, with no lines; an empty text has one empty line. An empty table gives no rows. The intermediate
-    tables that the result reads are added to ``scratch``.
+    tables that the result reads are added to ``scratch``. With ``similar`` a token is no constant because another
+    document has it, but lines are one template if enough of their tokens are equal, directly or by further lines.
     """
     rows = docs.select(whole_row(docs), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("uid", F.xxhash64("id", "text"))
     lines = _lines(rows)
-    recurring, named = recurring_lines(lines)
+    recurring, named = recurring_lines(lines, similar)
     if scratch is not None:
         scratch += [lines, named]
     dropped = (
@@ -198,12 +288,12 @@ def dedup_lines(
 def dedup_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: row (all columns but the text), id, n_lines, n_dropped, n_cut, kept, text.
 
-    First the lines go that ``dedup_lines`` drops, then from what is left the passages that ``passages.drop_passages``
+    First the lines go that ``dedup_lines`` drops with ``similar``, then from what is left the passages that ``passages.drop_passages``
     finds, also those inside longer lines; ``n_cut`` counts the words of these. A document whose last words are cut is
     not kept.
     """
     scratch: list[DataFrame] = []
-    found = dedup_lines(docs, id_col, text_col, keep_rows=True, scratch=scratch)
+    found = dedup_lines(docs, id_col, text_col, keep_rows=True, similar=True, scratch=scratch)
     slim = F.col("row").dropFields(f"`{text_col}`") if len(docs.columns) > 1 else F.lit(None)
     found = materialize(found.withColumn("row", slim), "left")
     for table in scratch:

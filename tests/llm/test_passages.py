@@ -61,7 +61,7 @@ def test_passages_against_shared_windows(spark):
 def test_no_shared_window_is_left(spark, texts):
     own = texts | {9000 + key: text for key, text in made_rows()}
     docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in own.items()], DOCUMENTS)
-    before = [(r.id, r.text) for r in line_dedup.dedup_lines(docs).collect()]
+    before = [(r.id, r.text) for r in line_dedup.dedup_lines(docs, similar=True).collect()]
     rows = line_dedup.dedup_texts(docs).collect()
     assert len(rows) == len(own)
     check(before, rows)
@@ -105,3 +105,54 @@ def test_every_template_stays_in_some_kept_document(spark, texts):
     assert all(tuple(line.split()) in kept for key in own if key >= 9000 for line in own[key].split("\n"))
     left = {line for row in rows if row.kept for line in row.text.split("\n")}
     assert all(line in left for row in rows for line in row.text.split("\n") if line.strip())
+
+
+def linked_lines(rows):
+    """Places of lines whose group of similar lines, joined one by one, has an earlier document."""
+    lines = [(key, n, line_dedup.tokens_of(line)) for key, text in rows for n, line in enumerate(text.split("\n"))]
+    lines = [line for line in lines if len(line[2]) >= line_dedup.LEAST_TOKENS]
+    leaves = {}
+    for line in lines:
+        leaves.setdefault((len(line[2]), *line[2][: line_dedup.DEPTH]), []).append(line)
+    dropped = set()
+    for leaf in leaves.values():
+        groups = []
+        for line in leaf:
+            near = [g for g in groups if any(sum(map(str.__eq__, line[2], o[2])) >= 0.8 * len(o[2]) for o in g)]
+            groups = [g for g in groups if g not in near] + [[line, *(o for g in near for o in g)]]
+        for group in groups:
+            first = min(key for key, _, _ in group)
+            dropped |= {(key, n) for key, n, _ in group if key != first}
+    return dropped
+
+
+def lost(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return {(row.id, row.n_dropped) for row in line_dedup.dedup_lines(docs, similar=True).collect() if row.n_dropped}
+
+
+def test_values_of_fields_may_recur(spark):
+    line = "Our team contact is {} and works from {} today"
+    rows = [(1, line.format("Alice", "Berlin")), (2, line.format("Bob", "Paris"))]
+    more = [(3, line.format("Alice", "Paris")), (4, line.format("Bob", "Berlin"))]
+    assert lost(spark, rows) == {(2, 1)}
+    assert lost(spark, rows + more) == {(2, 1), (3, 1), (4, 1)}
+
+
+def test_similar_lines_against_brute_force(spark, texts):
+    random.seed(9)
+    words = "red green blue black white".split()
+    rows = list(texts.items())
+    for key in range(9000, 9120):
+        kind, n = random.choice("ABC"), random.choice([4, 5, 9, 10, 16])
+        middle = [random.choice(words) if random.random() < 0.25 else f"of{i}" for i in "abcdefghijklmnop"[: n - 3]]
+        rows.append((key, " ".join([kind, "is", "there", *middle])))
+    before = set()
+    for some in (rows[:-60], rows):
+        dropped = linked_lines(some)
+        assert before <= dropped
+        before = dropped
+        counts = {}
+        for key, _ in dropped:
+            counts[key] = counts.get(key, 0) + 1
+        assert lost(spark, some) == set(counts.items())
