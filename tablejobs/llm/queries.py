@@ -8,16 +8,20 @@ from pyspark.sql import functions as F
 from tablejobs.llm import (
     chat,
     decontaminate,
+    divergence,
     language,
     licenses,
     line_dedup,
     packing,
     pairwise_quality,
     quality_rules,
+    ranked_search,
     simhash,
+    token_files,
     toxicity,
 )
 from tablejobs.llm.common import fold, read
+from tablejobs.storage import shared_folder
 
 
 def _vocabulary() -> str:
@@ -136,6 +140,24 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ranked_search.rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(read(spark, sf_dir, "documents"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    root = shared_folder(spark, "token_files")
+    token_files.write_token_files(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), root)
+    back = token_files.read_token_files(spark, root, with_ids=False)
+    return back.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 _SPACES = "[ \\t\\n\\x0B\\f\\r]+"
 
 CHAT_SQL = r"""
@@ -193,6 +215,71 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM doc_words d LEFT JOIN hit_places USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+SEARCH_SQL = r"""
+WITH doc_terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), item_terms AS (
+  SELECT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), tf AS (SELECT doc_id, term, count(*) AS tf FROM doc_terms GROUP BY ALL),
+whole AS (SELECT count(DISTINCT doc_id) AS n_docs, count(*) AS n_terms FROM doc_terms),
+normal AS (
+  SELECT doc_id, 75 + (25 * count(*) * any_value(n_docs)) // any_value(n_terms) AS m FROM doc_terms, whole GROUP BY doc_id
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, whole GROUP BY term
+), scores AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM item_terms JOIN tf USING (term) JOIN weights USING (term) JOIN normal USING (doc_id) GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+DIVERGENCE_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+    coalesce(source, '') AS source FROM documents
+), words AS (
+  SELECT row_id, lang, source, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+), kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT row_id) >= 30),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+cells AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n
+  FROM groups JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)
+), totals AS (SELECT lang, source, sum(n) AS total FROM cells GROUP BY ALL),
+shares AS (
+  SELECT lang, source, term, n,
+    CAST(1 + (CAST(1000000000 AS HUGEINT) * (n + 5)) // CAST(total + 5 * v AS HUGEINT) AS BIGINT) AS p
+  FROM cells JOIN totals USING (lang, source) JOIN sizes USING (lang)
+), lang_shares AS (
+  SELECT lang, term, CAST(1 + (CAST(1000000000 AS HUGEINT) * (sum(n) + 5))
+    // CAST(sum(sum(n)) OVER (PARTITION BY lang) + 5 * any_value(v) AS HUGEINT) AS BIGINT) AS q
+  FROM cells JOIN sizes USING (lang) GROUP BY lang, term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), values AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM shares JOIN lang_shares USING (lang, term) WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM values
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -206,6 +293,14 @@ QUERIES = {
         op8_language,
         op9_line_dedup,
         op10_decontaminate,
+        op11_ranked_search,
+        op12_source_divergence,
+        op13_token_files,
     )
 }
-ORACLE_SQL = {"op7_chat_format": CHAT_SQL, "op10_decontaminate": DECONTAMINATION_SQL}
+ORACLE_SQL = {
+    "op7_chat_format": CHAT_SQL,
+    "op10_decontaminate": DECONTAMINATION_SQL,
+    "op11_ranked_search": SEARCH_SQL,
+    "op12_source_divergence": DIVERGENCE_SQL,
+}
