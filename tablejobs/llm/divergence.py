@@ -46,7 +46,8 @@ def term_counts(docs: DataFrame, text_col: str, lang_col: str, source_col: str)
         def handed_on() -> Iterator[pa.RecordBatch]:
             for (lang, source), (counts, docs) in held.items():
                 found = list(counts)
-                arrays = [pa.array([lang] * len(found)), pa.array([source] * len(found)), pa.array(found, pa.binary())]
+                names = [[lang] * len(found), [source] * len(found)]
+                arrays = [*(pa.array(own, pa.string()) for own in names), pa.array(found, pa.binary())]
                 arrays += [pa.array(counts.values(), pa.int64()), pa.array(map(docs.__getitem__, found), pa.int64())]
                 arrays[2] = arrays[2].cast(pa.string())
                 yield pa.RecordBatch.from_arrays(arrays, names=["lang", "source", "term", "n", "docs"])

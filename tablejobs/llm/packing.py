@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablejobs.llm.common import ids_and_texts, slices
+from tablejobs.llm.word_ids import Runs, WordCache, joined_ids
 from tablejobs.storage import materialize
 
 #: Pieces a shard packs.
@@ -33,8 +34,8 @@ SHARD = 50_000
 GROUPS = 96
 #: Pieces up to this share of a sequence are small.
 SMALL = 1 / 8
-#: Words whose ids a Python worker remembers.
-REMEMBERED = 600_000
+#: Line breaks and tabs end a word as spaces do.
+BLANKS = bytes.maketrans(b"\n\t\r", b"   ")
 
 
 class WordEncoder:
@@ -49,59 +50,28 @@ class WordEncoder:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, models
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        options = {k: model[k] for k in ("unk_token", "continuing_subword_prefix", "end_of_word_suffix") if model.get(k)}
-        # Words are remembered here, so the model need not do it again.
-        self.merge = models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0, **options).tokenize
-        self.known: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-        self.bodies: dict[str, bytes] = {}
-        # Bytes as the vocabulary's characters, by the public rule of byte-level BPE.
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        other = iter(range(256, 512))
-        self.characters = "".join(chr(b) if b in plain else chr(next(other)) for b in range(256))
+            self.runs = Runs(json.load(file)["model"])
+        self.words = WordCache(self._words)
         # Letters with one case mapping and one normal form, which normalisation leaves as they are but for the case.
         self.simple = re.compile("([A-Za-z\xdf-\xf6\xf8-\xff\xc0-\xd6\xd8-\xde]+)([.,]?)").fullmatch
-        self.tails = {tail: self._letters(tail) if tail else b"" for tail in ("", ".", ",")}
-
-    def _letters(self, word: str) -> bytes:
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.characters)
-        return array("I", [token.id for token in self.merge(word)]).tobytes()
-
-    def _word(self, word: str) -> bytes:
-        found = self.simple(word)
-        if not found:
-            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        body = found[1].lower()
-        ids = self.bodies.get(body)
-        if ids is None:
-            ids = self.bodies[body] = self._letters(body)
-        return ids + self.tails[found[2]]
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) > REMEMBERED:  # the words of the last texts stay at hand
-            self.known, self.older = {"": b""}, self.known
-        if len(self.bodies) > REMEMBERED:
-            self.bodies.clear()
-        for word in words:
-            if word not in self.known:
-                ids = self.older.get(word)
-                self.known[word] = self._word(word) if ids is None else ids
-
-    def __call__(self, text: str) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit numbers."""
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            self._learn(words)
-            return b"".join(map(self.known.__getitem__, words))
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        cut = [(found[1].lower(), found[2]) if (found := self.simple(word)) else None for word in words]
+        known = self.runs.learn({run for runs in cut if runs for run in runs if run})
+        return [
+            (known[runs[0]] + known[runs[1]] if runs[1] else known[runs[0]])
+            if runs
+            else array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+            for word, runs in zip(words, cut)
+        ]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Per text, its ids as little-endian unsigned 32-bit numbers."""
+        return joined_ids([text.encode().translate(BLANKS) for text in texts], self.words)
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -127,8 +97,8 @@ def token_pieces(
         for batch in batches:
             for part in slices(batch, 1):
                 row, piece, size, crc = [], [], [], []
-                for i, text in enumerate(part.column(1).to_pylist()):
-                    ids = encode(text or "") + end
+                for i, ids in enumerate(encode([text or "" for text in part.column(1).to_pylist()])):
+                    ids += end
                     for k in range(0, len(ids), 4 * length):
                         own = ids[k : k + 4 * length]
                         row.append(i)

@@ -27,13 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablejobs.llm.common import ids_and_texts, slices
+from tablejobs.llm.word_ids import WHOLE, Runs, WordCache, joined_ids
 from tablejobs.storage import materialize, release
 
 #: Longest code in bits; 2 ** LIMIT must not be below the number of different ids.
@@ -44,11 +44,12 @@ BLOCK = 512
 SEGMENT = 1_000_000
 #: Ids a part of the sequence holds, at most about; small inputs are cut finer for the sake of all cores.
 PART = 64_000_000
-#: Words, and characters of them, a Python worker remembers the ids of.
-REMEMBERED, REMEMBERED_CHARS = 500_000, 32_000_000
-
-# Fixed value: how byte-level tokenizers split text before their merges.
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Fixed value: how byte-level tokenizers split text before their merges, for the Latin blocks up to U+024F alone.
+LETTER, NUMBER, BLANK = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\x09-\x0d\x20\x85\xa0"
+SPLIT = (
+    f"'(?:s|t|re|ve|m|ll|d)| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{BLANK}{LETTER}{NUMBER}]+"
+    f"|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"
+)
 
 MAGIC = b"HUF1"
 HEADER = struct.Struct("<4sQI")
@@ -65,7 +66,7 @@ class ByteEncoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, models
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
@@ -79,77 +80,51 @@ class ByteEncoder:
         )
         self.added = [token["content"] for token in described["added_tokens"]]
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        if self.by_word:
-            merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-            # Words are remembered here, so the model need not do it again.
-            self.merge = models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0).tokenize
-        # Bytes as the vocabulary's characters, by the public rule of byte-level BPE.
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        other = iter(range(256, 512))
-        self.characters = "".join(chr(b) if b in plain else chr(next(other)) for b in range(256))
-        self.split = regex.compile(SPLIT).findall
-        # Letters only, with one space before and at most one stop or comma behind: the usual word.
-        self.simple = re.compile("( [A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+)([.,]?)").fullmatch
+        self.runs = Runs(model) if self.by_word else None
+        self.split = re.compile(SPLIT).findall
+        # Letters only, with one stop or comma behind at most: the usual word.
+        self.simple = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+)([.,]?)").fullmatch
         self.latin = re.compile("[\x00-\u024f]*").fullmatch
-        self.older: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {"": b""}
-        self.chars = 0
+        self.words = WordCache(self._words)
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _run(self, run: str) -> bytes:
-        found = self.runs.get(run)
-        if found is None:
-            mapped = run.encode().decode("latin-1").translate(self.characters)
-            found = array("I", [token.id for token in self.merge(mapped)]).tobytes()
-            if len(self.runs) > REMEMBERED:
-                self.runs = {"": b""}
-            if len(run) <= 32:
-                self.runs[run] = found
-        return found
-
-    def _word(self, word: str) -> bytes | None:
-        """Ids of a word with its space; None if the text has to be encoded whole."""
-        if found := self.simple(word):
-            return self._run(found[1]) + self._run(found[2])
-        begin = word[1:2]
-        if not begin or begin.isspace() or not self.latin(word) or any(a in word for a in self.added):
-            return None
-        return b"".join(map(self._run, self.split(word)))
-
-    def _learn(self, words: list[str]) -> bool:
-        if len(self.words) > REMEMBERED or self.chars > REMEMBERED_CHARS:  # the words of the last texts stay at hand
-            self.words, self.older, self.chars = {}, self.words, 0
-        for word in set(words).difference(self.words):
-            ids = self.older.get(word) or self._word(" " + word)
-            if ids is None:
-                return False
-            self.words[word] = ids
-            self.chars += len(word)
-        return True
-
-    def __call__(self, text: str) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit numbers."""
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words and the space before them; ``WHOLE`` if a word's text has to be encoded whole."""
+        cut: list[tuple[str, ...]] = []
+        for word in words:
+            if found := self.simple(word):
+                letters, behind = found.groups()
+                cut.append((" " + letters, behind) if behind else (" " + letters,))
+            elif word and not word[0].isspace() and self.latin(word) and not any(a in word for a in self.added):
+                cut.append(tuple(self.split(" " + word)))
+            else:
+                cut.append(())
+        known = self.runs.learn({run for runs in cut for run in runs})
+        return [
+            WHOLE if not runs else known[runs[0]] if len(runs) == 1 else b"".join([known[run] for run in runs]) for runs in cut
+        ]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Per text, its ids as little-endian unsigned 32-bit numbers."""
         if not self.by_word:
-            return self._whole(text)
-        if text[:1] != " ":
-            first, found, rest = text.partition(" ")
-            if first.isspace() or not self.latin(first) or any(a in first for a in self.added):
-                return self._whole(text)
-            ids = b"".join(map(self._run, self.split(first)))
-            if not found:
-                return ids
-        else:
-            ids, rest = b"", text[1:]
-        words = rest.split(" ")
-        try:
-            return ids + b"".join(map(self.words.__getitem__, words))
-        except KeyError:
-            if not self._learn(words):
-                return self._whole(text)
-            return ids + b"".join(map(self.words.__getitem__, words))
+            return list(map(self._whole, texts))
+        cut = [text.partition(" ") for text in texts]
+        rests = joined_ids([rest.encode() for _, _, rest in cut], self.words)
+        # Nothing or other characters than a space stand before the first word of a text.
+        alone = [
+            bool(self.latin(first)) and not (space and first.isspace()) and not any(a in first for a in self.added)
+            for first, space, _ in cut
+        ]
+        firsts = [tuple(self.split(first)) if fine else () for (first, _, _), fine in zip(cut, alone)]
+        known = self.runs.learn({run for runs in firsts for run in runs})
+        return [
+            self._whole(text)
+            if not fine or (space and ids is None)
+            else b"".join([known[run] for run in runs]) + (ids if space else b"")
+            for text, (_, space, _), fine, runs, ids in zip(texts, cut, alone, firsts, rests)
+        ]
 
 
 _encoders: dict[str, ByteEncoder] = {}
@@ -286,8 +261,8 @@ def token_rows(
         for batch in batches:
             for part in slices(batch, 1):
                 checks, sizes, kept = [], [], []
-                for text in part.column(1).to_pylist():
-                    ids = encode(text or "") + end
+                for ids in encode([text or "" for text in part.column(1).to_pylist()]):
+                    ids += end
                     checks.append(zlib.crc32(ids))
                     sizes.append(len(ids) // 4)
                     kept.append(np.frombuffer(ids, "<u4").astype(narrow).tobytes())

@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.01"
 def test_all_are_registered():
     found = entry_points.queries()
     assert QUERIES.keys() | {"pipeline"} <= found.keys()
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
     assert ORACLE_SQL.keys() <= entry_points.oracle_sql().keys()
 
 

@@ -1,0 +1,186 @@
+"""Ranked search and the audit of sources against plain versions, on odd rows and on skewed ones."""
+
+import math
+import random
+from collections import Counter
+from itertools import product
+
+import numpy as np
+import pytest
+from llm_cases import ODD, SMALL, empty, odd, small, texts  # noqa: F401
+
+from tablejobs.llm import divergence, ranked_search
+from tablejobs.llm.divergence import Tree, distances, share
+
+ITEMS = "item_id long, text string"
+
+
+# --- search --------------------------------------------------------------------------------------------------------
+
+
+def plain_search(docs, items, k):
+    """Scores of all documents for all items."""
+    held = [(key, Counter(ranked_search.terms(text))) for key, text in docs]
+    documents = sum(1 for _, c in held if c)
+    total = sum(sum(c.values()) for _, c in held)
+    df = Counter(t for _, c in held for t in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for key, counts in held:
+            if not counts:
+                continue
+            m = 75 + 25 * sum(counts.values()) * documents // total
+            score = sum(
+                math.floor(1000 * math.log((2 * documents + 2) / (2 * df[t] + 1))) * (10**9 * counts[t] // (1000 * counts[t] + 12 * m))
+                for t in ranked_search.terms(text)
+                if counts[t]
+            )
+            if score > 0:
+                scored.append((-score, key is None, key or 0))
+        out += [(item, rank, None if none else key, -score) for rank, (score, none, key) in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def found(df):
+    return sorted([(r.item, r["rank"], r.id, r.score) for r in df.collect()], key=repr)
+
+
+def test_terms():
+    assert ranked_search.terms("Ab-c9 É_x\x00İ\t漢") == ["ab".encode(), b"c9", "É".encode(), b"x", "İ".encode(), "漢".encode()]
+    assert ranked_search.terms(None) == ranked_search.terms(" .,") == []
+
+
+def test_search_of_odd_rows(spark, odd, empty):
+    items = [(10, "two three four"), (11, None), (12, "!!"), (None, "one"), (13, "Ünï a a x"), (10, "six"), (14, "absent"), (15, "a")]
+    queries = spark.createDataFrame(items, ITEMS)
+    docs = [(row[0], row[1]) for row in ODD]
+    assert found(ranked_search.rank_documents(odd, queries, 5)) == plain_search(docs, items, 5)
+    assert ranked_search.rank_documents(empty, queries).count() == 0
+    assert ranked_search.rank_documents(odd, spark.createDataFrame([], ITEMS)).count() == 0
+    nothing = spark.createDataFrame([(1, None), (2, "..")], "doc_id long, text string")
+    assert ranked_search.rank_documents(nothing, queries).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_search_with_ties_copies_and_many_groups(spark, monkeypatch, seed):
+    random.seed(seed)
+    monkeypatch.setattr(ranked_search, "GROUP_TERMS", 40)
+    monkeypatch.setattr(ranked_search, "BLOCK", 2000)
+    monkeypatch.setattr(ranked_search, "BROADCAST_TERMS", 40_000 * (seed % 2))
+    words = [f"w{int(random.paretovariate(0.7))}" for _ in range(4000)]
+    docs = [(i, " ".join(random.choices(words, k=random.randint(0, 60)))) for i in range(500)]
+    docs += [(i, "w1 w2 copy") for i in range(500, 800)]
+    random.shuffle(docs)
+    items = [(i, " ".join(random.choices(words, k=random.randint(1, 12)))) for i in range(30)] + [(30, "copy w1")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert found(ranked_search.rank_documents(df, spark.createDataFrame(items, ITEMS), 7)) == plain_search(docs, items, 7)
+
+
+def test_bounds_spare_strata():
+    rng = np.random.default_rng(4)
+    lengths = np.sort(rng.integers(5, 4000, 3000))
+    docs = np.sort(rng.choice(3000, 1500, replace=False))
+    tfs = rng.integers(1, 4, 1500)
+    order = np.lexsort((docs, -tfs, lengths[docs]))
+    block = ranked_search.BlockSearch(lengths, [(docs[order], tfs[order])], 3000, int(lengths.sum()))
+    seen = []
+    unique = np.unique
+
+    def counted(values, **options):
+        seen.append(len(values))
+        return unique(values, **options)
+
+    ranked_search.np.unique, before = counted, ranked_search.np.unique
+    try:
+        best, scores = block.top([(0, 100)], 5, np.arange(3000))
+    finally:
+        ranked_search.np.unique = before
+    assert len(best) == 5 and (np.diff(scores) <= 0).all()
+    assert sum(seen) < 500 < 1500
+
+
+# --- audit ---------------------------------------------------------------------------------------------------------
+
+
+def plain_audit(docs, least, best):
+    rows = [((lang or ""), (source or ""), [w.decode() for w in (text or "").encode().translate(divergence.LETTERS).split()]) for text, lang, source in docs]
+    out = []
+    for lang in {row[0] for row in rows}:
+        own = [row for row in rows if row[0] == lang]
+        df = Counter(t for _, _, words in own for t in set(words))
+        kept = sorted(t for t in df if df[t] >= least)
+        counts = {source: Counter() for _, source, _ in own}
+        for _, source, words in own:
+            counts[source].update(w for w in words if df[w] >= least)
+        whole = sum(counts.values(), Counter())
+
+        def p(counter, term):
+            return 1 + 10**9 * (counter[term] + 5) // (counter.total() + 5 * len(kept))
+
+        for a in counts:
+            pairs = [(-sum(abs(p(counts[a], t) - p(counts[b], t)) for t in kept), b.encode(), b) for b in counts if b != a]
+            terms = [(p(whole, t) - p(counts[a], t), t.encode(), t) for t in kept if counts[a][t]]
+            out += [(lang, a, "pair", item, -v, rank) for rank, (v, _, item) in enumerate(sorted(pairs), 1)]
+            terms = sorted(t for t in terms if t[0] < 0)[:best]
+            out += [(lang, a, "term", item, -v, rank) for rank, (v, _, item) in enumerate(terms, 1)]
+    return sorted(out)
+
+
+def audited(df):
+    return sorted((r.lang, r.source, r.part, r.item, r.value, r["rank"]) for r in df.collect())
+
+
+def test_shares_are_exact():
+    for count, total in product([0, 5, 7, 10**6, 2**40, 2**52], [1, 3, 10**9 + 7, 2**45 + 1, 2**52]):
+        if count <= total:
+            assert share(np.array([count]), total).tolist() == [1 + 10**9 * count // total]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_trees_price_all_pairs(seed, monkeypatch):
+    rng = np.random.default_rng(seed)
+    monkeypatch.setattr(divergence, "FRONT", 64)
+    n, m, columns = (int(x) for x in rng.integers(1, 20, 3))
+    same = seed % 3 == 0
+    m = n if same else m
+    density = rng.choice([0.0, 0.05, 0.5, 1.0])
+    matrices = [np.where(rng.random((size, columns)) < density, rng.integers(1, 50, (size, columns)), 0) for size in (n, m)]
+    if same:
+        matrices[1] = matrices[0]
+    height = divergence._height(max(n, m, columns))
+    trees, totals = [], []
+    for matrix in matrices:
+        rows, cols = np.nonzero(matrix)
+        tree = Tree.of(rows, cols, matrix[rows, cols], height)
+        again = Tree.unpacked(height, *tree.packed())
+        assert (again.counts == tree.counts).all() and all((x == y).all() for x, y in zip(again.levels, tree.levels))
+        trees.append(again)
+        totals.append(matrix.sum(1) + 5 * columns)
+    shares = [np.stack([share(row + 5, int(t)) for row, t in zip(matrix, total)]) for matrix, total in zip(matrices, totals)]
+    expected = np.abs(shares[0][:, None, :] - shares[1][None, :, :]).sum(2)
+    values = distances(*trees, *totals, columns, same)
+    upper = np.triu(np.ones((n, m), bool), 1) if same else np.ones((n, m), bool)
+    assert (values[upper] == expected[upper]).all()
+
+
+def test_audit_of_odd_rows(spark, odd, empty):
+    docs = [(row[1], row[2], row[3]) for row in ODD]
+    for least in (1, 2, 50):
+        assert audited(divergence.audit_sources(odd, least)) == plain_audit(docs, least, 50)
+    assert divergence.audit_sources(empty).count() == 0
+
+
+def test_audit_with_many_sources_and_small_tiles(spark, monkeypatch):
+    random.seed(7)
+    monkeypatch.setattr(divergence, "ROWS", 4)
+    monkeypatch.setattr(divergence, "COLUMNS", 16)
+    monkeypatch.setattr(divergence, "HELD", 100)
+    words = ["".join(w) for w in product("abcdé", "xyz", "uvw")]
+    docs = []
+    for i in range(900):
+        lang, source = random.choice("pq"), "hot" if i % 3 == 0 else f"s{random.randint(0, 22)}"
+        docs.append((" ".join(random.choices(words[: 45 if lang == "p" else 20], k=random.randint(0, 30))), lang, source))
+    docs += [("only here", "r", "a"), ("", "r", "b"), (None, "r", None)]
+    df = spark.createDataFrame(docs, "text string, lang string, source string")
+    assert audited(divergence.audit_sources(df, 30, 6)) == plain_audit(docs, 30, 6)
