@@ -126,7 +126,7 @@ def scan_at_location(spark, sf_dir):
 
 
 def query_inputs(spark, sf_dir):
-    """Rows per base table of a view over a view that joins two tables, one of them partitioned."""
+    """Rows per base table of a view over a view that joins three tables: partitioned, read twice, without rows."""
 
     def make():
         orders = _orders_by_priority(spark, sf_dir)
@@ -136,16 +136,23 @@ def query_inputs(spark, sf_dir):
         tj.run_sql_steps(
             spark,
             [
+                f"CREATE TABLE {quoted(f'{database}.returned')} (r_orderkey BIGINT) USING orc",
                 f"CREATE VIEW {inner} AS SELECT * FROM {quoted(orders)} JOIN {quoted(customer)} "
                 "ON o_custkey = c_custkey WHERE o_orderpriority <> '5-LOW'",
-                f"CREATE VIEW {outer} AS SELECT o_orderkey, c_name FROM {inner}",
+                f"CREATE VIEW {outer} AS SELECT o_orderkey, c_name FROM {inner} "
+                f"LEFT JOIN {quoted(f'{database}.returned')} ON o_orderkey = r_orderkey "
+                f"WHERE o_totalprice >= (SELECT min(o_totalprice) FROM {quoted(orders)} WHERE o_orderpriority = '2-HIGH')",
             ],
         )
         return outer
 
     view = once(spark, sf_dir, "views", make)
     found = tj.query_inputs(spark, f"SELECT * FROM {view}")
-    return found.select(F.regexp_extract("input", "[^/]+$", 0).alias("input"), "n_rows")
+    return found.select(
+        F.regexp_extract("table", "[^.]+$", 0).alias("table_name"),
+        F.regexp_extract("input", "[^/]+$", 0).alias("input"),
+        "n_rows",
+    )
 
 
 def flagship(spark, sf_dir):
@@ -194,9 +201,11 @@ QUERIES = {
     "query_inputs": (
         query_inputs,
         """
-        SELECT 'orders' AS input, count(*) AS n_rows FROM orders WHERE o_orderpriority <> '5-LOW'
+        SELECT 'orders' AS table_name, 'orders' AS input, count(*) AS n_rows FROM orders WHERE o_orderpriority <> '5-LOW'
         UNION ALL
-        SELECT 'customer' AS input, count(*) AS n_rows FROM customer
+        SELECT 'customer', 'customer', count(*) FROM customer
+        UNION ALL
+        SELECT 'returned', 'returned', 0
         """,
     ),
     "filtered_partition_count": (

@@ -200,3 +200,53 @@ def test_only_a_local_session_may_leave_the_shared_folder_out(master):
     else:
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             shared_folder(Session(), "x")
+
+
+def found_inputs(spark, query):
+    found = tj.query_inputs(spark, query).collect()
+    return sorted(((r.table or "").rpartition(".")[2], r.input.rpartition("/")[2], r.n_files, r.n_rows) for r in found)
+
+
+def test_inputs_without_rows_and_beside_each_other(spark, database):
+    """Unpartitioned tables at folders that look like partitions, one without rows, one with files named by another system."""
+    place = shared_folder(spark, "x")
+    for day, n in ((3, 2), (4, 0), (5, 1)):
+        spark.sql(f"CREATE TABLE {database}.d{day} (id bigint) USING parquet LOCATION '{place}/day={day}'")
+        spark.range(n).coalesce(1).write.insertInto(f"{database}.d{day}")
+    from tablejobs.storage import glob, move
+
+    (file,) = [path for path in glob(spark, f"{place}/day=5/*.parquet")]
+    move(spark, file, f"{place}/day=5/000000_0")
+    spark.sql(f"REFRESH TABLE {database}.d5")
+    query = f"SELECT a.id FROM {database}.d3 a LEFT JOIN {database}.d4 b USING (id) LEFT JOIN {database}.d5 c USING (id)"
+    assert found_inputs(spark, query) == [("d3", "day=3", 1, 2), ("d4", "day=4", 0, 0), ("d5", "day=5", 1, 1)]
+    assert found_inputs(spark, f"SELECT * FROM {database}.d3 WHERE false") == [("d3", "day=3", 0, 0)]
+
+
+def test_inputs_of_self_joins_common_tables_and_subqueries(spark, database):
+    df = spark.createDataFrame([(i, f"p{i % 4}") for i in range(20)], "v int, p string").coalesce(1)
+    tj.write_table(df, tj.TableDescriptor("t", ("v", "p"), ("int", "string"), ("p",), database))
+    tj.write_table(df, tj.TableDescriptor("u", ("v", "p"), ("int", "string"), (), database))
+    both = f"SELECT * FROM {database}.t a JOIN {database}.t b ON a.v = b.v WHERE a.p = 'p1' AND b.p IN ('p1', 'p2')"
+    assert found_inputs(spark, both) == [("t", "t", 2, 10)]
+    common = f"WITH c AS (SELECT * FROM {database}.t) SELECT v FROM c WHERE p = 'p0' UNION ALL SELECT v FROM c WHERE p = 'p3'"
+    assert found_inputs(spark, common) == [("t", "t", 2, 10)]
+    scalar = f"SELECT (SELECT max(v) FROM {database}.u) AS m FROM {database}.t WHERE p = 'p2'"
+    assert found_inputs(spark, scalar) == [("t", "t", 1, 5), ("u", "u", 1, 20)]
+    inside = f"SELECT v FROM {database}.t WHERE p IN (SELECT p FROM {database}.u WHERE v = 1)"
+    assert [row[:2] for row in found_inputs(spark, inside)] == [("t", "t"), ("u", "u")]
+    path = tj.table_location(spark, tj.TableDescriptor("u", ("v",), ("int",), (), database))
+    assert found_inputs(spark, f"SELECT * FROM orc.`{path}`") == [("", "u", 1, 20)]
+    # Kept in memory, the table is still the input; so it is behind a view without its files' names in the driver.
+    spark.sql(f"CACHE TABLE {database}.u")
+    try:
+        spark.sql(f"CREATE VIEW {database}.w AS SELECT count(*) AS n FROM {database}.u")
+        assert found_inputs(spark, f"SELECT n FROM {database}.w") == [("u", "u", 1, 20)]
+    finally:
+        spark.sql(f"UNCACHE TABLE {database}.u")
+
+
+def test_counting_inputs_reads_no_data_columns(spark, database):
+    tj.write_table(spark.range(5), tj.TableDescriptor("n", ("id",), ("bigint",), (), database))
+    plan = tj.query_inputs(spark, f"SELECT id FROM {database}.n")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
