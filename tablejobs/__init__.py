@@ -16,7 +16,14 @@ from tablejobs.operators.rows import (
 )
 from tablejobs.plans.metrics import StepMetrics
 from tablejobs.plans.steps import SqlStep, load_file, run_sql_steps
-from tablejobs.sinks.changes import adopt_files, apply_changes, insert_events, write_base, write_delta
+from tablejobs.sinks.changes import (
+    adopt_files,
+    apply_changes,
+    insert_events,
+    remove_uncommitted,
+    write_base,
+    write_delta,
+)
 from tablejobs.sinks.discard import discard
 from tablejobs.sinks.tables import (
     create_table,
@@ -42,7 +49,7 @@ __all__ = [
     "create_table", "create_text_view", "describe_table", "discard", "distinct_values", "drop_table", "filter_rows",
     "group_count", "insert_constant", "insert_events", "insert_into", "limit_rows", "load_file",
     "map_columns", "order_rows", "partition_filter", "project_fields", "query_inputs",
-    "register_partitions", "remove_partitions", "run_sql_steps", "scan_at_location",
+    "register_partitions", "remove_partitions", "remove_uncommitted", "run_sql_steps", "scan_at_location",
     "scan_partitioned", "scan_sequence_table", "scan_table", "scan_text_table", "snapshot_read",
     "table_location", "truncate_table", "validate_table", "write_base", "write_delta", "write_files",
     "write_partitioned", "write_sequence_table", "write_table", "write_text_table",

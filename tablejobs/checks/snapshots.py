@@ -13,14 +13,14 @@ from tablejobs.storage import shared_folder
 ROW_ID, BUCKET = "o_orderkey", "o_orderkey % 4"
 
 
-def _orders(spark, sf_dir, keys=()):
+def _orders(spark, sf_dir, keys=(), buckets=0):
     df = source(spark, sf_dir, "orders")
-    return df, describe(df, "orders", keys, transactional=True, buckets=4)
+    return df, describe(df, "orders", keys, transactional=True, buckets=buckets)
 
 
-def _base_with_deltas(spark, sf_dir):
+def _base_with_deltas(spark, sf_dir, buckets=0):
     """Base of transaction 5, an update in 6, a delete in 7, an update in 9 that readers may not see."""
-    df, table = _orders(spark, sf_dir)
+    df, table = _orders(spark, sf_dir, buckets=buckets)
 
     def make():
         root = shared_folder(spark, "orders")
@@ -39,7 +39,7 @@ def _base_with_deltas(spark, sf_dir):
         )
         return root
 
-    return table, once(spark, sf_dir, "orders base", make)
+    return table, once(spark, sf_dir, f"orders base {buckets}", make)
 
 
 def snapshot_read(spark, sf_dir):
@@ -66,6 +66,31 @@ def snapshot_row_id(spark, sf_dir):
     return tj.snapshot_read(spark, table, root, tj.Snapshot(7), row_id=True)
 
 
+def snapshot_bucketed(spark, sf_dir):
+    """The same rows of a table with buckets: base and deltas are merged without a shuffle."""
+    table, root = _base_with_deltas(spark, sf_dir, buckets=8)
+    return tj.snapshot_read(spark, table, root, tj.Snapshot(7))
+
+
+def snapshot_bucketed_partitioned(spark, sf_dir):
+    """Buckets inside partitions, and a delta that reaches across a newer base."""
+    df, table = _orders(spark, sf_dir, ("o_orderpriority",), 4)
+
+    def make():
+        root = shared_folder(spark, "orders")
+        rows = tj.insert_events(df, table, 1, ROW_ID, BUCKET)
+        tj.write_base(rows, table, root, 1)
+        tj.apply_changes(
+            spark, table, root, tj.Snapshot(1), 2,
+            assign={"o_orderstatus": "lower(o_orderstatus)"},
+            update_where="o_orderpriority = '2-HIGH' AND o_orderstatus <> 'F'",
+            delete_where="o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P'",
+        )
+        return root
+
+    return tj.snapshot_read(spark, table, once(spark, sf_dir, "orders buckets", make), tj.Snapshot(2))
+
+
 def _statuses(df):
     return [row[0] for row in df.select("o_orderstatus").distinct().orderBy("o_orderstatus").collect()]
 
@@ -170,6 +195,8 @@ _CHANGED_PARTITIONS = """
 QUERIES = {
     "snapshot_read": (snapshot_read, _UPDATED.format(**_ALL)),
     "snapshot_read_by_shuffle": (snapshot_read_by_shuffle, _UPDATED.format(**_ALL)),
+    "snapshot_bucketed": (snapshot_bucketed, _UPDATED.format(**_ALL)),
+    "snapshot_bucketed_partitioned": (snapshot_bucketed_partitioned, _CHANGED_PARTITIONS),
     "snapshot_read_open_txn": (
         snapshot_read_open_txn,
         "SELECT * FROM orders WHERE NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'F')",

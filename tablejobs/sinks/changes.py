@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections import defaultdict
 from collections.abc import Mapping
@@ -17,6 +18,7 @@ from tablejobs.errors import FieldError, SnapshotError
 from tablejobs.operators.fields import align_to_table, fitted
 from tablejobs.sinks.tables import no_empty_keys, rebalanced
 from tablejobs.sources.snapshot import (
+    COMMITS,
     DELETE,
     INNER,
     INSERT,
@@ -25,15 +27,28 @@ from tablejobs.sources.snapshot import (
     Snapshot,
     change_schema,
     list_folders,
-    pending_mark,
+    read_commits,
     rows_with_id,
 )
-from tablejobs.storage import decoded, exists, glob, make_folder, materialize, move, partition_value, qualified_path, remove
+from tablejobs.storage import (
+    create_file,
+    decoded,
+    glob,
+    make_folder,
+    materialize,
+    move,
+    partition_value,
+    qualified_path,
+    quoted,
+    remove,
+)
 
 # The columns of the public layout, in the order of ours.
 PUBLIC_LAYOUT = ("operation", "originalTransaction", "bucket", "rowId", "currentTransaction", "row")
 #: Folders that are put in place at a time.
 MOVES = 16
+#: Tasks that write a bucket.
+PARTS = 4
 
 
 def insert_events(
@@ -56,26 +71,35 @@ def insert_events(
 def _write_folder(
     events: DataFrame, table: TableDescriptor, root: str, name: str, low: int, high: int, check: bool
 ) -> None:
+    """Stage, check, move into place under a name of its own, then commit: the record is what makes it count."""
     spark = events.sparkSession
     root = qualified_path(spark, root)
     levels = "".join(f"{key}=*/" for key in table.partition_names)
-    mark = pending_mark(root, name)
-    if exists(spark, mark):  # an earlier try broke off: nobody reads what it left
-        for folder in glob(spark, f"{root}/{levels}{name}"):
-            remove(spark, folder)
-    elif glob(spark, f"{root}/{levels}{name}"):
+    if _is_there(spark, root, levels, name):
         raise SnapshotError(f"{root}: {name} is there already")
     staging = f"{root}/_staging_{uuid.uuid4().hex}"
     seen = Observation()
     rows = no_empty_keys(events.select(*change_schema(table).names, *table.partition_names), table)
     unnamed = reduce(Column.__or__, [F.col(column).isNull() for column in ("op", *ROW_ID, "txn")])
-    rows = rebalanced(rows, table.partition_names).observe(
+    # Buckets are cut finer by the same hash, so that no task writes a whole one.
+    dealt = rows.repartition(table.buckets * PARTS, *ROW_ID) if table.buckets else rebalanced(rows, table.partition_names)
+    rows = dealt.observe(
         seen,
         F.min("txn").alias("first"),
         F.max("txn").alias("last"),
         F.max(unnamed).alias("unnamed"),
+        F.coalesce(F.max(F.col("op") == INSERT), F.lit(False)).alias("inserts"),
+        F.coalesce(F.max(F.col("op") != INSERT), F.lit(False)).alias("changes"),
     )
-    rows.write.partitionBy(*table.partition_names).orc(staging)
+    if table.buckets:
+        # Spark writes buckets through a table; it goes at once, its files stay.
+        passing = quoted(f"passing_{uuid.uuid4().hex}")
+        writer = rows.write.format("orc").option("path", staging).bucketBy(table.buckets, *ROW_ID)
+        writer = writer.partitionBy(*table.partition_names) if table.partitioned else writer
+        writer.saveAsTable(passing)
+        spark.sql(f"DROP TABLE {passing}")
+    else:
+        rows.write.partitionBy(*table.partition_names).orc(staging)
     found = seen.get
     if found["unnamed"]:
         remove(spark, staging)
@@ -83,24 +107,59 @@ def _write_folder(
     if found["first"] is not None and not (low <= found["first"] and found["last"] <= high):
         remove(spark, staging)
         raise SnapshotError(f"{name} holds transactions {found['first']} to {found['last']}")
+    written = spark.read.schema(events.select(*table.partition_names, *ROW_ID, "txn").schema).orc(staging)
     if check:
-        written = spark.read.schema(events.select(*table.partition_names, *ROW_ID, "txn").schema).orc(staging)
         version = [*table.partition_names, *ROW_ID, *(() if name.startswith("base") else ("txn",))]
         twice = written.groupBy(*version).count().where("count > 1")
         if not twice.isEmpty():
             remove(spark, staging)
             raise SnapshotError(f"{name} holds a row id twice for one transaction")
-    if not table.partitioned:
-        move(spark, staging, f"{root}/{name}")
-        remove(spark, mark)
-        return
-    # Readers skip what is marked as pending, so all partitions appear at once when the mark goes.
-    make_folder(spark, mark)
-    folders = glob(spark, f"{staging}/{levels.rstrip('/')}")
-    with ThreadPoolExecutor(MOVES) as pool:
-        list(pool.map(lambda folder: move(spark, folder, f"{root}{folder[len(staging):]}/{name}"), folders))
-    remove(spark, mark)
-    remove(spark, staging)
+    largest = 0
+    if table.buckets:
+        sizes = written.groupBy(F.pmod(F.hash(*ROW_ID), F.lit(table.buckets)).alias("bucket")).count()
+        largest = sizes.agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    folder = f"{name}_{uuid.uuid4().hex}"
+    # From now on folders count by their records, not by being there.
+    make_folder(spark, f"{root}/{COMMITS}")
+    if table.partitioned:
+        folders = glob(spark, f"{staging}/{levels.rstrip('/')}")
+        with ThreadPoolExecutor(MOVES) as pool:
+            list(pool.map(lambda path: move(spark, path, f"{root}{path[len(staging):]}/{folder}"), folders))
+        remove(spark, staging)
+    else:
+        move(spark, staging, f"{root}/{folder}")
+    record = {
+        "folder": folder, "inserts": found["inserts"], "changes": found["changes"], "buckets": table.buckets, "largest": largest,
+    }
+    if not create_file(spark, f"{root}/{COMMITS}/{name}", json.dumps(record)):
+        for path in glob(spark, f"{root}/{levels}{folder}"):
+            remove(spark, path)
+        raise SnapshotError(f"{root}: {name} is there already, another writer has committed it")
+
+
+def _is_there(spark: SparkSession, root: str, levels: str, name: str) -> bool:
+    commits = read_commits(spark, root)
+    if commits is None:
+        return bool(glob(spark, f"{root}/{levels}{name}*"))
+    return name in commits
+
+
+def remove_uncommitted(spark: SparkSession, table: TableDescriptor, root: str) -> list[str]:
+    """Delete what broken or refused writers left, and return these paths. No writer may be at work meanwhile.
+
+    Records that were begun and never finished go too, so that their transaction can be written again.
+    """
+    root = qualified_path(spark, root)
+    commits = read_commits(spark, root)
+    left = glob(spark, f"{root}/_staging_*")
+    if commits is not None:
+        levels = "".join(f"{key}=*/" for key in table.partition_names)
+        kept = {record["folder"] for record in commits.values()}
+        left += [p for p in glob(spark, f"{root}/{levels}{{base,delta}}_*") if p.rpartition("/")[2] not in kept]
+        left += [p for p in glob(spark, f"{root}/{COMMITS}/*") if p.rpartition("/")[2] not in commits]
+    for path in left:
+        remove(spark, path)
+    return left
 
 
 def write_base(

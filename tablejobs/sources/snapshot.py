@@ -9,13 +9,21 @@ All of them are ORC files of change rows (``change_schema``): what happened (``o
 row (``orig_txn``, ``bucket``, ``row_id``), the transaction of the event (``txn``) and the row (``data``).
 Files never change once their folder is there, so readers need no lock: they name the transactions they
 accept.
+
+``_commits`` holds a record for each base and delta: which folders are the real ones, and what they hold. It is written
+last and only if there is none of this name, so a folder counts as a whole or not at all, and of two writers of one
+transaction only one wins. A table without ``_commits`` was written by others; all of its folders count.
+
+Files of a table with buckets are dealt by a hash of the row identity, equally in all folders.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -26,7 +34,7 @@ from pyspark.sql import types as T
 from tablejobs.descriptor import TableDescriptor
 from tablejobs.errors import FieldError, SnapshotError
 from tablejobs.operators.fields import lower_names, partition_filter
-from tablejobs.storage import glob, partition_value, qualified_path
+from tablejobs.storage import exists, glob, partition_value, qualified_path, read_file
 
 # Fixed values of the change format.
 INSERT, UPDATE, DELETE = 0, 1, 2
@@ -36,9 +44,16 @@ EVENT = ("op", *ROW_ID, "txn", "data")
 # While rows are read, the columns of an event have names that no column of a table should have.
 INNER = "__"
 INNER_ROW_ID = tuple(INNER + name for name in ROW_ID)
+BASE = "__base"
 
 _FOLDER = re.compile(r"^(base|delta)_(\d+)(?:_(\d+))?")
 
+COMMITS = "_commits"
+#: Commit records that are read at a time.
+READS = 16
+#: Rows one task merges by row id without a shuffle; larger buckets are merged by a shuffle that spreads them.
+BUCKET_ROWS = 20_000_000
+
 
 @dataclass(frozen=True)
 class Snapshot:
@@ -88,6 +103,11 @@ class _Folder:
     kind: str
     low: int
     high: int
+    # From the commit record; without one, a folder may hold anything.
+    inserts: bool = True
+    changes: bool = True
+    buckets: int = 0
+    largest: int = 0
 
 
 @dataclass(frozen=True)
@@ -104,20 +124,30 @@ class _Choice:
         return self.base.high if reaches_across else None
 
 
-def pending_mark(root: str, name: str) -> str:
-    """The folder that says a base or delta of this name is still being put in place."""
-    return f"{root}/_pending_{name}"
+def read_commits(spark: SparkSession, root: str) -> dict[str, dict] | None:
+    """The commit records by name of base or delta; None if the table has none.
+
+    An empty record was begun by a writer that has not finished, or never will: nothing is committed by it.
+    """
+    if not exists(spark, f"{root}/{COMMITS}"):
+        return None
+    paths = glob(spark, f"{root}/{COMMITS}/*")
+    with ThreadPoolExecutor(READS) as pool:
+        texts = list(pool.map(lambda path: read_file(spark, path), paths))
+    return {path.rpartition("/")[2]: json.loads(text) for path, text in zip(paths, texts) if text}
 
 
 def list_folders(
     spark: SparkSession, table: TableDescriptor, root: str, predicate: str | None = None
 ) -> dict[str, list[_Folder]]:
-    """Base and delta folders of each partition folder, without those still being put in place.
+    """Committed base and delta folders of each partition folder.
 
-    With a predicate, the partition folders are listed first, and only the selected ones are looked into.
+    Records are read first and folders afterwards: what a record names is all there. With a predicate, the partition
+    folders are listed first, and only the selected ones are looked into.
     """
+    commits = read_commits(spark, root)
+    by_folder = None if commits is None else {record["folder"]: record for record in commits.values()}
     levels = "".join(f"{name}=*/" for name in table.partition_names)
-    pending = {path.rpartition("/_pending_")[2] for path in glob(spark, pending_mark(root, "*"))}
     places = [f"{root}/{levels}"]
     if predicate is not None and table.partitioned:
         places = [f"{_escaped(path)}/" for path in _selected(spark, table, glob(spark, f"{root}/{levels.rstrip('/')}"), predicate)]
@@ -127,10 +157,13 @@ def list_folders(
     for path in (path for place in places for path in glob(spark, f"{place}{{base,delta}}_*")):
         partition, _, name = path.rpartition("/")
         match = _FOLDER.match(name)
-        if match and name not in pending:
+        if match and (by_folder is None or name in by_folder):
             kind, low, high = match.groups()
             low = int(low)
-            found[partition].append(_Folder(path, kind, low, low if kind == "base" else int(high or low)))
+            about = {k: v for k, v in (by_folder or {}).get(name, {}).items() if k != "folder"}
+            found[partition].append(_Folder(path, kind, low, low if kind == "base" else int(high or low), **about))
+    if commits is None and exists(spark, f"{root}/{COMMITS}"):
+        return list_folders(spark, table, root, predicate)  # the first commit began meanwhile
     return found
 
 
@@ -201,12 +234,15 @@ def snapshot_read(
 ) -> DataFrame:
     """The rows of a transactional table as a snapshot sees them.
 
-    Base rows and inserted rows pass straight from the scan unless an accepted update or delete names their
-    row id; these ids are narrow, and Spark joins them by broadcast or shuffle by its own estimate of their
-    bytes. For changed row ids the newest accepted event counts, and a delete removes the row. Partitions
-    without deltas take no part in the join. No job runs while the frame is built, unless a predicate
-    has to be evaluated on the names of partition folders. The number of scans does not follow the number
-    of partitions.
+    Base rows and inserted rows come from one scan and pass unless an accepted update or delete names their
+    row id; these ids are narrow, and Spark joins them by broadcast or by one shuffle of each side, by its own
+    estimate of their bytes. For changed row ids the newest accepted event counts, and a delete removes the row.
+    Where commit records say that no delta holds updates or deletes, nothing is joined or shuffled. If base and
+    deltas share buckets, they are merged by row id within each bucket, without a shuffle; buckets of more than
+    ``BUCKET_ROWS`` rows go the other way, which spreads their rows. Partitions without deltas take no part.
+
+    No job runs while the frame is built, unless a predicate has to be evaluated on the names of partition
+    folders. The number of scans does not follow the number of partitions.
 
     ``row_id`` puts ``orig_txn, bucket, row_id`` in front, ``columns`` limits the columns read, and
     ``predicate`` selects partitions before their base and delta folders are listed.
@@ -239,51 +275,88 @@ def rows_with_id(
     folders = list_folders(spark, table, root, predicate)
     choices = [_choose(partition, found, snapshot) for partition, found in folders.items()]
 
-    def read(paths: list[str]) -> DataFrame:
-        reader = spark.read.schema(schema).option("basePath", root)
-        df = reader.orc(paths) if paths else spark.createDataFrame([], schema)
-        return df.select(*[F.col(name).alias(INNER + name) for name in EVENT], *table.partition_names)
+    def read(found: Iterable[_Folder], buckets: int = 0) -> DataFrame:
+        paths = [folder.path for folder in found]
+        if buckets:
+            df = _bucketed(spark, paths, schema, root, buckets)
+        else:
+            reader = spark.read.schema(schema).option("basePath", root)
+            df = reader.orc(paths) if paths else spark.createDataFrame([], schema)
+        of_base = F.regexp_like(F.col("_metadata.file_path"), F.lit("/base_[0-9][^/=]*/[^/]*$")) if paths else F.lit(False)
+        return df.select(*[F.col(name).alias(INNER + name) for name in EVENT], of_base.alias(BASE), *table.partition_names)
+
+    def base_rows(found: Iterable[_Folder]) -> DataFrame:
+        return read(found).where(F.col("__op") != DELETE).select(*keys, *_data(names, "__data"))
 
-    def base_rows(paths: list[str]) -> DataFrame:
-        return read(paths).where(F.col("__op") != DELETE).select(*keys, *_data(names, "__data"))
+    deltas = [delta for choice in choices for delta in choice.deltas]
+    touched = [c.base for c in choices if c.base and c.deltas]
+    cuts = {partition: choice.cut for partition, choice in zip(folders, choices) if choice.cut is not None}
 
-    events = None
-    if deltas := [delta.path for choice in choices for delta in choice.deltas]:
-        events = read(deltas).where(snapshot.accepts(F.col("__txn")))
-        cuts = {partition: choice.cut for partition, choice in zip(folders, choices) if choice.cut is not None}
-        if cuts:
-            events = _after_cuts(events, table, cuts)
+    def accepted(rows: DataFrame) -> DataFrame:
+        """Rows of bases, and events that the snapshot sees and the base of their partition does not hold already."""
+        rows = rows.where((F.col(BASE) & (F.col("__op") != DELETE)) | (~F.col(BASE) & snapshot.accepts(F.col("__txn"))))
+        return _after_cuts(rows, table, cuts) if cuts else rows
 
-    untouched = [c.base.path for c in choices if c.base and not c.deltas]
-    touched = [c.base.path for c in choices if c.base and c.deltas]
     parts = []
-    if untouched:
+    if untouched := [c.base for c in choices if c.base and not c.deltas]:
         parts.append(base_rows(untouched))
-    if events is not None:
-        # A row id is inserted once, in its first transaction, so an insert is a row like one of a base.
-        inserted = events.where(F.col("__op") == INSERT).select(*keys, *_data(names, "__data"))
-        rows = base_rows(touched).unionByName(inserted) if touched else inserted
-        changes = events.where(F.col("__op") != INSERT)
-        parts.append(_without(rows, changes, keys))
-        parts.append(_newest(changes, keys, names))
+    changing = [delta for delta in deltas if delta.changes]
+    if deltas and changing and _aligned([*touched, *deltas], table):
+        parts.append(_newest(accepted(read([*touched, *deltas], table.buckets)), keys, names))
+    elif deltas:
+        # A row id is inserted once, in its first transaction, so an insert is a row like one of a base. Both come
+        # from one scan: a union would let the join sink into its parts and double what is joined.
+        rows = accepted(read([*touched, *[delta for delta in deltas if delta.inserts]]))
+        rows = rows.where(F.col(BASE) | (F.col("__op") == INSERT)).select(*keys, *_data(names, "__data"))
+        if changing:
+            changes = accepted(read(changing)).where(F.col("__op") != INSERT)
+            parts += [_without(rows, changes, keys), _newest(changes, keys, names)]
+        else:
+            parts.append(rows)
     return reduce(DataFrame.unionByName, parts or [base_rows([])])
 
 
+def _aligned(folders: Sequence[_Folder], table: TableDescriptor) -> bool:
+    """Do all folders share the buckets of the table, with few enough rows in each?"""
+    same = table.buckets > 0 and all(folder.buckets == table.buckets for folder in folders)
+    return same and sum(folder.largest for folder in folders) <= BUCKET_ROWS
+
+
+def _bucketed(spark: SparkSession, paths: list[str], schema: T.StructType, root: str, buckets: int) -> DataFrame:
+    """One scan of folders whose files are dealt by row identity, told to Spark as its own bucketing."""
+    jvm = spark._jvm
+    scala = jvm.org.apache.spark.api.python.PythonUtils
+
+    def seq(values):
+        return scala.toSeq(jvm.java.util.ArrayList(list(values)))
+
+    spec = jvm.org.apache.spark.sql.catalyst.catalog.BucketSpec(buckets, seq(ROW_ID), seq([]))
+    kind = jvm.org.apache.spark.sql.types.DataType.fromJson(schema.json())
+    options = scala.toScalaMap(jvm.java.util.HashMap({"basePath": root}))
+    some, none = jvm.scala.Option.apply, jvm.scala.Option.empty()
+    source = jvm.org.apache.spark.sql.execution.datasources.DataSource(
+        spark._jsparkSession, "orc", seq(paths), some(kind), seq([]), some(spec), options, none
+    )
+    relation = source.resolveRelation(False, True)
+    return DataFrame(spark._jsparkSession.baseRelationToDataFrame(relation), spark)
+
+
 def _after_cuts(events: DataFrame, table: TableDescriptor, cuts: dict[str, int]) -> DataFrame:
-    """Events that the base of their partition does not hold already. The cuts are rows, one per partition."""
+    """Events that the base of their partition does not hold already, and all base rows. The cuts are rows, one per
+    partition."""
     spark = events.sparkSession
     known = spark.createDataFrame(list(cuts.items()), "__folder string, __cut bigint")
     if not table.partitioned:
-        return events.where(F.col("__txn") > next(iter(cuts.values())))
+        return events.where(F.col(BASE) | (F.col("__txn") > next(iter(cuts.values()))))
     keys = [key.alias(f"__of_{name}") for key, name in zip(_keys(table), table.partition_names)]
     known = known.select("__cut", *keys)
     same = [events[name].eqNullSafe(known[f"__of_{name}"]) for name in table.partition_names]
-    joined = events.join(known, same, "left").where(F.col("__cut").isNull() | (F.col("__txn") > F.col("__cut")))
-    return joined.drop("__cut", *[f"__of_{name}" for name in table.partition_names])
+    later = F.col(BASE) | F.col("__cut").isNull() | (F.col("__txn") > F.col("__cut"))
+    return events.join(known, same, "left").where(later).drop("__cut", *[f"__of_{name}" for name in table.partition_names])
 
 
 def _newest(events: DataFrame, keys: list[str], names: Sequence[str]) -> DataFrame:
-    """The newest event per row id, without deletes. ``max_by`` is combined before the shuffle, so a row
+    """The newest event or base row per row id, without deletes. ``max_by`` is combined before the shuffle, so a row
     that was changed very often reaches the final task as a few rows only."""
     event = F.struct(F.col("__op").alias("op"), F.struct(*_data(names, "__data")).alias("data"))
     newest = events.groupBy(*keys).agg(F.max_by(event, "__txn").alias("__event"))

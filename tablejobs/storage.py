@@ -139,5 +139,29 @@ def make_folder(spark: SparkSession, path: str) -> None:
     _file_system(spark, path).mkdirs(_path(spark, path))
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless one of this name is there already; says whether it was written."""
+    from py4j.protocol import Py4JJavaError
+
+    try:
+        out = _file_system(spark, path).create(_path(spark, path), False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    stream = _file_system(spark, path).open(_path(spark, path))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     _file_system(spark, path).delete(_path(spark, path), True)

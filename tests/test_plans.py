@@ -69,6 +69,36 @@ def test_changed_keys_are_shuffled_once(spark):
     assert join.count("Exchange hashpartitioning") == 2
 
 
+def test_deltas_of_inserts_are_read_without_a_shuffle(spark):
+    df, table = snapshots._orders(spark, SMALL)
+    from tablejobs.storage import shared_folder
+
+    root = shared_folder(spark, "inserts")
+    for txn in (1, 2):
+        part = df.where(f"o_orderkey % 2 = {txn - 1}")
+        tj.write_delta(tj.insert_events(part, table, txn, "o_orderkey", "0"), table, root, txn)
+    got = tj.snapshot_read(spark, table, root, tj.Snapshot(2))
+    text = plan(got)
+    assert "Exchange" not in text and "Join" not in text and len(scans(text)) == 1
+    assert got.count() == df.count()
+
+
+@pytest.mark.parametrize("name", ["snapshot_bucketed", "snapshot_bucketed_partitioned"])
+def test_buckets_are_merged_without_a_shuffle(spark, name):
+    text = plan(CHECKS[name][0](spark, SMALL))
+    assert "Exchange" not in text and "Join" not in text
+    assert re.search(r"Bucketed: true|SelectedBucketsCount", text)
+
+
+def test_large_buckets_are_spread_by_a_shuffle(spark, monkeypatch):
+    from tablejobs.sources import snapshot
+
+    few = sorted(map(tuple, CHECKS["snapshot_bucketed"][0](spark, SMALL).collect()))
+    monkeypatch.setattr(snapshot, "BUCKET_ROWS", 100)
+    df = CHECKS["snapshot_bucketed"][0](spark, SMALL)
+    assert "Exchange" in plan(df) and sorted(map(tuple, df.collect())) == few
+
+
 def test_partitioned_write_is_rebalanced_only_under_adaptive_execution(spark):
     from tablejobs.sinks.tables import rebalanced
 

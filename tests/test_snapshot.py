@@ -1,6 +1,7 @@
 """Snapshot reads: the known cases, and random histories against a plain loop."""
 
 import random
+from dataclasses import replace
 
 import pytest
 from conftest import rows
@@ -259,10 +260,10 @@ def expected_rows(history, snapshot):
     )
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_random_histories(spark, seed):
+@pytest.mark.parametrize("seed, buckets", [(0, 0), (1, 0), (2, 0), (3, 0), (4, 3), (5, 3)])
+def test_random_histories(spark, seed, buckets):
     chance = random.Random(seed)
-    table = PARTITIONED if seed % 2 else PLAIN
+    table = replace(PARTITIONED if seed % 2 else PLAIN, buckets=buckets)
     parts = [ASIA, ("Asia", None), ("Europe", "Norway")] if seed % 2 else [()]
     root = shared_folder(spark, "acid")
     last = 12
@@ -350,6 +351,100 @@ def test_broken_publication_is_invisible_and_can_be_run_again(spark, monkeypatch
     assert {row[1] for row in rows(tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(2)))} == {"new"}
 
 
+def change_between(spark, monkeypatch, root, step):
+    """Run ``step`` in the middle of an update of several partitions, after its first folder is in place."""
+    from tablejobs.sinks import changes
+
+    moves, move = [], changes.move
+
+    def halting(spark, source, target):
+        move(spark, source, target)
+        moves.append(target)
+        if len(moves) == 1:
+            step()
+
+    monkeypatch.setattr(changes, "MOVES", 1)
+    monkeypatch.setattr(changes, "move", halting)
+    try:
+        tj.apply_changes(spark, PARTITIONED, root, tj.Snapshot(1), 2, assign={"msg": "'new'"})
+    finally:
+        monkeypatch.setattr(changes, "move", move)
+
+
+def places_base(spark):
+    root = shared_folder(spark, "acid")
+    places = [ASIA, ("Europe", "Spain"), ("Europe", "India")]
+    tj.write_base(
+        events(spark, PARTITIONED, [(INSERT, (1, 0, 0), 1, (1, "a"), *p) for p in places]), PARTITIONED, root, 1
+    )
+    return root
+
+
+def test_readers_see_all_of_a_change_or_nothing(spark, monkeypatch):
+    from tablejobs.sources import snapshot
+
+    root, seen = places_base(spark), []
+    read = lambda: {row[1] for row in rows(tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(2)))}
+    change_between(spark, monkeypatch, root, lambda: seen.append(read()))
+    assert seen == [{"a"}] and read() == {"new"}
+    # A reader that has read the records before the commit, and lists folders after it.
+    other, listed = places_base(spark), snapshot.glob
+    old = snapshot.read_commits(spark, other)
+    tj.apply_changes(spark, PARTITIONED, other, tj.Snapshot(1), 2, assign={"msg": "'new'"})
+    monkeypatch.setattr(snapshot, "read_commits", lambda spark, root: old)
+    assert {row[1] for row in rows(tj.snapshot_read(spark, PARTITIONED, other, tj.Snapshot(2)))} == {"a"}
+    assert listed
+
+
+def test_the_first_commit_of_a_table_is_seen_as_a_whole(spark, monkeypatch):
+    from tablejobs.sinks import changes
+    from tablejobs.sources import snapshot
+
+    root, seen, move = shared_folder(spark, "acid"), [], changes.move
+
+    def halting(spark, source, target):
+        move(spark, source, target)
+        seen.append(rows(tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(1))))
+
+    monkeypatch.setattr(changes, "MOVES", 1)
+    monkeypatch.setattr(changes, "move", halting)
+    data = [(INSERT, (1, 0, 0), 1, (1, "a"), *p) for p in (ASIA, ("Europe", "Spain"))]
+    tj.write_base(events(spark, PARTITIONED, data), PARTITIONED, root, 1)
+    assert seen == [[], []] and len(rows(tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(1)))) == 2
+    # A reader that finds no records, then folders, then records, begins again.
+    answers = [None, snapshot.read_commits(spark, root)]
+    monkeypatch.setattr(snapshot, "read_commits", lambda spark, root: answers.pop(0))
+    assert len(rows(tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(1)))) == 2 and not answers
+
+
+def test_of_two_writers_of_a_transaction_one_wins(spark, monkeypatch):
+    root = places_base(spark)
+
+    def other():
+        monkeypatch.undo()
+        tj.apply_changes(spark, PARTITIONED, root, tj.Snapshot(1), 2, assign={"msg": "'other'"})
+
+    with pytest.raises(SnapshotError, match="another writer"):
+        change_between(spark, monkeypatch, root, other)
+    assert [row[1] for row in rows(tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(2)))] == ["other"] * 3
+    assert len(glob(spark, f"{root}/*=*/*=*/delta_*")) == 3  # the loser's folders are gone
+
+
+def test_what_broken_writers_left_can_be_removed(spark, monkeypatch):
+    from tablejobs.storage import create_file
+
+    root = places_base(spark)
+    with pytest.raises(ZeroDivisionError):
+        change_between(spark, monkeypatch, root, lambda: 1 / 0)
+    assert create_file(spark, f"{root}/_commits/delta_0000002_0000002", "")
+    with pytest.raises(SnapshotError, match="another writer"):
+        tj.apply_changes(spark, PARTITIONED, root, tj.Snapshot(1), 2, assign={"msg": "'b'"})
+    left = tj.remove_uncommitted(spark, PARTITIONED, root)
+    assert len(left) >= 3 and tj.remove_uncommitted(spark, PARTITIONED, root) == []
+    tj.apply_changes(spark, PARTITIONED, root, tj.Snapshot(1), 2, assign={"msg": "'c'"})
+    assert {row[1] for row in rows(tj.snapshot_read(spark, PARTITIONED, root, tj.Snapshot(2)))} == {"c"}
+
+
 def test_scans_do_not_follow_partitions_and_no_job_runs(spark):
     root = shared_folder(spark, "acid")
     for place in range(5):
