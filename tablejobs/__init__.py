@@ -5,6 +5,7 @@ from tablejobs.functions.user import apply_filter, apply_function
 from tablejobs.operators.contract import check_contract, validate_table
 from tablejobs.operators.copy import copy_to_file, copy_to_table
 from tablejobs.operators.fields import align_to_table, partition_filter, project_fields
+from tablejobs.operators.joins import asof_join, interval_join
 from tablejobs.operators.rows import (
     distinct_values,
     filter_rows,
@@ -45,9 +46,9 @@ from tablejobs.sources.text import create_text_view, scan_text_table
 
 __all__ = [
     "Snapshot", "SqlStep", "StepMetrics", "TableDescriptor", "adopt_files", "align_to_table", "apply_changes",
-    "apply_filter", "apply_function", "check_contract", "copy_to_file", "copy_to_table",
+    "apply_filter", "apply_function", "asof_join", "check_contract", "copy_to_file", "copy_to_table",
     "create_table", "create_text_view", "describe_table", "discard", "distinct_values", "drop_table", "filter_rows",
-    "group_count", "insert_constant", "insert_events", "insert_into", "limit_rows", "load_file",
+    "group_count", "insert_constant", "insert_events", "insert_into", "interval_join", "limit_rows", "load_file",
     "map_columns", "order_rows", "partition_filter", "project_fields", "query_inputs",
     "register_partitions", "remove_partitions", "remove_uncommitted", "run_sql_steps", "scan_at_location",
     "scan_partitioned", "scan_sequence_table", "scan_table", "scan_text_table", "snapshot_read",
