@@ -42,15 +42,15 @@ from tablejobs.sources.inputs import query_inputs
 from tablejobs.sources.sequence import scan_sequence_table, write_sequence_table
 from tablejobs.sources.snapshot import Snapshot, snapshot_read
 from tablejobs.sources.tables import scan_at_location, scan_partitioned, scan_table, table_location
-from tablejobs.sources.text import create_text_view, scan_text_table
+from tablejobs.sources.text import accepted_rows, create_text_view, judged_lines, rejected_lines, scan_text_table
 
 __all__ = [
-    "Snapshot", "SqlStep", "StepMetrics", "TableDescriptor", "adopt_files", "align_to_table", "apply_changes",
+    "Snapshot", "SqlStep", "StepMetrics", "TableDescriptor", "accepted_rows", "adopt_files", "align_to_table", "apply_changes",
     "apply_filter", "apply_function", "asof_join", "check_contract", "copy_to_file", "copy_to_table",
     "create_table", "create_text_view", "describe_table", "discard", "distinct_values", "drop_table", "filter_rows",
-    "group_count", "insert_constant", "insert_events", "insert_into", "interval_join", "limit_rows", "load_file",
+    "group_count", "insert_constant", "insert_events", "insert_into", "interval_join", "judged_lines", "limit_rows", "load_file",
     "map_columns", "order_rows", "partition_filter", "project_fields", "query_inputs",
-    "register_partitions", "remove_partitions", "remove_uncommitted", "run_sql_steps", "scan_at_location",
+    "register_partitions", "rejected_lines", "remove_partitions", "remove_uncommitted", "run_sql_steps", "scan_at_location",
     "scan_partitioned", "scan_sequence_table", "scan_table", "scan_text_table", "snapshot_read",
     "table_location", "truncate_table", "validate_table", "write_base", "write_delta", "write_files",
     "write_partitioned", "write_sequence_table", "write_table", "write_text_table",

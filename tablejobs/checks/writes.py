@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pandas as pd
 from pyspark.sql import functions as F
 
 import tablejobs as tj
-from tablejobs.checks.fixtures import describe, new_database, source
+from tablejobs.checks.fixtures import describe, new_database, once, source
 from tablejobs.sinks.tables import write_files
 from tablejobs.storage import quoted, shared_folder
 
@@ -110,6 +112,49 @@ def check_contract(spark, sf_dir):
     return tj.check_contract(tj.scan_text_table(spark, table, path, typed=False), table)
 
 
+def _customer_lines(spark, sf_dir):
+    """All customers as lines: some with a field too many, some cut short, some with text for a number."""
+    df = source(spark, sf_dir, "customer")
+
+    def make():
+        path = shared_folder(spark, "lines")
+        df.selectExpr(
+            """CASE WHEN c_custkey % 7 = 0 THEN concat_ws('|', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'more')
+                    WHEN c_custkey % 7 = 1 THEN concat_ws('|', c_custkey, c_name)
+                    WHEN c_custkey % 7 = 2 THEN concat_ws('|', c_custkey, c_name, 'none', c_acctbal, c_mktsegment)
+                    ELSE concat_ws('|', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment) END AS value"""
+        ).write.text(path)
+        return path
+
+    return describe(df, "customer", storage="text", delimiter="|"), once(spark, sf_dir, "customer lines", make)
+
+
+def check_contract_width(spark, sf_dir):
+    """The report counts lines that are too long or too short."""
+    table, path = _customer_lines(spark, sf_dir)
+    return tj.check_contract(tj.scan_text_table(spark, table, path, typed=False, width=True), table)
+
+
+def rejected_lines(spark, sf_dir):
+    """Lines that are no rows, with the reason."""
+    table, path = _customer_lines(spark, sf_dir)
+    return tj.rejected_lines(tj.judged_lines(spark, table, path)).select("reason", "line")
+
+
+def load_with_rejects(spark, sf_dir):
+    """Rows go into the table, rejected lines into a folder of their own; both are counted by reason."""
+    table, path = _customer_lines(spark, sf_dir)
+    loaded = describe(source(spark, sf_dir, "customer"), "loaded", database=new_database(spark))
+    loaded = replace(loaded, delimiter="|")
+    rejects = shared_folder(spark, "rejects")
+    tj.load_file(spark, path, loaded, rejects=rejects)
+    rows = tj.scan_table(spark, loaded.full_name).select(F.lit("loaded").alias("outcome"), "c_acctbal")
+    lines = spark.read.schema("file string, reason string, line string").json(rejects)
+    lines = lines.select(F.col("reason").alias("outcome"), F.lit(None).cast("double").alias("c_acctbal"))
+    sums = rows.unionByName(lines).groupBy("outcome")
+    return sums.agg(F.count(F.lit(1)).alias("n_lines"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+
+
 def discard(spark, sf_dir):
     n_rows = tj.discard(source(spark, sf_dir, "lineitem"))
     return spark.range(1).select(F.lit(n_rows).cast("bigint").alias("n_rows"))
@@ -307,6 +352,39 @@ QUERIES = {
         """,
     ),
     "check_contract": (check_contract, _CONTRACT),
+    "check_contract_width": (
+        check_contract_width,
+        """
+        SELECT * FROM (VALUES
+            (0, 'c_custkey', 'bigint'), (1, 'c_name', 'string'), (2, 'c_nationkey', 'int'),
+            (3, 'c_acctbal', 'double'), (4, 'c_mktsegment', 'string'), (5, '(line)', '5 fields')
+        ) AS t(position, column_name, declared_type),
+        LATERAL (SELECT CASE position WHEN 2 THEN count(*) FILTER (c_custkey % 7 = 2)
+                                      WHEN 5 THEN count(*) FILTER (c_custkey % 7 < 2) ELSE 0 END AS bad_values,
+                        CAST(0 AS BIGINT) AS null_keys FROM customer)
+        """,
+    ),
+    "rejected_lines": (
+        rejected_lines,
+        """
+        SELECT CASE c_custkey % 7 WHEN 0 THEN '6 fields instead of 5' WHEN 1 THEN '2 fields instead of 5'
+                    ELSE 'column ''c_nationkey'' holds text that is no int' END AS reason,
+               CASE c_custkey % 7
+                    WHEN 0 THEN concat_ws('|', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'more')
+                    WHEN 1 THEN concat_ws('|', c_custkey, c_name)
+                    ELSE concat_ws('|', c_custkey, c_name, 'none', c_acctbal, c_mktsegment) END AS line
+        FROM customer WHERE c_custkey % 7 < 3
+        """,
+    ),
+    "load_with_rejects": (
+        load_with_rejects,
+        """
+        SELECT CASE c_custkey % 7 WHEN 0 THEN '6 fields instead of 5' WHEN 1 THEN '2 fields instead of 5'
+                    WHEN 2 THEN 'column ''c_nationkey'' holds text that is no int' ELSE 'loaded' END AS outcome,
+               count(*) AS n_lines, round(sum(c_acctbal) FILTER (c_custkey % 7 > 2), 2) AS balance
+        FROM customer GROUP BY ALL
+        """,
+    ),
     "discard": (discard, "SELECT count(*) AS n_rows FROM lineitem"),
     "copy_part_to_plain": (copy_part_to_plain, f"{_NO_PRIORITY} FROM orders"),
     "copy_plain_to_part": (copy_plain_to_part, f"{_NO_PRIORITY}, 'x' AS o_orderpriority FROM orders"),

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tablejobs.descriptor import TableDescriptor, look_up
 from tablejobs.errors import FieldError, TableMismatchError
 from tablejobs.operators.fields import column, lower_names
+from tablejobs.sources.text import WIDTH
 from tablejobs.storage import qualified_path
 
 
@@ -48,7 +49,9 @@ def check_contract(df: DataFrame, table: TableDescriptor) -> DataFrame:
     """Count, per column and in one pass, the values that break the descriptor.
 
     ``bad_values`` are values that cannot become the declared type. ``null_keys`` are nulls in
-    partition columns. The rows are usually text fields (``scan_text_table(..., typed=False)``).
+    partition columns. The rows are usually text fields (``scan_text_table(..., typed=False)``). If they come with the
+    width of their lines (``width=True``), a last line of the report, ``(line)``, counts those with too few or too many
+    fields.
     """
     known = dict(zip(lower_names(df.columns), df.columns))
     missing = [name for name in table.schema.names if name not in known]
@@ -73,5 +76,17 @@ def check_contract(df: DataFrame, table: TableDescriptor) -> DataFrame:
                 F.col(f"null_{place}").alias("null_keys"),
             )
         )
+    if WIDTH in df.columns:
+        wanted = len(table.data_names)
+        counts.append(F.count_if(F.col(WIDTH) != wanted).alias("bad_width"))
+        lines.append(
+            F.struct(
+                F.lit(len(table.schema)).alias("position"),
+                F.lit("(line)").alias("column_name"),
+                F.lit(f"{wanted} fields").alias("declared_type"),
+                F.col("bad_width").alias("bad_values"),
+                F.lit(0).cast("bigint").alias("null_keys"),
+            )
+        )
     totals = df.agg(F.count(F.lit(1)).alias("n_rows"), *counts)
     return totals.select(F.inline(F.array(*lines)))

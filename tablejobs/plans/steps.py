@@ -13,8 +13,8 @@ from tablejobs.errors import SqlStepError, TableJobError
 from tablejobs.plans.metrics import StepMetrics
 from tablejobs.sinks.discard import discard
 from tablejobs.sinks.tables import create_table, write_table
-from tablejobs.sources.text import scan_text_table
-from tablejobs.storage import materialize
+from tablejobs.sources.text import accepted_rows, judged_lines, rejected_lines, scan_text_table
+from tablejobs.storage import materialize, release
 
 
 def run_sql_steps(
@@ -108,8 +108,24 @@ class SqlStep:
 
 
 def load_file(
-    spark: SparkSession, path: str, table: TableDescriptor, overwrite: bool = True, bad_rows: str = "error"
+    spark: SparkSession,
+    path: str,
+    table: TableDescriptor,
+    overwrite: bool = True,
+    bad_rows: str = "error",
+    rejects: str | None = None,
 ) -> None:
-    """Load delimited text files into a table. Lines that do not fit stop the load unless ``bad_rows`` is ``"null"``."""
-    rows = scan_text_table(spark, table, path, bad_rows=bad_rows)
-    write_table(rows, table, "replace" if overwrite else "update")
+    """Load delimited text files into a table.
+
+    Lines that do not fit stop the load unless ``bad_rows`` is ``"null"`` or ``"skip"``. With ``rejects``, a folder
+    that does not exist yet, such lines go there as JSON (file, reason, line) and the others into the table; the files
+    are read once.
+    """
+    mode = "replace" if overwrite else "update"
+    if rejects is None:
+        write_table(scan_text_table(spark, table, path, bad_rows=bad_rows), table, mode)
+        return
+    judged = materialize(judged_lines(spark, table, path), "judged")
+    rejected_lines(judged).write.json(rejects)
+    write_table(accepted_rows(judged), table, mode)
+    release(judged)

@@ -162,3 +162,40 @@ def test_values_may_not_hold_the_line_separator(spark, tmp_path):
     df = spark.createDataFrame([("a|b", "c")], "x string, y string")
     with pytest.raises(Exception):
         tj.write_text_table(df, str(tmp_path / "out"), "\t", options={"lineSep": "|"})
+
+
+def test_rejected_lines_of_a_partitioned_table(spark, tmp_path):
+    table = tj.TableDescriptor("t", ("a", "b", "p"), ("int", "date", "string"), ("p",), delimiter="|", storage="text")
+    (tmp_path / "p=x").mkdir()
+    (tmp_path / "p=x" / "part").write_text("1|2024-01-01\n\n2\n\\N|\\N\nz|2024-01-01\n3|never\n4|2024-01-01|\n")
+    judged = tj.judged_lines(spark, table, str(tmp_path))
+    assert rows(tj.accepted_rows(judged).selectExpr("a", "string(b)", "p")) == [(1, "2024-01-01", "x"), (None, None, "x")]
+    found = rows(tj.rejected_lines(judged).selectExpr("regexp_extract(file, '[^/]+$', 0)", "reason", "line"))
+    assert sorted(found) == [
+        ("part", "1 fields instead of 2", ""),
+        ("part", "1 fields instead of 2", "2"),
+        ("part", "3 fields instead of 2", "4|2024-01-01|"),
+        ("part", "column 'a' holds text that is no int", "z|2024-01-01"),
+        ("part", "column 'b' holds text that is no date", "3|never"),
+    ]
+    assert rows(tj.scan_text_table(spark, table, str(tmp_path), bad_rows="skip")) == rows(tj.accepted_rows(judged))
+    assert judged._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+    report = tj.check_contract(tj.scan_text_table(spark, table, str(tmp_path), typed=False, width=True), table)
+    assert [(r.column_name, r.bad_values) for r in report.collect()] == [("a", 1), ("b", 1), ("p", 0), ("(line)", 3)]
+
+
+def test_sequence_files_pass_no_python_worker(spark):
+    table = tj.TableDescriptor("t", ("a", "b"), ("string", "int"), storage="sequencefile")
+    df = spark.range(500).selectExpr("concat('é', id) AS a", "int(id) AS b").repartition(3)
+    path = shared_folder(spark, "sequence")
+    tj.write_sequence_table(df, table, path, "org.apache.hadoop.io.compress.GzipCodec")
+    read = tj.scan_sequence_table(spark, table, path)
+    text = read._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "ExternalRDD" in text
+    assert rows(read) == rows(df)
+    # Files that others wrote, with keys of any kind.
+    keyed = shared_folder(spark, "keyed")
+    spark.sparkContext.parallelize([(1, "x\x01 7"), (2, "y\x018")], 1).saveAsSequenceFile(keyed)
+    assert rows(tj.scan_sequence_table(spark, tj.TableDescriptor("k", ("a", "b"), ("string", "int"), storage="sequencefile"), keyed)) == [
+        ("x", 7), ("y", 8),
+    ]
