@@ -275,6 +275,10 @@ def rows_with_id(
     folders = list_folders(spark, table, root, predicate)
     choices = [_choose(partition, found, snapshot) for partition, found in folders.items()]
 
+    cuts = {partition: choice.cut for partition, choice in zip(folders, choices) if choice.cut is not None}
+    # Rows of a base pass like the inserts they came from, unless the base folds in other events or is cut out of deltas.
+    told_apart = bool(cuts) or any(choice.base and choice.base.changes for choice in choices)
+
     def read(found: Iterable[_Folder], buckets: int = 0) -> DataFrame:
         paths = [folder.path for folder in found]
         if buckets:
@@ -282,7 +286,9 @@ def rows_with_id(
         else:
             reader = spark.read.schema(schema).option("basePath", root)
             df = reader.orc(paths) if paths else spark.createDataFrame([], schema)
-        of_base = F.regexp_like(F.col("_metadata.file_path"), F.lit("/base_[0-9][^/=]*/[^/]*$")) if paths else F.lit(False)
+        # The folder of a file: one of a base begins with "base_".
+        folder = F.element_at(F.split("_metadata.file_path", "/"), -2) if paths and told_apart else F.lit("")
+        of_base = folder.startswith("base_")
         return df.select(*[F.col(name).alias(INNER + name) for name in EVENT], of_base.alias(BASE), *table.partition_names)
 
     def base_rows(found: Iterable[_Folder]) -> DataFrame:
@@ -290,10 +296,11 @@ def rows_with_id(
 
     deltas = [delta for choice in choices for delta in choice.deltas]
     touched = [c.base for c in choices if c.base and c.deltas]
-    cuts = {partition: choice.cut for partition, choice in zip(folders, choices) if choice.cut is not None}
 
     def accepted(rows: DataFrame) -> DataFrame:
         """Rows of bases, and events that the snapshot sees and the base of their partition does not hold already."""
+        if not told_apart:
+            return rows.where(snapshot.accepts(F.col("__txn")))
         rows = rows.where((F.col(BASE) & (F.col("__op") != DELETE)) | (~F.col(BASE) & snapshot.accepts(F.col("__txn"))))
         return _after_cuts(rows, table, cuts) if cuts else rows
 
@@ -307,7 +314,8 @@ def rows_with_id(
         # A row id is inserted once, in its first transaction, so an insert is a row like one of a base. Both come
         # from one scan: a union would let the join sink into its parts and double what is joined.
         rows = accepted(read([*touched, *[delta for delta in deltas if delta.inserts]]))
-        rows = rows.where(F.col(BASE) | (F.col("__op") == INSERT)).select(*keys, *_data(names, "__data"))
+        inserted = F.col("__op") == INSERT
+        rows = rows.where(F.col(BASE) | inserted if told_apart else inserted).select(*keys, *_data(names, "__data"))
         if changing:
             changes = accepted(read(changing)).where(F.col("__op") != INSERT)
             parts += [_without(rows, changes, keys), _newest(changes, keys, names)]
