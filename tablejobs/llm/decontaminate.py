@@ -151,9 +151,9 @@ def _search(rows: list[tuple], queries: list[tuple[str, list[bytes]]], slop: int
         np.add.at(edge, starts, 1)
         np.add.at(edge, starts + len(phrase), -1)
         for doc in np.unique(np.searchsorted(firsts, starts, "right") - 1).tolist():
-            exact[doc].add(key)
+            exact[doc].add(key) if key is not None else None
         for doc in np.unique(np.searchsorted(firsts, _near(phrase, postings, len(phrase) + slop), "right") - 1).tolist():
-            near[doc].add(key)
+            near[doc].add(key) if key is not None else None
     hit = np.cumsum(edge)[:total] > 0
     for i, (key, first, count) in enumerate(zip(ids, firsts.tolist(), counts)):
         own = np.flatnonzero(np.diff(hit[first : first + count].astype(np.int8), prepend=0, append=0))
@@ -167,7 +167,7 @@ def _query_blocks(benchmark: DataFrame, item_col: str, text_col: str, width: int
     rows = benchmark.select(F.col(item_col).cast("string"), F.col(text_col).cast("string"))
     for key, text in rows.toLocalIterator():
         words = terms(text)
-        if key is None or not words:
+        if not words:
             continue
         if held and size + len(words) > QUERY_WORDS:
             yield phrases(held, width)
@@ -199,7 +199,8 @@ def find_passages(
     ``near_items`` those of which only all words of a phrase occur within ``width + slop`` words of the rarest one.
 
     Null and empty texts have no words and no hits; a null id stays null, repeated rows give repeated rows. An item
-    without words or id matches nothing; items with the same id count as one. An empty ``docs`` gives no rows, an
+    without words matches nothing; one without id gives spans like others but is listed nowhere; items with the same id
+    count as one. An empty ``docs`` gives no rows, an
     empty ``benchmark`` no hits. The benchmark is matched in blocks of ``QUERY_WORDS`` words, each a pass over the
     postings of its own words. Further columns are not read.
     """

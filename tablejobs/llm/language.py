@@ -5,6 +5,10 @@ orders follow from the counts: how many different characters come before a seque
 by the sequence, packed into one 64-bit number, so that a look-up is a binary search over a batch. A text belongs to
 the language whose model gives the lowest cross-entropy per character. Texts whose cross-entropy lies far above what
 training texts of that language and length have are rejected.
+
+All languages get a model, and a model holds every sequence of its language. Languages are dealt to groups by the size
+of their models; a text is held against one group after the other, each sent to the tasks by itself, and carries the
+best language so far along.
 """
 
 from __future__ import annotations
@@ -22,11 +26,10 @@ from tablejobs.storage import materialize
 
 #: Characters in a sequence.
 ORDER = 4
-#: Sequences the models hold together at most: 16 bytes each and 4 for every language. Beyond it the rarest go first,
-#: found by their counts over the whole corpus; what they held falls to the lower orders.
-MODEL_SIZE = 1_000_000
-#: Languages that get a model at most, the most frequent ones of the training rows.
-LANGUAGES = 64
+#: Sequences a group of models holds, or one language: 16 bytes each and 4 for every language.
+GROUP_SIZE = 1_000_000
+#: Languages up to which the limits of rejection, 64 rows each at most, are sent to every task.
+BROADCAST_LANGUAGES = 2_000
 #: Standard deviations above the mean cross-entropy of training texts from which a text is rejected.
 REJECT = 8.0
 
@@ -196,33 +199,27 @@ class Models:
             sums[filled[first + i]] += total
 
 
-def fit(rows: DataFrame, lang: str, text: str, model_size: int = MODEL_SIZE) -> Models:
-    """Models of the most frequent languages among all ``rows``; rows without language or text teach nothing.
+def fit(rows: DataFrame, lang: str, text: str, group_size: int = GROUP_SIZE) -> Iterator[Models]:
+    """Models of all languages of ``rows``, in groups in the order of the alphabet; rows without language or text teach
+    nothing.
 
-    What reaches the driver is bounded: at most ``model_size`` sequences in all.
+    The driver holds one group at a time: ``group_size`` sequences, or those of one language.
     """
     counts = materialize(count_sequences(rows, lang, text), "sequences")
-    names = [
-        row["lang"]
-        for row in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    ]
-    if not names:
-        return Models([], [], [])
-    counts = counts.where(F.col("lang").isin(names))
-    # How many sequences have a count of 2^k or more: 64 rows at most.
-    steps = counts.groupBy(F.floor(F.log2("n")).alias("k")).agg(F.count("*").alias("rows")).orderBy(F.desc("k")).collect()
-    least, held = 0, 0
-    for row in steps:
-        held += row["rows"]
-        if held > model_size:
-            least = row["k"] + 1
-            break
-    table = counts.where(F.col("n") >= 2**least).toArrow()
-    lang_of = np.array(table.column("lang").to_pylist(), object)
-    grams = table.column("gram").to_numpy().view(np.uint64)
-    number = table.column("n").to_numpy()
-    names = sorted(set(lang_of.tolist()))
-    return Models(names, [grams[lang_of == n] for n in names], [number[lang_of == n] for n in names])
+    groups: list[list[str]] = []
+    held = group_size
+    for name, size in sorted(map(tuple, counts.groupBy("lang").agg(F.count("*")).collect())):
+        if held + size > group_size:
+            groups.append([])
+            held = 0
+        groups[-1].append(name)
+        held += size
+    for names in groups:
+        table = counts.where(F.col("lang").isin(names)).toArrow()
+        lang_of = np.array(table.column("lang").to_pylist(), object)
+        grams = table.column("gram").to_numpy().view(np.uint64)
+        number = table.column("n").to_numpy()
+        yield Models(names, [grams[lang_of == n] for n in names], [number[lang_of == n] for n in names])
 
 
 def identify(
@@ -232,7 +229,7 @@ def identify(
     text_col: str = "text",
     lang_col: str = "lang",
     keep_rows: bool = False,
-    model_size: int = MODEL_SIZE,
+    group_size: int = GROUP_SIZE,
 ) -> DataFrame:
     """Per row: id, learned, lang_pred, score, entropy, letters, rejected; with ``keep_rows`` also the row itself.
 
@@ -247,8 +244,10 @@ def identify(
     flagged = docs.select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), learn.alias("learn")
     )
-    models = fit(flagged.where("learn"), "lang", "text", model_size)
-    shared = spark.sparkContext.broadcast(models)
+    groups, languages = [], 0
+    for models in fit(flagged.where("learn"), "lang", "text", group_size):
+        groups.append(spark.sparkContext.broadcast(models))
+        languages += len(models.names)
 
     names = ("row", "id") if keep_rows else ("id",)
     rows = docs.select(
@@ -260,54 +259,80 @@ def identify(
     )
 
     def scored(passed: tuple[str, ...]) -> DataFrame:
-        source = rows.select(*passed, "text")
-        schema = T.StructType([source.schema[name] for name in passed]).add("lang_pred", "string")
-        schema = schema.add("score", "double").add("entropy", "double").add("letters", "long")
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            score = scorer(shared.value)
-            for batch in batches:
-                for part in slices(batch, batch.schema.get_field_index("text"), 2_000_000):
-                    made = score(part.column("text").to_pylist())
-                    yield from pa.Table.from_arrays(
-                        [part.column(name) for name in passed] + [pa.array(values) for values in made], names=schema.names
-                    ).to_batches()
-
-        return source.mapInArrow(run, schema)
+        frame = rows.select(*passed, "text")
+        frame = _scored(frame, passed, groups[0] if groups else None, True, len(groups) < 2)
+        for i, group in enumerate(groups[1:], 2):
+            frame = _scored(frame, passed, group, False, i == len(groups))
+        return frame
 
     small = materialize(scored(("id", "lang", "learned")), "languages")
     # Whole rows are scored once more rather than written beside their scores.
-    return _judged(scored(("row", "id", "lang", "learned")) if keep_rows else small, small, names)
-
-
-def scorer(models: Models) -> Callable[[list], list]:
-    names = np.array([*models.names, "und"], object)
-
-    def score(texts: list) -> list:
-        if not models.names:
-            none = np.zeros(len(texts))
-            return [["und"] * len(texts), none, none, np.zeros(len(texts), np.int64)]
-        sizes, bits = models.entropies(texts)
-        best = bits.argmin(1)
-        lowest = bits[np.arange(len(bits)), best]
-        share = 1 / np.exp2((lowest[:, None] - bits) * np.minimum(sizes, 64)[:, None]).sum(1)
-        lettered = sizes > 0
-        for i in np.flatnonzero(~lettered).tolist():  # one or two letters: no sequence of four
-            if len(characters(texts[i])):
-                lettered[i] = True
-        best = np.where(lettered, best, len(names) - 1)
-        return [
-            names[best].tolist(),
-            np.where(lettered, share, 0.0),
-            np.where(sizes > 0, lowest, 0.0),
-            sizes,
-        ]
-
-    return score
-
-
-def _judged(scored: DataFrame, known: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    """Rejection against training texts, by a table of at most ``LANGUAGES`` times 64 rows: small enough to broadcast."""
+    judged = scored(("row", "id", "lang", "learned")) if keep_rows else small
+    return _judged(judged, small, names, languages <= BROADCAST_LANGUAGES)
+
+
+#: What a text carries from one group of models to the next: its best language and that one's cross-entropy, the sum of
+#: all probabilities by that of the best one, and its sequences; none for a text without letters.
+_SO_FAR = "lang_pred string, score double, entropy double, letters long"
+
+
+def _scored(frame: DataFrame, passed: tuple[str, ...], group, first: bool, last: bool) -> DataFrame:
+    """Holds the texts against a group of models. The last one turns sums into scores and leaves the text behind."""
+    kept = passed if last else (*passed, "text")
+    schema = T.StructType([*[frame.schema[name] for name in kept], *T.StructType.fromDDL(_SO_FAR)])
+    before = T.StructType.fromDDL(_SO_FAR).names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models = group.value if group else Models([], [], [])
+        for batch in batches:
+            for part in slices(batch, batch.schema.get_field_index("text"), 2_000_000):
+                texts = part.column("text").to_pylist()
+                made = compared(models, texts, None if first else [part.column(name).to_pylist() for name in before])
+                if last:
+                    made[1] = [1 / total if total else 0.0 for total in made[1]]
+                columns = [part.column(name) for name in kept]
+                columns += [pa.array(v, t) for v, t in zip(made, (pa.string(), pa.float64(), pa.float64(), pa.int64()))]
+                yield from pa.Table.from_arrays(columns, names=schema.names).to_batches()
+
+    return frame.mapInArrow(run, schema)
+
+
+def compared(models: Models, texts: list[str | None], before: list[list] | None) -> list[list]:
+    """The columns of ``_SO_FAR`` for some texts; ``before`` has them after the groups before."""
+    if not models.names:
+        none = [0.0] * len(texts)
+        return [["und"] * len(texts), none, none, [0] * len(texts)]
+    sizes, bits = models.entropies(texts)
+    best = bits.argmin(1)
+    lowest = bits[np.arange(len(bits)), best]
+    counted = np.minimum(sizes, 64)
+    total = np.exp2((lowest[:, None] - bits) * counted[:, None]).sum(1)
+    names = np.array(models.names, object)[best]
+    if before is not None:
+        old_names, old_total, old_lowest = (np.array(column, kind) for column, kind in zip(before, (object, float, float)))
+        # Both sums by the probability of the better of the two languages; the first one of equals stays.
+        better = lowest < old_lowest
+        top = np.where(better, lowest, old_lowest)
+        total = total * np.exp2((top - lowest) * counted) + old_total * np.exp2((top - old_lowest) * counted)
+        names, lowest = np.where(better, names, old_names), top
+    lettered = sizes > 0
+    for i in np.flatnonzero(~lettered).tolist():  # one or two letters: no sequence of four
+        if len(characters(texts[i])):
+            lettered[i] = True
+    return [
+        np.where(lettered, names, "und").tolist(),
+        np.where(lettered, total, 0.0).tolist(),
+        np.where(sizes > 0, lowest, 0.0).tolist(),
+        sizes.tolist(),
+    ]
+
+
+def _judged(scored: DataFrame, known: DataFrame, names: tuple[str, ...], few: bool) -> DataFrame:
+    """Rejection against training texts, by a table of at most 64 rows a language: sent to all tasks if these are few."""
+
+    def held(frame: DataFrame) -> DataFrame:
+        return F.broadcast(frame) if few else frame
+
     size = F.floor(F.log2(F.greatest("letters", F.lit(1)))).alias("size")
     usual = (
         known.where("learned and lang = lang_pred and letters > 0")
@@ -318,11 +343,11 @@ def _judged(scored: DataFrame, known: DataFrame, names: tuple[str, ...]) -> Data
         F.max("mean").alias("highest"), F.max("spread").alias("widest")
     )
     judged = scored.withColumn("size", size).join(
-        F.broadcast(usual.where("rows >= 30").withColumnRenamed("size", "own_size")),
+        held(usual.where("rows >= 30").withColumnRenamed("size", "own_size")),
         (F.col("lang_pred") == F.col("own")) & (F.col("size") == F.col("own_size")),
         "left",
     )
-    judged = judged.join(F.broadcast(overall.withColumnRenamed("own", "whole")), F.col("lang_pred") == F.col("whole"), "left")
+    judged = judged.join(held(overall.withColumnRenamed("own", "whole")), F.col("lang_pred") == F.col("whole"), "left")
     # A class with few training texts takes the highest mean and the widest spread of its language.
     limit = F.coalesce("mean", "highest") + REJECT * F.greatest(F.coalesce("spread", "widest"), F.lit(0.05))
     rejected = (F.col("lang_pred") == "und") | F.coalesce(F.col("entropy") > limit, F.lit(False))

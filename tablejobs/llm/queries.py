@@ -191,7 +191,7 @@ WITH doc_words AS (
 ), item_words AS (
   SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
 ), item_windows AS (
   SELECT DISTINCT item, size, array_to_string(w[i:i + size - 1], ' ') AS window_text
   FROM (SELECT item, w, least(10, len(w)) AS size, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS i
@@ -208,7 +208,7 @@ places AS (
   FROM (SELECT DISTINCT doc_id, unnest(generate_series(i, i + size - 1)) AS place FROM hits) GROUP BY doc_id
 ), hit_items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+  FROM (SELECT DISTINCT doc_id, item FROM hits WHERE item IS NOT NULL) GROUP BY doc_id
 )
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated

@@ -403,13 +403,80 @@ def test_language_of_odd_rows(spark, odd, empty):
     assert {(row.lang_pred, row.rejected) for row in nothing} == {("und", True)}
 
 
-def test_counts_cover_all_rows_and_the_model_is_bounded(spark):
+def test_counts_cover_all_rows_and_groups_are_bounded(spark):
     rows = spark.createDataFrame([("en", "abc abd"), ("en", "abc"), (None, "abc"), ("de", "xyz")], "lang string, text string")
     counts = {(r.lang, r.gram): r.n for r in language.count_sequences(rows, "lang", "text").collect()}
     gram = int(language.sequences(language.characters("abc"))[0])
     assert counts["en", gram] == 2 and counts.get(("de", gram)) is None
-    bounded = language.fit(rows, "lang", "text", model_size=3)
-    assert len(bounded.keys) <= 3
+    # Groups hold a bounded number of sequences or one language, and no language or sequence is left out.
+    groups = list(language.fit(rows, "lang", "text", group_size=3))
+    assert [models.names for models in groups] == [["de"], ["en"]]
+    assert sum(len(models.keys) for models in groups) == len(counts)
+
+
+def plain_bits(texts_of, text):
+    """Cross-entropy of a text for each language: interpolated Kneser-Ney by recursion over dictionaries."""
+
+    def runs(one, size):
+        seen = [chr(c) for c in language.characters(one).tolist()]
+        return ["".join(seen[i : i + size]) for i in range(len(seen) - size + 1)]
+
+    out = {}
+    for name, own in texts_of.items():
+        levels = {4: {}}
+        for one in own:
+            for gram in runs(one, 4):
+                levels[4][gram] = levels[4].get(gram, 0) + 1
+        for size in (3, 2, 1):
+            levels[size] = {}
+            for gram in levels[size + 1]:
+                levels[size][gram[1:]] = levels[size].get(gram[1:], 0) + 1
+
+        def chance(gram, levels=levels):
+            if not gram:
+                return 1 / 65_536
+            table = levels[len(gram)]
+            ones, twos = (sum(1 for n in table.values() if n == k) for k in (1, 2))
+            discount = min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones else 0.5
+            same = {g: n for g, n in table.items() if g[:-1] == gram[:-1]}
+            if not same:
+                return chance(gram[1:])
+            total = sum(same.values())
+            return max(same.get(gram, 0) - discount, 0) / total + discount * len(same) / total * chance(gram[1:])
+
+        own_runs = runs(text, 4)
+        out[name] = -sum(np.log2(chance(gram)) for gram in own_runs) / max(1, len(own_runs))
+    return out
+
+
+def test_language_against_a_plain_model(spark):
+    texts_of = {
+        "aa": ["the cat sat on the mat", "a cat and the hat"], "bb": ["der hund und die katze", "die maus"], "cc": ["le chat noir et le chien"],
+    }
+    rows = [(i, t, name) for i, (name, t) in enumerate((n, t) for n, ts in texts_of.items() for t in ts)]
+    docs = spark.createDataFrame(rows + [(9, "the hund et chat", None)], "doc_id long, text string, lang string")
+    for group_size in (1, 60, 1_000_000):
+        for row in language.identify(docs, F.col("lang").isNotNull(), group_size=group_size).collect():
+            text = next((t for i, t, _ in rows if i == row.id), "the hund et chat")
+            bits = plain_bits(texts_of, text)
+            best = min(bits, key=bits.get)
+            m = min(row.letters, 64)
+            assert row.lang_pred == best and abs(row.entropy - bits[best]) < 1e-4
+            assert abs(row.score - 1 / sum(2 ** ((bits[best] - b) * m) for b in bits.values())) < 1e-3
+
+
+def test_many_languages_and_small_ones_beside_hot_ones(spark):
+    """Seventy languages of random letters of their own, one of them with most of the rows, one with two."""
+    random.seed(11)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 70 * 6)]
+    rows = []
+    for k in range(70):
+        own = letters[6 * k : 6 * k + 6]
+        for _ in range(300 if k == 0 else 2 if k == 1 else 6):
+            rows.append((len(rows), " ".join("".join(random.choices(own, k=4)) for _ in range(8)), f"l{k:02}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.identify(docs, F.lit(True), group_size=500).collect()
+    assert {row.id: row.lang_pred for row in found} == {key: name for key, _, name in rows}
 
 
 # --- 9 -------------------------------------------------------------------------------------------------------------
@@ -474,14 +541,14 @@ def plain_hits(text, item_rows, width):
     hit, found = set(), set()
     for key, item in item_rows:
         own = decontaminate.terms(item)
-        if key is None or not own:
+        if not own:
             continue
         size = min(width, len(own))
         for j in range(len(own) - size + 1):
             for i in range(len(words) - size + 1):
                 if words[i : i + size] == own[j : j + size]:
                     hit |= set(range(i, i + size))
-                    found.add(str(key))
+                    found |= set() if key is None else {str(key)}
     return len(words), len(hit), sorted(found)
 
 
