@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,9 @@ SPLIT = (
     f"|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"
 )
 
+#: The usual word: letters only, with one stop or comma behind at most.
+SIMPLE = "^[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+[.,]?$"
+
 MAGIC = b"HUF1"
 HEADER = struct.Struct("<4sQI")
 
@@ -82,8 +86,6 @@ class ByteEncoder:
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.runs = Runs(model) if self.by_word else None
         self.split = re.compile(SPLIT).findall
-        # Letters only, with one stop or comma behind at most: the usual word.
-        self.simple = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+)([.,]?)").fullmatch
         self.latin = re.compile("[\x00-\u024f]*").fullmatch
         self.words = WordCache(self._words)
 
@@ -92,19 +94,31 @@ class ByteEncoder:
 
     def _words(self, words: list[str]) -> list[bytes]:
         """Ids of words and the space before them; ``WHOLE`` if a word's text has to be encoded whole."""
+        if not words:
+            return []
+        column = pa.array(words, pa.string())
+        simple = pc.match_substring_regex(column, SIMPLE)
+        usual = column.filter(simple)
+        runs = pc.binary_join_element_wise(pa.scalar(" "), pc.utf8_rtrim(usual, ".,"), pa.scalar(""))
+        runs = runs.to_numpy(zero_copy_only=False).tolist()
+        ending = np.flatnonzero(pc.match_substring_regex(usual, "[.,]$").to_numpy(zero_copy_only=False)).tolist()
+        simple = simple.to_numpy(zero_copy_only=False)
+        places, others = np.flatnonzero(simple).tolist(), np.flatnonzero(~simple).tolist()
         cut: list[tuple[str, ...]] = []
-        for word in words:
-            if found := self.simple(word):
-                letters, behind = found.groups()
-                cut.append((" " + letters, behind) if behind else (" " + letters,))
-            elif word and not word[0].isspace() and self.latin(word) and not any(a in word for a in self.added):
-                cut.append(tuple(self.split(" " + word)))
-            else:
-                cut.append(())
-        known = self.runs.learn({run for runs in cut for run in runs})
-        return [
-            WHOLE if not runs else known[runs[0]] if len(runs) == 1 else b"".join([known[run] for run in runs]) for runs in cut
-        ]
+        for word in (words[i] for i in others):
+            fine = word and not word[0].isspace() and self.latin(word) and not any(a in word for a in self.added)
+            cut.append(tuple(self.split(" " + word)) if fine else ())
+        known = self.runs.learn({*runs, *(run for own in cut for run in own), ".", ","})
+        ids = list(map(known.__getitem__, runs))
+        for i in ending:
+            ids[i] += known[words[places[i]][-1]]
+        out: list[bytes] = [WHOLE] * len(words)
+        for i, one in zip(places, ids):
+            out[i] = one
+        for i, own in zip(others, cut):
+            if own:
+                out[i] = b"".join([known[run] for run in own])
+        return out
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Per text, its ids as little-endian unsigned 32-bit numbers."""

@@ -11,8 +11,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words, and characters of them, a Python worker remembers the ids of.
-REMEMBERED, REMEMBERED_CHARS = 500_000, 32_000_000
+#: Words, and characters of them, a Python worker remembers the ids of, and then as many again.
+REMEMBERED, REMEMBERED_CHARS = 400_000, 24_000_000
+#: Runs it remembers. Their merges cost more than taking a word apart.
+REMEMBERED_RUNS, REMEMBERED_RUN_CHARS = 600_000, 24_000_000
 
 
 class Runs:
@@ -37,12 +39,14 @@ class Runs:
         self.mapped: dict[int, str] = {c: "".join(characters[b] for b in chr(c).encode()) for c in range(0x250)}
         self.mapped[ord(_BORDER)] = " "
         self.known: dict[str, bytes] = {}
+        self.chars = 0
 
     def learn(self, runs: set[str]) -> dict[str, bytes]:
         """A table in which the ids of all these runs can be looked up."""
-        if len(self.known) > REMEMBERED:
-            self.known = {}
+        if len(self.known) > REMEMBERED_RUNS or self.chars > REMEMBERED_RUN_CHARS:
+            self.known, self.chars = {}, 0
         new = list(runs.difference(self.known))
+        self.chars += sum(map(len, new))
         if new:
             made = self.tokenizer.encode(_BORDER.join(new).translate(self.mapped), add_special_tokens=False)
             ids = np.array(made.ids, "<u4").tobytes()
@@ -61,18 +65,14 @@ class WordCache:
         """Ids of distinct words."""
         if len(self.known) > REMEMBERED or self.chars > REMEMBERED_CHARS:
             self.known, self.older, self.chars = {}, self.known, 0
-        found = list(map(self.known.get, words))
-        places = [i for i, ids in enumerate(found) if ids is None]
-        unseen = []
-        for i in places:
-            found[i] = self.older.get(words[i])
-            if found[i] is None:
-                unseen.append(i)
-        for i, ids in zip(unseen, self.encode([words[i] for i in unseen])):
-            found[i] = ids
-        self.known.update((words[i], found[i]) for i in places)
-        self.chars += sum(len(words[i]) for i in places)
-        return found
+        missing = set(words).difference(self.known)
+        if missing:
+            again = {word: self.older[word] for word in missing.intersection(self.older)}
+            unseen = list(missing.difference(again))
+            self.known.update(again)
+            self.known.update(zip(unseen, self.encode(unseen)))
+            self.chars += sum(map(len, missing))
+        return list(map(self.known.__getitem__, words))
 
 
 #: Between runs; no run holds it.
@@ -97,7 +97,11 @@ def joined_ids(texts: list[bytes], words: WordCache) -> list[bytes | None]:
     starts = np.cumsum(sizes) - sizes
     own = sizes[codes]
     ends = np.cumsum(own)
-    every = blob[np.repeat(starts[codes] - ends + own, own) + np.arange(int(own.sum()))].tobytes()
+    # Places in numbers of half the width, where a batch is not beyond them.
+    narrow = np.int32 if not len(ends) or max(ends[-1], len(blob)) < 1 << 31 else np.int64
+    places = np.repeat((starts[codes] - ends + own).astype(narrow), own)
+    places += np.arange(len(places), dtype=narrow)
+    every = blob[places].tobytes()
     borders = np.concatenate([[0], 4 * ends])[cut.offsets.to_numpy()].tolist()
     out: list[bytes | None] = [every[a:b] for a, b in zip(borders, borders[1:])]
     if unknown.any():
