@@ -254,8 +254,10 @@ def dedup_lines(
     keep_rows: bool = False,
     similar: bool = False,
     scratch: list | None = None,
+    slim: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Per row: id, n_lines, n_dropped, kept, text without the dropped lines; with ``keep_rows`` also the row itself.
+    """Per row: id, n_lines, n_dropped, kept, text without the dropped lines; with ``keep_rows`` also the row itself,
+    without the columns ``slim``.
 
     ``kept`` is false where nothing but white space is left: whatever a document holds alone or as the first stays.
     Documents are told apart by id and text: an exact repetition of a row is the same document, and each repetition is
@@ -266,7 +268,8 @@ def dedup_lines(
     tables that the result reads are added to ``scratch``. With ``similar`` a token is no constant because another
     document has it, but lines are one template if enough of their tokens are equal, directly or by further lines.
     """
-    rows = docs.select(whole_row(docs), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    row = whole_row(docs.drop(*slim)) if set(docs.columns) - {*slim} else F.lit(None).alias("row")
+    rows = docs.select(row, F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("uid", F.xxhash64("id", "text"))
     lines = _lines(rows)
     recurring, named = recurring_lines(lines, similar)
@@ -293,9 +296,8 @@ def dedup_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     not kept.
     """
     scratch: list[DataFrame] = []
-    found = dedup_lines(docs, id_col, text_col, keep_rows=True, similar=True, scratch=scratch)
-    slim = F.col("row").dropFields(f"`{text_col}`") if len(docs.columns) > 1 else F.lit(None)
-    found = materialize(found.withColumn("row", slim), "left")
+    found = dedup_lines(docs, id_col, text_col, keep_rows=True, similar=True, scratch=scratch, slim=(text_col,))
+    found = materialize(found, "left")
     for table in scratch:
         release(table)
     cut = passages.drop_passages(found, "id", "text")
