@@ -28,6 +28,9 @@ from tablejobs.storage import materialize, release
 WIDTH = 50
 #: Words in a row whose hash can be the mark of a window.
 GRAM = 16
+#: Up to so many documents that share a mark (8 bytes each) are told apart before the shuffle of texts; beyond that, all
+#: texts are shuffled.
+SENT = 500_000
 
 _WORD = re.compile(r"\S+")
 _BASE = 0x9E3779B97F4A7C15
@@ -139,6 +142,24 @@ def _windows(rows: DataFrame) -> DataFrame:
     return rows.select("uid", "id", "text", "marks").mapInArrow(run, schema)
 
 
+def _with_lists(rows: DataFrame, lists: DataFrame, every: bool) -> DataFrame:
+    """Rows beside the list of their uid; with ``every`` also those without one, null beside them.
+
+    Texts without a list are not shuffled, if the documents that have one are few enough to be sent to all tasks.
+    """
+    lists = materialize(lists.withColumnRenamed("uid", "of"), "lists")
+    own = F.col("uid") == F.col("of")
+    if lists.count() > SENT:
+        return rows.join(lists, own, "left" if every else "inner").drop("of")
+    listed = F.broadcast(lists.select("of"))
+    found = rows.join(listed, own, "left_semi").join(lists, own).drop("of")
+    if not every:
+        return found
+    name = [c for c in lists.columns if c != "of"][0]
+    rest = rows.join(listed, own, "left_anti")
+    return found.unionByName(rest.withColumn(name, F.lit(None).cast(lists.schema[name].dataType)))
+
+
 def stays_with(lowest: Column, first: Column) -> Column:
     """Whether a row of ``uid`` and ``id`` belongs to the first document of what it shares."""
     return F.when(first.isNull(), F.col("uid") == lowest).otherwise(F.col("id").eqNullSafe(first))
@@ -157,7 +178,7 @@ def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     marks = materialize(_marks(rows), "marks")
     shared = marks.groupBy("mark").agg(F.min("uid").alias("low"), F.max("uid").alias("high")).where("low <> high")
     searched = marks.join(shared.select("mark"), "mark").groupBy("uid").agg(F.collect_set("mark").alias("marks"))
-    windows = materialize(_windows(rows.select("uid", "id", "text").join(searched, "uid")), "windows")
+    windows = materialize(_windows(_with_lists(rows.select("uid", "id", "text"), searched, every=False)), "windows")
     release(marks)
     recurring = (
         windows.groupBy("window")
@@ -169,9 +190,8 @@ def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .where(~stays_with(F.col("lowest"), F.col("first")))
         .groupBy("uid")
         .agg(F.collect_set("at").alias("starts"))
-        .select(F.col("uid").alias("of"), "starts")
     )
-    found = rows.join(gone, F.col("uid") == F.col("of"), "left").select("row", "text", "starts")
+    found = _with_lists(rows, gone, every=True).select("row", "text", "starts")
     schema = T.StructType([found.schema["row"], *T.StructType.fromDDL("text string, n_cut long")])
 
     def run(batches):

@@ -52,7 +52,9 @@ def check(rows, found):
         assert row.n_cut == len(gone[row.id])
 
 
-def test_passages_against_shared_windows(spark):
+@pytest.mark.parametrize("sent", [500_000, 0])
+def test_passages_against_shared_windows(spark, monkeypatch, sent):
+    monkeypatch.setattr(passages, "SENT", sent)
     rows = made_rows()
     found = passages.drop_passages(spark.createDataFrame(rows, "id long, text string"), "id").select("row.id", "text", "n_cut")
     check(rows, found.collect())
