@@ -93,6 +93,37 @@ def test_bradley_terry_orders_rows():
     assert (random_rows @ weights)[strength > 0.5].min() > np.median(random_rows @ weights) - 1
 
 
+def test_bradley_terry_over_all_pairs(spark):
+    """Sums by points give the weights of all pairs, and the threshold is judged by all rows."""
+    random = np.random.default_rng(2)
+    rows = random.normal(size=(160, 17)) * np.linspace(0.5, 3, 17)
+    labels = (rows @ np.linspace(-1, 1, 17) + random.normal(size=160) * 4 > -2).astype(int)
+    data = [(int(label), *map(float, row)) for label, row in zip(labels, rows)]
+    learned = spark.createDataFrame(data, "label int, " + ", ".join(f"f{k} double" for k in range(17)))
+    model = pairwise_quality.fit(learned)
+    scaled = (rows - rows.mean(0)) / rows.std(0)
+    better, worse = np.flatnonzero(labels == 1), np.flatnonzero(labels == 0)
+    weights = pairwise_quality.bradley_terry(
+        scaled[np.repeat(better, len(worse))], scaled[np.tile(worse, len(better))], len(better) / pairwise_quality.PAIRS
+    )
+    assert np.abs(weights).max() > 0.1 and np.allclose(model.weights, weights, atol=1e-5)
+    strengths = model.strengths(rows)
+
+    def accuracy(at):
+        return (strengths[labels == 1] >= at).mean() + (strengths[labels == 0] < at).mean()
+
+    assert accuracy(model.threshold) == pytest.approx(max(map(accuracy, strengths)))
+
+
+def test_quality_learns_from_long_texts(spark):
+    """The only worse text is longer than texts the fit used to take."""
+    texts = [(key, f"A plain sentence about day {key} of the journey, told in calm words.") for key in range(30)]
+    docs = spark.createDataFrame([*texts, (90, "#$%& " * 30_000)], "doc_id long, text string")
+    marks = spark.createDataFrame([(key, 1) for key in range(30)] + [(90, 0)], "doc_id long, quality int")
+    found = {row.id: row.score for row in pairwise_quality.score_quality(docs, marks, F.lit(True)).collect()}
+    assert found[90] < 0.3 <= min(found[key] for key in range(30))
+
+
 # --- 2 -------------------------------------------------------------------------------------------------------------
 
 
