@@ -9,6 +9,7 @@ from tablejobs.checks import functions
 from tablejobs.checks.fixtures import source
 from tablejobs.errors import FieldError
 from tablejobs.functions import aggregates
+from tablejobs.storage import session_setting
 
 
 def total():
@@ -87,3 +88,14 @@ def test_sketches_of_parts_are_those_of_the_whole(spark):
 
 def test_checks_hold_on_other_data(spark):
     assert all(r.n_orders_near and r.quantiles_near for r in functions.sketches(spark, SMALL).collect())
+
+
+def test_lines_are_not_dealt_out_by_flag(spark):
+    """Distinct orders are counted in tasks by flag and order, whatever Spark guesses about the size of the sketches."""
+    with session_setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        found = functions.sketches(spark, SMALL)
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
+        dealt = [line for line in text.splitlines() if "Exchange hashpartitioning(l_returnflag" in line]
+        assert any("l_orderkey" in line.split("ENSURE")[0] for line in dealt)
+        assert all(row.n_orders_near and row.quantiles_near for row in found.collect())
