@@ -28,6 +28,8 @@ SAMPLE = 32_768
 SHARD = 4_096
 #: Points below which a shard compares directly.
 DIRECT = 512
+#: Hashes whose bits are counted at once.
+BLOCK = 65_536
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -43,10 +45,23 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     digest = xxhash.xxh64_intdigest
     count = len(words) - width + 1
     bits = np.zeros(64, np.int64)
-    for at in range(0, count, 65_536):  # bounded memory for texts of any length
-        spans = zip(starts[at : at + 65_536].tolist(), ends[at + width - 1 : at + width - 1 + 65_536].tolist())
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], "<u8")
-        bits += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    for at in range(0, count, BLOCK):  # bounded memory for texts of any length
+        spans = zip(starts[at : at + BLOCK].tolist(), ends[at + width - 1 : at + width - 1 + BLOCK].tolist())
+        bits += _set_bits(np.array([digest(joined[a:b], SEED) for a, b in spans], "<u8"))
+    return _majority(bits, count)
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The fingerprint of a text whose shingles have these 64-bit hashes, unsigned; 0 without shingles."""
+    parts = (hashes[at : at + BLOCK] for at in range(0, len(hashes), BLOCK))
+    return _majority(sum(map(_set_bits, parts), np.zeros(64, np.int64)), len(hashes))
+
+
+def _set_bits(hashes: np.ndarray) -> np.ndarray:
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+
+
+def _majority(bits: np.ndarray, count: int) -> int:
     return int(np.packbits(2 * bits > count, bitorder="little").view("<u8")[0])
 
 

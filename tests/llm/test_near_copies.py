@@ -54,6 +54,31 @@ def test_near_dedup_against_all_pairs(spark, texts, monkeypatch):
     assert {row.doc_id for row in stage(spark, docs, "").collect()} == expected
 
 
+def test_fingerprints_give_candidates(spark, monkeypatch):
+    """Copies with one word changed are linked by op4's search, and the stage verifies what it finds."""
+    words = [f"w{i}" for i in range(400)]
+    edited = [[*words[:at], f"x{at}", *words[at + 1 :]] for at in (50, 200, 350)]
+    rows = [(k, " ".join(own)) for k, own in enumerate([words, *edited, [f"y{i}" for i in range(400)]])]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], DOCUMENTS)
+    found = []
+
+    def told(prints, nodes):
+        pairs = alike(prints, nodes)
+        found.extend(map(tuple, pairs.collect()))
+        return pairs
+
+    alike = near_copies.alike
+    monkeypatch.setattr(near_copies, "alike", told)
+    monkeypatch.setattr(near_copies, "MAX_BITS", 12)
+    assert {row.doc_id for row in near_copies.first_of_each_group(docs).collect()} == plain_first(rows) == {0, 4}
+    known = {near_copies._node(near_copies.shingles(t)): k for k, t in rows}
+    linked = {key for pair in found for key in pair}
+    assert {0, 1, 2, 3} <= {known[node] for node in linked}
+    # All nodes under one fingerprint: links that are not similar enough are not followed.
+    monkeypatch.setattr(near_copies.simhash, "fingerprint_of", lambda hashes: 7)
+    assert {row.doc_id for row in near_copies.first_of_each_group(docs).collect()} == {0, 4}
+
+
 def chained_rows():
     """Families whose neighbours are similar and whose ends are not, beside texts that share one long stretch."""
     random.seed(5)
