@@ -34,6 +34,8 @@ SHARD = 50_000
 GROUPS = 96
 #: Pieces up to this share of a sequence are small.
 SMALL = 1 / 8
+#: Bytes of text a worker encodes at once; arrays over their words and ids take some twenty times as much.
+PART = 4_000_000
 #: Line breaks and tabs end a word as spaces do.
 BLANKS = bytes.maketrans(b"\n\t\r", b"   ")
 
@@ -91,11 +93,12 @@ def token_pieces(
     source = ids_and_texts(docs, id_col, text_col)
     schema = T.StructType([source.schema["id"], *T.StructType.fromDDL("piece int, start long, length long, ids_crc32 long")])
     end = np.array([end_id], "<u4").tobytes()
+    most = PART
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, most):
                 row, piece, size, crc = [], [], [], []
                 for i, ids in enumerate(encode([text or "" for text in part.column(1).to_pylist()])):
                     ids += end

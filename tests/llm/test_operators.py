@@ -621,6 +621,12 @@ def test_passages_of_odd_rows(spark, odd, empty, items):
     assert clean.columns == odd.columns and {r.doc_id for r in clean.collect()} == {2, 3, 5, 6, 7, None}
 
 
+def test_pieces_do_not_follow_the_parts_encoded_at_once(spark, odd, monkeypatch):
+    whole = sorted(map(repr, packing.token_pieces(odd, vocabulary()).collect()))
+    monkeypatch.setattr(packing, "PART", 1)
+    assert sorted(map(repr, packing.token_pieces(odd, vocabulary()).collect())) == whole
+
+
 # --- pipeline ------------------------------------------------------------------------------------------------------
 
 
