@@ -196,7 +196,9 @@ def pair_weights(learned: DataFrame, model: Ranking, penalty: float = 1.0) -> np
 
 
 def _threshold(learned: DataFrame, model: Ranking) -> float:
-    """Of the quantiles of both classes the one that tells them apart best over all rows, by the mean of both accuracies."""
+    """What tells the classes apart best over all rows, by the mean of both accuracies: one of the quantiles of both classes
+    or a middle between two neighbours, which leaves room on both sides where no row lies between.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,6 +209,7 @@ def _threshold(learned: DataFrame, model: Ranking) -> float:
     shares = np.linspace(0.001, 0.999, QUANTILES).tolist()
     found = strengths.groupBy("label").agg(F.percentile_approx("strength", shares, RANKS)).collect()
     quantiles = np.unique(np.concatenate([row[1] for row in found]))
+    quantiles = np.unique(np.concatenate([quantiles, (quantiles[1:] + quantiles[:-1]) / 2]))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, len(quantiles) + 1), np.int64)
@@ -226,7 +229,7 @@ def _threshold(learned: DataFrame, model: Ranking) -> float:
     below = counts.cumsum(1)[:, :-1] / counts.sum(1, keepdims=True)
     accuracy = below[0] + 1 - below[1]
     best = np.flatnonzero(np.isclose(accuracy, accuracy.max()))
-    return float(quantiles[best[len(best) // 2]])
+    return float(quantiles[best[(len(best) - 1) // 2]])
 
 
 def fit(learned: DataFrame) -> Ranking:
