@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from tablejobs.llm.common import ids_and_texts, slices
 from tablejobs.llm.word_ids import Runs, WordCache, joined_ids
-from tablejobs.storage import materialize
+from tablejobs.storage import materialize, session_setting
 
 #: Pieces a shard packs.
 SHARD = 50_000
@@ -36,6 +36,8 @@ GROUPS = 96
 SMALL = 1 / 8
 #: Bytes of text a worker encodes at once; arrays over their words and ids take some twenty times as much.
 PART = 4_000_000
+#: Texts sent to a worker at once, on both sides of which a batch takes memory.
+BATCH = 2_000
 #: Line breaks and tabs end a word as spaces do.
 BLANKS = bytes.maketrans(b"\n\t\r", b"   ")
 
@@ -255,7 +257,8 @@ def pack_documents(
     gives no rows. Further columns are not read. Pieces are written to the shared folder before they are dealt, so a
     lost executor cannot change what another task has packed.
     """
-    pieces = materialize(token_pieces(docs, vocabulary, id_col, text_col, length, end_id), "pieces")
+    with session_setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH)):
+        pieces = materialize(token_pieces(docs, vocabulary, id_col, text_col, length, end_id), "pieces")
     shards = max(1, -(-pieces.count() // SHARD))
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(shards)))
     # A document repeated very often would make one shard large: a second key spreads equal rows.
