@@ -21,7 +21,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +29,7 @@ from tablejobs.llm import passages
 from tablejobs.llm.common import slices, whole_row
 from tablejobs.llm.passages import stays_with
 from tablejobs.llm.simhash import components
+from tablejobs.llm.words import Words, lists, mixed
 from tablejobs.storage import materialize, release
 
 #: Leading tokens that lead to a leaf.
@@ -49,77 +49,89 @@ def tokens_of(line: str) -> list[str]:
     return [FIELD if _DIGIT.search(t) else t for t in tokens] if _DIGIT.search(line) else tokens
 
 
-def _hash(text: str) -> int:
-    value = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
-    return value - (1 << 64) if value >> 63 else value
+class _Lines:
+    """Per line with enough tokens, over many texts: text, line (its number), start, n (tokens), leaf and full.
 
+    ``full`` is a hash of all tokens of a line, ``tokens`` has hashes of those of all lines.
+    """
 
-def parsed_line(line: str) -> tuple[int, int, list[str]] | None:
-    """Leaf and hash of a line and its tokens; nothing for a line with too few tokens."""
-    tokens = tokens_of(line)
-    if len(tokens) < LEAST_TOKENS:
-        return None
-    return _hash(f"{len(tokens)} {' '.join(tokens[:DEPTH])}"), _hash(" ".join(tokens)), tokens
+    def __init__(self, words: Words):
+        field = Words(pa.array([FIELD])).hashes[0]
+        self.tokens = np.where(words.hashes & np.uint64(1), field, words.hashes)
+        sizes = np.diff(words.lines)
+        of = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
+        place = np.arange(len(self.tokens)) - np.repeat(words.lines[:-1], sizes)
+        sums = np.cumsum(mixed(self.tokens + mixed(place.astype(np.uint64))), dtype=np.uint64)
+        sums = np.concatenate([np.zeros(1, np.uint64), sums])
+        long = np.flatnonzero(sizes >= LEAST_TOKENS)
+        self.text, self.line = of[long], (long - words.first[of[long]]).astype(np.int32)
+        self.start, self.n = words.lines[long], sizes[long]
+        count = mixed(self.n.astype(np.uint64))
+        self.full = mixed((sums[self.start + self.n] - sums[self.start]) ^ count).view(np.int64)
+        leaf = count
+        for k in range(DEPTH):
+            leaf = mixed(leaf ^ self.tokens[self.start + k])
+        self.leaf = leaf.view(np.int64)
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """Per line with enough tokens: uid, id, line (its number), leaf, full, tokens (32-bit hashes)."""
+    """Per line with enough tokens: uid, id, line (its number), leaf, full; written as one row per text."""
     schema = T.StructType(
-        [rows.schema["uid"], rows.schema["id"], *T.StructType.fromDDL("line int, leaf long, full long, tokens array<int>")]
+        [rows.schema["uid"], rows.schema["id"], *T.StructType.fromDDL("line array<int>, leaf array<long>, full array<long>")]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
-
-        def token(text: str) -> int:
-            value = known.get(text)
-            if value is None:
-                if len(known) > 200_000:
-                    known.clear()
-                value = xxhash.xxh32_intdigest(text.encode("utf-8", "surrogatepass"))
-                value = known[text] = value - (1 << 32) if value >> 31 else value
-            return value
-
         for batch in batches:
             for part in slices(batch, 2, 4_000_000):
-                row, number, leaf, full, tokens = [], [], [], [], []
-                for i, text in enumerate(part.column(2).to_pylist()):
-                    for k, line in enumerate(text.split("\n") if text else ()):
-                        if found := parsed_line(line):
-                            row.append(i)
-                            number.append(k)
-                            leaf.append(found[0])
-                            full.append(found[1])
-                            tokens.append(list(map(token, found[2])))
-                of = pa.array(row, pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).take(of),
-                        part.column(1).take(of),
-                        pa.array(number, pa.int32()),
-                        pa.array(leaf, pa.int64()),
-                        pa.array(full, pa.int64()),
-                        pa.array(tokens, pa.list_(pa.int32())),
-                    ],
-                    names=schema.names,
-                )
-
-    return materialize(rows.select("uid", "id", "text").mapInArrow(run, schema), "lines")
-
-
-def _generalised(lines: DataFrame, seen: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(full, template) for lines of leaves where more than the masked fields may vary, and the table it reads."""
-    mixed = (
+                found = _Lines(Words(part.column(2)))
+                sizes = np.bincount(found.text, minlength=part.num_rows)
+                columns = [lists(sizes, pa.array(own)) for own in (found.line, found.leaf, found.full)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], names=schema.names)
+
+    return materialize(rows.select("uid", "id", "text").mapInArrow(run, schema).where(F.size("line") > 0), "lines")
+
+
+def _one_by_one(lines: DataFrame) -> DataFrame:
+    return lines.select("uid", "id", F.inline(F.arrays_zip("line", "leaf", "full")))
+
+
+def _with_tokens(rows: DataFrame, seen: DataFrame) -> DataFrame:
+    """(leaf, full, tokens) for lines of leaves that hold different lines of different documents; tokens are 32-bit hashes.
+
+    Each line is taken from one document that has it, so only these are parsed again.
+    """
+    mixed_leaves = (
         seen.groupBy("leaf")
         .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("full").alias("f"), F.max("full").alias("g"))
         .where("low <> high and f <> g")
         .select("leaf")
     )
+    wanted = seen.join(mixed_leaves, "leaf", "left_semi").groupBy(F.col("low").alias("uid"))
+    wanted = wanted.agg(F.collect_set("full").alias("fulls"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 0, 4_000_000):
+                found = _Lines(Words(part.column(0)))
+                # Lines wanted from other texts of the part are found here too; they are made one again below.
+                chosen = np.isin(found.full, part.column(1).flatten().to_numpy(zero_copy_only=False))
+                sizes = found.n[chosen]
+                at = np.arange(sizes.sum()) + np.repeat(found.start[chosen] - np.cumsum(sizes) + sizes, sizes)
+                tokens = (found.tokens[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                columns = [pa.array(found.leaf[chosen]), pa.array(found.full[chosen]), lists(sizes, pa.array(tokens))]
+                yield pa.RecordBatch.from_arrays(columns, names=["leaf", "full", "tokens"])
+
+    found = passages.with_lists(rows.select("uid", "text"), wanted).select("text", "fulls")
+    found = found.mapInArrow(run, "leaf long, full long, tokens array<int>")
+    return found.groupBy("full").agg(F.any_value("leaf").alias("leaf"), F.any_value("tokens").alias("tokens"))
+
+
+def _generalised(rows: DataFrame, seen: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(full, template) for lines of leaves where more than the masked fields may vary, and the table it reads."""
     places = (
-        lines.join(mixed, "leaf", "left_semi")
-        .select("leaf", "full", "uid", F.posexplode("tokens").alias("place", "token"))
-        .groupBy("leaf", "full", "place", "token")
-        .agg(F.min("uid").alias("low"), F.max("uid").alias("high"))
+        _with_tokens(rows, seen)
+        .join(seen.select("full", "low", "high"), "full")
+        .select("leaf", "full", "low", "high", F.posexplode("tokens").alias("place", "token"))
     )
     places = materialize(places, "places")
     constants = (
@@ -174,7 +186,7 @@ def _linked(tokens: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         rest = rest[~near]
 
 
-def _similar(lines: DataFrame, seen: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+def _similar(rows: DataFrame, seen: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """(full, template) for lines that are similar to another, and the tables it reads but the result.
 
     Lines of one leaf are linked if at least ``SIMILARITY`` of their tokens are equal, place by place; what links
@@ -182,15 +194,7 @@ def _similar(lines: DataFrame, seen: DataFrame) -> tuple[DataFrame, list[DataFra
     held against one of them, which settles any number of lines of one template; only where one of them differs
     from it too much are all lines of that stretch compared.
     """
-    mixed = (
-        seen.groupBy("leaf")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("full").alias("f"), F.max("full").alias("g"))
-        .where("low <> high and f <> g")
-        .select("leaf")
-    )
-    whole = lines.join(mixed, "leaf", "left_semi").groupBy("full")
-    whole = whole.agg(F.any_value("leaf").alias("leaf"), F.any_value("tokens").alias("tokens"))
-    whole = materialize(whole.where(_allowed(F.size("tokens")) > 0), "whole")
+    whole = materialize(_with_tokens(rows, seen).where(_allowed(F.size("tokens")) > 0), "whole")
     keyed = whole.select("full", F.explode(_keys()).alias("key"))
     shared = keyed.groupBy("key").agg(F.min("full").alias("one"), F.max("full").alias("top")).where("one <> top")
     keyed = materialize(keyed.join(shared.select("key", "one"), "key"), "keys")
@@ -218,24 +222,24 @@ def _similar(lines: DataFrame, seen: DataFrame) -> tuple[DataFrame, list[DataFra
     return found, [whole, keyed, pairs]
 
 
-def recurring_lines(lines: DataFrame, similar: bool = False) -> tuple[DataFrame, DataFrame]:
+def recurring_lines(rows: DataFrame, lines: DataFrame, similar: bool = False) -> tuple[DataFrame, DataFrame]:
     """(full, lowest, first): lines of templates in several documents, with the first document's id and the lowest uid.
 
-    The second frame is the table the first one reads. With ``similar`` templates are what links of similar lines
-    connect.
+    ``lines`` are those of the texts of ``rows``. The second frame is the table the first one reads. With ``similar``
+    templates are what links of similar lines connect.
     """
     seen = lines.groupBy("leaf", "full").agg(
         F.min("uid").alias("low"), F.max("uid").alias("high"), F.min("id").alias("first")
     )
     seen = materialize(seen, "seen")
     if similar:
-        template, places = _similar(lines, seen)
+        template, places = _similar(rows, seen)
     else:
-        template, place = _generalised(lines, seen)
+        template, place = _generalised(rows, seen)
         places = [place]
-    named = seen.join(template, "full", "left").select(
-        "full", "low", "high", "first", F.coalesce("template", "full").alias("template")
-    )
+    # A line of one document that is like no other is a template of its own, which cannot recur.
+    named = seen.join(template, "full", "left").where("low <> high or template is not null")
+    named = named.select("full", "low", "high", "first", F.coalesce("template", "full").alias("template"))
     named = materialize(named, "templates")
     for table in (seen, *places):  # all that follows reads the templates
         release(table)
@@ -247,82 +251,104 @@ def recurring_lines(lines: DataFrame, similar: bool = False) -> tuple[DataFrame,
     return named.select("full", "template").join(recurring, "template").select("full", "lowest", "first"), named
 
 
+def _dropped(rows: DataFrame, similar: bool) -> tuple[DataFrame, list[DataFrame]]:
+    """(of, dropped): numbers of the lines that the document with uid ``of`` loses; and the tables this reads."""
+    stored = _lines(rows)
+    lines = _one_by_one(stored)
+    recurring, named = recurring_lines(rows, lines, similar)
+    dropped = (
+        lines.select("uid", "id", "line", "full")
+        .join(recurring, "full")
+        .where(~stays_with(F.col("lowest"), F.col("first")))
+        .groupBy(F.col("uid").alias("of"))
+        .agg(F.collect_set("line").alias("dropped"))
+    )
+    return dropped, [stored, named]
+
+
 def dedup_lines(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    keep_rows: bool = False,
-    similar: bool = False,
-    scratch: list | None = None,
-    slim: tuple[str, ...] = (),
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_rows: bool = False, similar: bool = False
 ) -> DataFrame:
-    """Per row: id, n_lines, n_dropped, kept, text without the dropped lines; with ``keep_rows`` also the row itself,
-    without the columns ``slim``.
+    """Per row: id, n_lines, n_dropped, kept, text without the dropped lines; with ``keep_rows`` also the row itself.
 
     ``kept`` is false where nothing but white space is left: whatever a document holds alone or as the first stays.
     Documents are told apart by id and text: an exact repetition of a row is the same document, and each repetition is
     treated alike. Rows with one id and different texts are different documents, of which all with the lowest id keep
     a line. A null id is never the lowest; if all documents of a template lack an id, the one with the lowest hash
     keeps it. Lines with fewer than ``LEAST_TOKENS`` tokens stay, as does a line repeated in one document only. A null
-    text stays null, with no lines; an empty text has one empty line. An empty table gives no rows. The intermediate
-    tables that the result reads are added to ``scratch``. With ``similar`` a token is no constant because another
-    document has it, but lines are one template if enough of their tokens are equal, directly or by further lines.
+    text stays null, with no lines; an empty text has one empty line. An empty table gives no rows. With
+    ``similar`` a token is no constant because another document has it, but lines are one template if enough of their
+    tokens are equal, directly or by further lines.
     """
-    row = whole_row(docs.drop(*slim)) if set(docs.columns) - {*slim} else F.lit(None).alias("row")
-    rows = docs.select(row, F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.withColumn("uid", F.xxhash64("id", "text"))
-    lines = _lines(rows)
-    recurring, named = recurring_lines(lines, similar)
-    if scratch is not None:
-        scratch += [lines, named]
-    dropped = (
-        lines.select("uid", "id", "line", "full")
-        .join(recurring, "full")
-        .where(~stays_with(F.col("lowest"), F.col("first")))
-        .groupBy("uid")
-        .agg(F.collect_set("line").alias("dropped"))
-        .select(F.col("uid").alias("of"), "dropped")
-    )
     carried = ("row", "id") if keep_rows else ("id",)
+    rows = docs.select(whole_row(docs), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.withColumn("uid", F.xxhash64("id", "text"))
+    dropped, _ = _dropped(rows, similar)
     joined = rows.select(*carried, "text", "uid").join(dropped, F.col("uid") == F.col("of"), "left")
-    return _without(joined.select(*carried, "text", "dropped"), carried)
+    left = passages.without_lines(F.col("text"), F.col("dropped"))
+    n_lines = F.length("text") - F.length(F.translate("text", "\n", "")) + 1
+    return joined.select(
+        *carried,
+        F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(F.col("dropped").isNotNull(), left.rlike(r"\S")).otherwise(True).alias("kept"),
+        left.alias("text"),
+    )
 
 
 def dedup_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: row (all columns but the text), id, n_lines, n_dropped, n_cut, kept, text.
 
-    First the lines go that ``dedup_lines`` drops with ``similar``, then from what is left the passages that ``passages.drop_passages``
-    finds, also those inside longer lines; ``n_cut`` counts the words of these. A document whose last words are cut is
-    not kept.
+    First the lines go that ``dedup_lines`` drops with ``similar``, then from what is left the passages that
+    ``passages.drop_passages`` finds, also those inside longer lines; ``n_cut`` counts the words of these. A document
+    whose last words are cut is not kept.
+
+    Texts are read again in each step rather than written without their lines: what a document loses are two lists of
+    numbers, which meet the texts once at the end.
     """
-    scratch: list[DataFrame] = []
-    found = dedup_lines(docs, id_col, text_col, keep_rows=True, similar=True, scratch=scratch, slim=(text_col,))
-    found = materialize(found, "left")
+    others = docs.drop(text_col)
+    row = whole_row(others) if others.columns else F.lit(None).alias("row")
+    rows = docs.select(row, F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.withColumn("uid", F.xxhash64("id", "text"))
+    found, scratch = _dropped(rows, similar=True)
+    dropped = materialize(found, "dropped")
     for table in scratch:
         release(table)
-    cut = passages.drop_passages(found, "id", "text")
-    columns = [F.col(f"row.{name}").alias(name) for name in ("row", "id", "n_lines", "n_dropped")]
-    empty = (F.col("n_cut") > 0) & ~F.col("text").rlike(r"\S")
-    return cut.select(*columns, "n_cut", (F.col("row.kept") & ~empty).alias("kept"), "text")
-
-
-def _without(joined: DataFrame, carried: tuple[str, ...]) -> DataFrame:
-    """Texts without the lines whose numbers are in ``dropped``; only rows that lose any are taken apart."""
-    changes = F.col("dropped").isNotNull()
-    parts = F.when(changes, F.split("text", "\n"))
-    joined = joined.withColumn("parts", parts).withColumn(
-        "left", F.array_join(F.transform(F.array_except(_numbers(F.col("parts")), "dropped"), lambda i: F.get("parts", i)), "\n")
-    )
-    text = F.when(changes, F.col("left")).otherwise(F.col("text"))
-    n_lines = F.length("text") - F.length(F.translate("text", "\n", "")) + 1
-    return joined.select(
-        *carried,
-        F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
-        F.when(changes, F.col("left").rlike(r"\S")).otherwise(True).alias("kept"),
-        text.alias("text"),
-    )
-
+    starts = materialize(passages.passage_starts(rows, dropped), "starts")
+    found = passages.beside(rows, materialize(dropped.join(starts, "of", "full"), "lost"))
+    for table in (dropped, starts):
+        release(table)
+    found = found.select("row", "id", "text", "dropped", "starts")
+    added = "n_lines long, n_dropped long, n_cut long, kept boolean, text string"
+    schema = T.StructType([found.schema["row"], found.schema["id"], *T.StructType.fromDDL(added)])
 
-def _numbers(array: Column) -> Column:
-    return F.sequence(F.lit(0), F.size(array) - 1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 2):
+                made = [_left(*one) for one in zip(*(part.column(i).to_pylist() for i in (2, 3, 4)))]
+                columns = [pa.array(own, kind) for own, kind in zip(zip(*made), _LEFT)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], names=schema.names)
+
+    return found.mapInArrow(run, schema)
+
+
+_LEFT = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.string())
+#: What the regular expressions of Spark take for something but white space.
+_SOLID = re.compile(r"\S", re.ASCII)
+
+
+def _left(
+    text: str | None, dropped: list[int] | None, starts: list[int] | None
+) -> tuple[int, int, int, bool, str | None]:
+    """Lines, dropped lines, cut words, whether anything is left, and the text without these lines and passages."""
+    if text is None:
+        return 0, 0, 0, True, None
+    n_lines, n_cut, kept = text.count("\n") + 1, 0, True
+    if dropped:
+        gone = set(dropped)
+        text = "\n".join([line for k, line in enumerate(text.split("\n")) if k not in gone])
+        kept = bool(_SOLID.search(text))
+    if starts:
+        text, n_cut = passages.cut(text, starts)
+        kept = kept and bool(_SOLID.search(text))
+    return n_lines, len(dropped or ()), n_cut, kept, text

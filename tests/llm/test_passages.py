@@ -1,11 +1,14 @@
 """Passages inside longer lines, against a brute force that looks for shared windows of words."""
 
+import os
 import random
 
+import pyarrow as pa
 import pytest
 from llm_cases import DOCUMENTS, ODD, SMALL, empty, odd, small, texts  # noqa: F401
 
 from tablejobs.llm import line_dedup, passages
+from tablejobs.llm.words import Words
 
 WIDTH = 50
 
@@ -158,3 +161,34 @@ def test_similar_lines_against_brute_force(spark, texts):
         for key, _ in dropped:
             counts[key] = counts.get(key, 0) + 1
         assert lost(spark, some) == set(counts.items())
+
+
+def test_texts_are_not_written_again(spark):
+    random.seed(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    lines = [" ".join("".join(random.choices(letters, k=6)) for _ in range(30)) for _ in range(2000)]
+    rows = [(k, "\n".join([*lines[4 * k : 4 * k + 4], lines[k % 7]])) for k in range(500)]
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:") + "/tablejobs"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    found = line_dedup.dedup_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(row.n_dropped for row in found) == 499
+    new = set(os.listdir(folder)) - before
+    files = [os.path.join(at, name) for one in new for at, _, names in os.walk(f"{folder}/{one}") for name in names]
+    written = sum(os.path.getsize(path) for path in files)
+    assert written < sum(len(text) for _, text in rows) / 2
+
+
+def test_words_as_python_splits_them():
+    random.seed(4)
+    spaces = [chr(c) for c in range(0x3100) if chr(c).isspace()]
+    parts = [*spaces, *"abé19\n\n", "€", "、", "Ā", "\x00", "⁠", "long" * 30, "\U0001d400"]
+    texts = [None, "", *["".join(random.choices(parts, k=random.randrange(80))) for _ in range(400)], ""]
+    words, known = Words(pa.array(texts)[1:]), {}
+    for i, text in enumerate(texts[1:]):
+        lines = text.split("\n")
+        assert words.first[i + 1] - words.first[i] == len(lines)
+        for k, line in enumerate(lines, words.first[i]):
+            own = words.hashes[words.lines[k] : words.lines[k + 1]].tolist()
+            assert [known.setdefault(word, value) for word, value in zip(line.split(), own, strict=True)] == own
+    assert len(set(known.values())) == len(known)
+    assert all(value & 1 == any("0" <= c <= "9" for c in word) for word, value in known.items())
