@@ -28,6 +28,10 @@ from tablejobs.storage import materialize
 ORDER = 4
 #: Sequences a group of models holds, or one language: 16 bytes each and 4 for every language.
 GROUP_SIZE = 1_000_000
+#: Bytes of text a worker takes apart at once; arrays over their sequences take some fifty times as much.
+PART = 500_000
+#: Sequences and their numbers, 16 bytes each, that a worker counts before it hands them on.
+HELD = 1_000_000
 #: Languages up to which the limits of rejection, 64 rows each at most, are sent to every task.
 BROADCAST_LANGUAGES = 2_000
 #: Standard deviations above the mean cross-entropy of training texts from which a text is rejected.
@@ -94,6 +98,9 @@ def count_sequences(rows: DataFrame, lang: str, text: str) -> DataFrame:
             grams, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
             return grams, np.bincount(place, np.concatenate([p[1] for p in parts]), len(grams)).astype(np.int64)
 
+        def size():
+            return sum(len(p[0]) for parts in held.values() for p in parts)
+
         def out():
             for name, parts in held.items():
                 grams, counts = merged(parts)
@@ -106,17 +113,19 @@ def count_sequences(rows: DataFrame, lang: str, text: str) -> DataFrame:
             held.clear()
 
         for batch in batches:
-            for part in slices(batch, 1, 2_000_000):
+            for part in slices(batch, 1, PART):
                 own: dict[str, list[np.ndarray]] = {}
                 for name, one in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     own.setdefault(name, []).append(sequences(characters(one)))
                 for name, found in own.items():
                     parts = held.setdefault(name, [])
                     parts.append(np.unique(np.concatenate(found), return_counts=True))
-                    if len(parts) >= 16:
+                    if len(parts) >= 8:
                         parts[:] = [merged(parts)]
-                if sum(len(p[0]) for parts in held.values() for p in parts) > 4_000_000:
-                    yield from out()
+                if size() > HELD:
+                    held.update({name: [merged(parts)] for name, parts in held.items()})
+                    if size() > HELD // 2:
+                        yield from out()
         yield from out()
 
     counted = source.mapInArrow(run, "lang string, gram long, n long")
@@ -173,7 +182,7 @@ class Models:
         begin = 0
         while begin < len(parts):
             stop, held = begin, 0
-            while stop < len(parts) and (held == 0 or held + sizes[stop] <= 500_000):
+            while stop < len(parts) and (held == 0 or held + sizes[stop] <= 200_000):
                 held += int(sizes[stop])
                 stop += 1
             filled = [i for i in range(begin, stop) if sizes[i]]
@@ -259,10 +268,12 @@ def identify(
     )
 
     def scored(passed: tuple[str, ...]) -> DataFrame:
-        frame = rows.select(*passed, "text")
-        frame = _scored(frame, passed, groups[0] if groups else None, True, len(groups) < 2)
+        # A row that holds the text as a string carries it, so that no text is sent twice.
+        inside = text_col if "row" in passed and dict(docs.dtypes).get(text_col) == "string" else None
+        frame = rows.select(*passed) if inside else rows.select(*passed, "text")
+        frame = _scored(frame, passed, groups[0] if groups else None, True, len(groups) < 2, inside)
         for i, group in enumerate(groups[1:], 2):
-            frame = _scored(frame, passed, group, False, i == len(groups))
+            frame = _scored(frame, passed, group, False, i == len(groups), inside)
         return frame
 
     small = materialize(scored(("id", "lang", "learned")), "languages")
@@ -276,17 +287,26 @@ def identify(
 _SO_FAR = "lang_pred string, score double, entropy double, letters long"
 
 
-def _scored(frame: DataFrame, passed: tuple[str, ...], group, first: bool, last: bool) -> DataFrame:
-    """Holds the texts against a group of models. The last one turns sums into scores and leaves the text behind."""
-    kept = passed if last else (*passed, "text")
+def _scored(
+    frame: DataFrame, passed: tuple[str, ...], group, first: bool, last: bool, inside: str | None = None
+) -> DataFrame:
+    """Holds the texts against a group of models. The last one turns sums into scores and leaves the text behind.
+
+    Texts are the column ``text``, or with ``inside`` the field of that name in ``row``.
+    """
+    kept = passed if last or inside else (*passed, "text")
+    field = frame.schema["row"].dataType.names.index(inside) if inside else None
     schema = T.StructType([*[frame.schema[name] for name in kept], *T.StructType.fromDDL(_SO_FAR)])
     before = T.StructType.fromDDL(_SO_FAR).names
 
+    def texts_of(batch: pa.RecordBatch) -> pa.Array:
+        return batch.column("row").field(field) if inside else batch.column("text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = group.value if group else Models([], [], [])
         for batch in batches:
-            for part in slices(batch, batch.schema.get_field_index("text"), 2_000_000):
-                texts = part.column("text").to_pylist()
+            for part in slices(batch, texts_of(batch), PART):
+                texts = texts_of(part).to_pylist()
                 made = compared(models, texts, None if first else [part.column(name).to_pylist() for name in before])
                 if last:
                     made[1] = [1 / total if total else 0.0 for total in made[1]]

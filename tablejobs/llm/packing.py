@@ -35,7 +35,10 @@ GROUPS = 96
 #: Pieces up to this share of a sequence are small.
 SMALL = 1 / 8
 #: Bytes of text a worker encodes at once; arrays over their words and ids take some twenty times as much.
-PART = 4_000_000
+PART = 500_000
+#: Words and runs a worker remembers the ids of, and characters of them. A worker that Spark uses again keeps some while
+#: it works on something else, so they are fewer than where tokens are all a job makes.
+REMEMBERED, REMEMBERED_RUNS = (200_000, 12_000_000), (300_000, 12_000_000)
 #: Texts sent to a worker at once, on both sides of which a batch takes memory.
 BATCH = 2_000
 #: Line breaks and tabs end a word as spaces do.
@@ -58,8 +61,8 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
-            self.runs = Runs(json.load(file)["model"])
-        self.words = WordCache(self._words)
+            self.runs = Runs(json.load(file)["model"], REMEMBERED_RUNS)
+        self.words = WordCache(self._words, REMEMBERED)
         # Letters with one case mapping and one normal form, which normalisation leaves as they are but for the case.
         self.simple = re.compile("([A-Za-z\xdf-\xf6\xf8-\xff\xc0-\xd6\xd8-\xde]+)([.,]?)").fullmatch
 
@@ -77,6 +80,12 @@ class WordEncoder:
         """Per text, its ids as little-endian unsigned 32-bit numbers."""
         return joined_ids([text.encode().translate(BLANKS) for text in texts], self.words)
 
+    def rest(self) -> None:
+        """Give back what only speeds up the next texts, but for the last words: Spark may use a worker for other work."""
+        self.words.rest()
+        self.runs.known, self.runs.chars = {}, 0
+        pa.default_memory_pool().release_unused()
+
 
 _encoders: dict[str, WordEncoder] = {}
 
@@ -120,6 +129,7 @@ def token_pieces(
                     ],
                     names=schema.names,
                 )
+        encode.rest()
 
     return source.mapInArrow(run, schema)
 

@@ -21,10 +21,11 @@ class Runs:
     """Ids of runs of characters that a BPE model merges each by itself; the last ones are remembered.
 
     ``model`` is the model of a vocabulary file of the ``tokenizers`` library with byte-level characters. Runs hold
-    characters of the Latin blocks up to U+024F only; the library merges all new runs in one call.
+    characters of the Latin blocks up to U+024F only; the library merges all new runs in one call. ``most`` are the
+    runs and characters of them that are remembered.
     """
 
-    def __init__(self, model: dict):
+    def __init__(self, model: dict, most: tuple[int, int] = (REMEMBERED_RUNS, REMEMBERED_RUN_CHARS)):
         from tokenizers import Tokenizer, models, pre_tokenizers
 
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
@@ -39,11 +40,11 @@ class Runs:
         self.mapped: dict[int, str] = {c: "".join(characters[b] for b in chr(c).encode()) for c in range(0x250)}
         self.mapped[ord(_BORDER)] = " "
         self.known: dict[str, bytes] = {}
-        self.chars = 0
+        self.chars, self.most = 0, most
 
     def learn(self, runs: set[str]) -> dict[str, bytes]:
         """A table in which the ids of all these runs can be looked up."""
-        if len(self.known) > REMEMBERED_RUNS or self.chars > REMEMBERED_RUN_CHARS:
+        if len(self.known) > self.most[0] or self.chars > self.most[1]:
             self.known, self.chars = {}, 0
         new = list(runs.difference(self.known))
         self.chars += sum(map(len, new))
@@ -56,14 +57,19 @@ class Runs:
 
 
 class WordCache:
-    """Ids by word; those of the last texts stay at hand. ``encode`` gives the ids of a list of new words."""
+    """Ids by word; those of the last texts stay at hand. ``encode`` gives the ids of a list of new words.
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
-        self.encode, self.known, self.older, self.chars = encode, {}, {}, 0
+    ``most`` are the words and characters of them that are remembered, and then as many again.
+    """
+
+    def __init__(
+        self, encode: Callable[[list[str]], list[bytes]], most: tuple[int, int] = (REMEMBERED, REMEMBERED_CHARS)
+    ):
+        self.encode, self.known, self.older, self.chars, self.most = encode, {}, {}, 0, most
 
     def look_up(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words."""
-        if len(self.known) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+        if len(self.known) > self.most[0] or self.chars > self.most[1]:
             self.known, self.older, self.chars = {}, self.known, 0
         missing = set(words).difference(self.known)
         if missing:
@@ -74,6 +80,10 @@ class WordCache:
             self.chars += sum(map(len, missing))
         return list(map(self.known.__getitem__, words))
 
+    def rest(self) -> None:
+        """Keep the words of the last texts only."""
+        self.older = {}
+
 
 #: Between runs; no run holds it.
 _BORDER = "\uffff"

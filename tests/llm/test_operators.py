@@ -638,3 +638,32 @@ def test_stages_on_odd_and_empty_rows(spark, odd, empty, tmp_path, name):
     assert 0 < kept.count()
     assert name == "packing" or kept.columns == odd.columns
     assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_workers_hold_little(spark, texts, monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(packing, "REMEMBERED", (50, 400))
+    monkeypatch.setattr(packing, "REMEMBERED_RUNS", (50, 400))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encode, some = packing.WordEncoder(path), [text for text in list(texts.values())[:40] if text]
+    for text in some:
+        ids = np.array(encode.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert encode([text]) == [ids]
+    most = 50 + max(len(set(text.split())) for text in some)
+    assert len(encode.words.known) <= most and len(encode.words.older) <= most and len(encode.runs.known) <= 2 * most
+    encode.rest()
+    assert not encode.words.older and not encode.runs.known
+
+    # Counts are the same however often a worker hands them on, and rows whose texts are strings carry them only once.
+    rows = spark.createDataFrame([(k, t, "en" if k % 3 else "de") for k, t in texts.items()], "doc_id long, text string, lang string")
+    counts = lambda: {(r.lang, r.gram): r.n for r in language.count_sequences(rows, "lang", "text").collect()}
+    usual = counts()
+    monkeypatch.setattr(language, "HELD", 100)
+    monkeypatch.setattr(language, "PART", 2_000)
+    assert counts() == usual
+    found = language.identify(rows, F.lit(True), keep_rows=True, group_size=500)
+    assert found.where("row.text is distinct from null").count() == len(texts)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    sent = [line for line in plan.split("\n") if "MapInArrow" in line]
+    assert sent and all("text#" not in line.split("run(")[1].split(")")[0] for line in sent)
