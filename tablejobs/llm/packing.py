@@ -11,7 +11,6 @@ thousands it fills.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from array import array
 from collections import defaultdict
@@ -20,12 +19,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablejobs.llm.common import ids_and_texts, slices
-from tablejobs.llm.word_ids import Runs, WordCache, joined_ids
+from tablejobs.llm.common import give_back, ids_and_texts, slices
+from tablejobs.llm.word_ids import Runs, Usual, WordCache, joined_ids
 from tablejobs.storage import materialize, session_setting
 
 #: Pieces a shard packs.
@@ -36,8 +36,8 @@ GROUPS = 96
 SMALL = 1 / 8
 #: Bytes of text a worker encodes at once; arrays over their words and ids take some twenty times as much.
 PART = 500_000
-#: Words and runs a worker remembers the ids of, and characters of them. A worker that Spark uses again keeps some while
-#: it works on something else, so they are fewer than where tokens are all a job makes.
+#: Words and runs a worker remembers the ids of during a task, and characters of them: fewer than where tokens are all a
+#: job makes.
 REMEMBERED, REMEMBERED_RUNS = (200_000, 12_000_000), (300_000, 12_000_000)
 #: Texts sent to a worker at once, on both sides of which a batch takes memory.
 BATCH = 2_000
@@ -49,8 +49,7 @@ class WordEncoder:
     """Ids of texts for a tokenizer that never merges over white space, word by word, remembering words.
 
     ``path`` names a vocabulary file of the ``tokenizers`` library whose normalisation and splitting treat every run
-    between white space alone. Words of Latin letters with at most one stop or comma behind go straight to its merges,
-    all others through the whole tokenizer; the results are the tokenizer's own.
+    between white space alone. Words of Latin letters, with marks behind or without, go straight to its merges, all others through the whole tokenizer; the results are the tokenizer's own.
     """
 
     def __init__(self, path: str):
@@ -61,30 +60,35 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
-            self.runs = Runs(json.load(file)["model"], REMEMBERED_RUNS)
+            described = json.load(file)
+        self.runs = Runs(described["model"], REMEMBERED_RUNS)
         self.words = WordCache(self._words, REMEMBERED)
         # Letters with one case mapping and one normal form, which normalisation leaves as they are but for the case.
-        self.simple = re.compile("([A-Za-z\xdf-\xf6\xf8-\xff\xc0-\xd6\xd8-\xde]+)([.,]?)").fullmatch
+        self.usual = Usual("A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", [token["content"] for token in described["added_tokens"]])
 
     def _words(self, words: list[str]) -> list[bytes]:
-        cut = [(found[1].lower(), found[2]) if (found := self.simple(word)) else None for word in words]
-        known = self.runs.learn({run for runs in cut if runs for run in runs if run})
-        return [
-            (known[runs[0]] + known[runs[1]] if runs[1] else known[runs[0]])
-            if runs
-            else array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-            for word, runs in zip(words, cut)
-        ]
+        places, stems, marks, others = self.usual(words)
+        stems = pc.utf8_lower(stems).to_numpy(zero_copy_only=False).tolist()
+        known = self.runs.learn({*stems, *(own for _, own in marks)})
+        ids = list(map(known.__getitem__, stems))
+        for i, own in marks:
+            ids[i] += known[own]
+        out = [b""] * len(words)
+        for i, one in zip(places, ids):
+            out[i] = one
+        for i in others:
+            out[i] = array("I", self.tokenizer.encode(words[i], add_special_tokens=False).ids).tobytes()
+        return out
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Per text, its ids as little-endian unsigned 32-bit numbers."""
         return joined_ids([text.encode().translate(BLANKS) for text in texts], self.words)
 
     def rest(self) -> None:
-        """Give back what only speeds up the next texts, but for the last words: Spark may use a worker for other work."""
-        self.words.rest()
+        """Give back what only speeds up the next texts: Spark may use a worker for other work."""
+        self.words.forget()
         self.runs.known, self.runs.chars = {}, 0
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 _encoders: dict[str, WordEncoder] = {}

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablejobs.llm.common import ids_and_texts, slices
-from tablejobs.llm.word_ids import WHOLE, Runs, WordCache, joined_ids
+from tablejobs.llm.word_ids import WHOLE, Runs, Usual, WordCache, joined_ids
 from tablejobs.storage import materialize, release
 
 #: Longest code in bits; 2 ** LIMIT must not be below the number of different ids.
@@ -52,8 +52,8 @@ SPLIT = (
     f"|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"
 )
 
-#: The usual word: letters only, with one stop or comma behind at most.
-SIMPLE = "^[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+[.,]?$"
+#: Letters of usual words.
+USUAL = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
 
 MAGIC = b"HUF1"
 HEADER = struct.Struct("<4sQI")
@@ -87,6 +87,7 @@ class ByteEncoder:
         self.runs = Runs(model) if self.by_word else None
         self.split = re.compile(SPLIT).findall
         self.latin = re.compile("[\x00-\u024f]*").fullmatch
+        self.usual = Usual(USUAL, self.added)
         self.words = WordCache(self._words)
 
     def _whole(self, text: str) -> bytes:
@@ -96,22 +97,16 @@ class ByteEncoder:
         """Ids of words and the space before them; ``WHOLE`` if a word's text has to be encoded whole."""
         if not words:
             return []
-        column = pa.array(words, pa.string())
-        simple = pc.match_substring_regex(column, SIMPLE)
-        usual = column.filter(simple)
-        runs = pc.binary_join_element_wise(pa.scalar(" "), pc.utf8_rtrim(usual, ".,"), pa.scalar(""))
-        runs = runs.to_numpy(zero_copy_only=False).tolist()
-        ending = np.flatnonzero(pc.match_substring_regex(usual, "[.,]$").to_numpy(zero_copy_only=False)).tolist()
-        simple = simple.to_numpy(zero_copy_only=False)
-        places, others = np.flatnonzero(simple).tolist(), np.flatnonzero(~simple).tolist()
+        places, stems, marks, others = self.usual(words)
+        runs = pc.binary_join_element_wise(pa.scalar(" "), stems, pa.scalar("")).to_numpy(zero_copy_only=False).tolist()
         cut: list[tuple[str, ...]] = []
         for word in (words[i] for i in others):
             fine = word and not word[0].isspace() and self.latin(word) and not any(a in word for a in self.added)
             cut.append(tuple(self.split(" " + word)) if fine else ())
-        known = self.runs.learn({*runs, *(run for own in cut for run in own), ".", ","})
+        known = self.runs.learn({*runs, *(own for _, own in marks), *(run for own in cut for run in own)})
         ids = list(map(known.__getitem__, runs))
-        for i in ending:
-            ids[i] += known[words[places[i]][-1]]
+        for i, own in marks:
+            ids[i] += known[own]
         out: list[bytes] = [WHOLE] * len(words)
         for i, one in zip(places, ids):
             out[i] = one

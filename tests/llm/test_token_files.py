@@ -4,14 +4,16 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import ODD, SMALL, empty, odd, small, texts  # noqa: F401
 
-from tablejobs.llm import token_files
+from tablejobs.llm import packing, token_files
 from tablejobs.llm.queries import QUERIES
 from tablejobs.llm.token_files import BLOCK, ByteEncoder, Code, code_lengths
+from tablejobs.llm.word_ids import Usual, WordCache
 from tablejobs.storage import shared_folder
 
 
@@ -146,3 +148,41 @@ def test_a_hot_id_is_spread_over_parts(spark, monkeypatch):
     assert len(parts) == 8 and max(r[1] for r in parts) <= 0.3 * sum(r[1] for r in parts)
     back = sorted((r.start, r.id) for r in token_files.read_token_files(spark, root, with_ids=False).collect())
     assert [key for _, key in back] == sorted(key for key, _ in rows)
+
+
+def test_usual_words_and_marks_go_straight_to_the_merges():
+    import public_tokenizers
+
+    chance = random.Random(3)
+    pieces = [
+        "aB", "\xe9", "\xc9", "\u0131", "\xdf", ".", ",", "'s", "'", "***", "<<", "<|endoftext|>", "</w>", "12", "\xbd", "\n", "\t", "\x85",
+        "\xa0", "\u6f22", "\u0301", "_", "^", "[", "]", "\\", "\xd7", "don't", " ", " ", "  ",
+    ]
+    odd = ["".join(chance.choices(pieces, k=chance.randint(0, 12))) for _ in range(1500)]
+    usual = "Some w\xf6rds, of (all) sorts### and $$$ more*** (again) words!! \xc9t\xe9\u2026 end."
+    for encode in (
+        packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json")),
+        token_files.ByteEncoder(public_tokenizers.path("byte_bpe_50k.json")),
+    ):
+        whole = [np.array(encode.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in [*odd, usual]]
+        assert encode([*odd, usual]) == whole
+        *_, others = encode.usual(usual.split(" "))
+        assert [usual.split(" ")[i] for i in others] == ["(all)", "$$$", "(again)", "\xc9t\xe9\u2026"]
+        # A literal end of a word is not taken for the suffix that stands for it.
+        for run in ("a</w>b", "</w>", "x</w></w>"):
+            ids, ends = encode.runs._merged([run, "abc", run])
+            made = encode.runs.tokenizer.encode(f"{run} abc {run}", add_special_tokens=False)
+            assert ids.tolist() == made.ids
+            assert ends.tolist() == np.cumsum(np.bincount(made.word_ids)).tolist()
+        assert Usual("a-z", ["abc"])(["abc", "x"]) == ([], pa.array([], pa.string()), [], [0, 1])
+
+
+def test_older_words_are_not_all_gone_through():
+    class Counted(dict):
+        def __iter__(self):
+            raise AssertionError("goes through all words")
+
+    words = WordCache(lambda new: [word.encode() for word in new])
+    words.older = Counted({"old": b"1", "other": b"2"})
+    assert words.look_up(["old", "new"]) == [b"1", b"new"]
+    assert words.known == {"old": b"1", "new": b"new"} and words.chars == 6
