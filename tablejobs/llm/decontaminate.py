@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablejobs.llm.common import ids_and_texts, slices, whole_row
+from tablejobs.llm.common import give_back, ids_and_texts, slices, whole_row
 from tablejobs.storage import materialize
 
 #: Bytes of text after which a block of documents ends.
@@ -60,12 +60,14 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             for part in slices(batch, 1, BLOCK):
                 yield from block(f"{task}-{number}", part.column(0).to_pylist(), part.column(1).to_pylist())
                 number += 1
+        give_back()
 
     def block(name: str, ids: list, texts: list) -> Iterator[pa.RecordBatch]:
         words, firsts, counts, place = [], [], [], 0
         for text in texts:
             own = terms(text)
-            words += own
+            if own:
+                words.append(pa.array(own, pa.binary()))  # a Python object for every word of a block takes far more
             firsts.append(place)
             counts.append(len(own))
             place += len(own) + GAP
@@ -73,17 +75,20 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         yield _rows(name, [None], [table])
         if not words:
             return
-        coded = pa.array(words, pa.binary()).dictionary_encode()
+        coded = pa.concat_arrays(words).dictionary_encode()
+        words.clear()
         codes = coded.indices.to_numpy()
         counted = np.array(counts)
         places = np.arange(len(codes)) + np.repeat(np.arange(len(counted)) * GAP, counted)
         order = np.argsort(codes, kind="stable")
         places = places[order]
+        del order
         ends = np.cumsum(np.bincount(codes, minlength=len(coded.dictionary)))
         steps = np.diff(places, prepend=0)
         starts = np.concatenate([[0], ends[:-1]])
         steps[starts] = places[starts]
         low, high = (steps & 0xFFFF).astype("<u2").tobytes(), (steps >> 16).astype("<u2").tobytes()
+        del places, steps
         spans = zip((2 * starts).tolist(), (2 * ends).tolist())
         found = coded.dictionary.to_pylist()
         packed = [low[a:b] + high[a:b] for a, b in spans]

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablejobs.llm.common import slices, whole_row
+from tablejobs.llm.common import give_back, slices, whole_row
 from tablejobs.storage import materialize
 
 #: Characters in a sequence.
@@ -313,6 +313,7 @@ def _scored(
                 columns = [part.column(name) for name in kept]
                 columns += [pa.array(v, t) for v, t in zip(made, (pa.string(), pa.float64(), pa.float64(), pa.int64()))]
                 yield from pa.Table.from_arrays(columns, names=schema.names).to_batches()
+        give_back()
 
     return frame.mapInArrow(run, schema)
 

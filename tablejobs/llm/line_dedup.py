@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablejobs.llm import passages
-from tablejobs.llm.common import slices, whole_row
+from tablejobs.llm.common import give_back, slices, whole_row
 from tablejobs.llm.passages import stays_with
 from tablejobs.llm.simhash import components
-from tablejobs.llm.words import Words, lists, mixed
+from tablejobs.llm.words import PART, Words, lists, mixed
 from tablejobs.storage import materialize, release
 
 #: Leading tokens that lead to a leaf.
@@ -82,11 +82,12 @@ def _lines(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 2, 4_000_000):
+            for part in slices(batch, 2, PART):
                 found = _Lines(Words(part.column(2)))
                 sizes = np.bincount(found.text, minlength=part.num_rows)
                 columns = [lists(sizes, pa.array(own)) for own in (found.line, found.leaf, found.full)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], names=schema.names)
+        give_back()
 
     return materialize(rows.select("uid", "id", "text").mapInArrow(run, schema).where(F.size("line") > 0), "lines")
 
@@ -111,7 +112,7 @@ def _with_tokens(rows: DataFrame, seen: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 0, 4_000_000):
+            for part in slices(batch, 0, PART):
                 found = _Lines(Words(part.column(0)))
                 # Lines wanted from other texts of the part are found here too; they are made one again below.
                 chosen = np.isin(found.full, part.column(1).flatten().to_numpy(zero_copy_only=False))
@@ -120,6 +121,7 @@ def _with_tokens(rows: DataFrame, seen: DataFrame) -> DataFrame:
                 tokens = (found.tokens[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 columns = [pa.array(found.leaf[chosen]), pa.array(found.full[chosen]), lists(sizes, pa.array(tokens))]
                 yield pa.RecordBatch.from_arrays(columns, names=["leaf", "full", "tokens"])
+        give_back()
 
     found = passages.with_lists(rows.select("uid", "text"), wanted).select("text", "fulls")
     found = found.mapInArrow(run, "leaf long, full long, tokens array<int>")
@@ -324,10 +326,11 @@ def dedup_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 2):
+            for part in slices(batch, 2, 2 * PART):
                 made = [_left(*one) for one in zip(*(part.column(i).to_pylist() for i in (2, 3, 4)))]
                 columns = [pa.array(own, kind) for own, kind in zip(zip(*made), _LEFT)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], names=schema.names)
+        give_back()
 
     return found.mapInArrow(run, schema)
 

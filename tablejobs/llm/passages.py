@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablejobs.llm.common import slices, whole_row
-from tablejobs.llm.words import Words
+from tablejobs.llm.common import give_back, slices, whole_row
+from tablejobs.llm.words import PART, Words
 from tablejobs.storage import materialize, release
 
 #: Words in a row that make a passage.
@@ -106,7 +106,7 @@ def _marks(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 1, 2_000_000):
+            for part in slices(batch, 1, PART):
                 words = Words(part.column(1)).without(part.column(2))
                 of, at = _whole_windows(words)
                 marks = window_marks(words.hashes)[at]
@@ -114,6 +114,7 @@ def _marks(rows: DataFrame) -> DataFrame:
                 new[1:] = (marks[1:] != marks[:-1]) | (of[1:] != of[:-1])
                 of = pa.array(of[new], pa.int32())
                 yield pa.RecordBatch.from_arrays([part.column(0).take(of), pa.array(marks[new])], names=["uid", "mark"])
+        give_back()
 
     return rows.select("uid", "text", "dropped").mapInArrow(run, "uid long, mark long")
 
@@ -125,7 +126,7 @@ def _windows(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 3, 2_000_000):
+            for part in slices(batch, 3, PART):
                 words = Words(part.column(3))
                 of, at = _whole_windows(words)
                 marks = window_marks(words.hashes)[at]
@@ -141,6 +142,7 @@ def _windows(rows: DataFrame) -> DataFrame:
                 columns = [part.column(i).take(rows_of) for i in range(len(names))]
                 columns += [pa.array(at - words.texts[of], pa.int32()), pa.array(window, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        give_back()
 
     return rows.select(*names, "text", "marks").mapInArrow(run, schema)
 

@@ -13,6 +13,8 @@ import xxhash
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PRIME = np.uint64(0xD6E8FEB86659FD93)
+#: Bytes of text a worker takes apart at once; arrays over their words take some thirty times as much.
+PART = 1_000_000
 #: Bytes of a word that are hashed eight at a time; the few longer words are hashed one by one.
 _SHORT = 64
 _SPACE, _DIGIT, _LEAD = 1, 2, 3

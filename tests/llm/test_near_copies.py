@@ -1,11 +1,14 @@
 """The near-duplicate stage against the Jaccard similarity of all pairs."""
 
+import math
 import random
+import time
 
+import numpy as np
 from llm_cases import DOCUMENTS, ODD, empty, odd, small, texts  # noqa: F401
 
 import corpus_pipeline
-from tablejobs.llm import near_copies
+from tablejobs.llm import near_copies, packing
 
 
 def plain_shingles(text):
@@ -111,3 +114,27 @@ def test_odd_rows(odd, empty):
     assert len(ODD) == odd.count()
     assert near_copies.first_of_each_group(odd.where("doc_id is null")).count() == 2
     assert near_copies.first_of_each_group(empty).count() == 0
+
+
+def test_prefixes_do_not_sort_the_frequent_shingles_for_every_text():
+    chance = np.random.default_rng(1)
+    late = np.unique(chance.integers(-(2**63), 2**63 - 1, 50_000))
+    sets = [np.unique(np.concatenate([chance.choice(late, 50), chance.integers(-(2**63), 2**63 - 1, 200)])) for _ in range(300)]
+    began = time.process_time()
+    found = [near_copies._prefix(own, late) for own in sets]
+    assert time.process_time() - began < 1.0  # several seconds with all of them sorted each time
+    for own, prefix in zip(sets[:20], found):
+        is_late = np.isin(own, late)
+        whole = np.concatenate([own[~is_late], own[is_late]])
+        assert prefix.tolist() == whole[: len(own) - math.ceil(round(0.8 * len(own), 6)) + 1].tolist()
+    assert near_copies._prefix(np.array([7]), late[:0]).tolist() == [7]
+    assert near_copies._prefix(np.array([2**63 - 1]), np.array([1])).tolist() == [2**63 - 1]
+
+
+def test_workers_keep_no_words_for_the_stages_after_packing():
+    import public_tokenizers
+
+    encode = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    encode(["some words *** of a text"])
+    encode.rest()
+    assert not encode.words.known and not encode.words.older and not encode.runs.known
