@@ -38,7 +38,7 @@ SMALL = 1 / 8
 PART = 500_000
 #: Words and runs a worker remembers the ids of during a task, and characters of them: fewer than where tokens are all a
 #: job makes.
-REMEMBERED, REMEMBERED_RUNS = (200_000, 12_000_000), (300_000, 12_000_000)
+REMEMBERED, REMEMBERED_RUNS = (200_000, 12_000_000), (100_000, 4_000_000)
 #: Texts sent to a worker at once, on both sides of which a batch takes memory.
 BATCH = 2_000
 #: Line breaks and tabs end a word as spaces do.
