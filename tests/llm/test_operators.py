@@ -195,6 +195,31 @@ def test_distances_by_hand(spark, texts):
         assert abs(row.character_distance - classes) < 1e-6 and abs(row.word_distance - words) < 1e-6
 
 
+def test_every_language_has_a_reference(spark, monkeypatch):
+    """Seventy languages of one document each beside one with many: each document is nearest to its own."""
+    chance = random.Random(3)
+
+    def text(of):
+        # Each language has common words of its own, and a share of capitals and figures of its own.
+        own = quality_rules.WORDS[of :: 70] + quality_rules.WORDS[(of * 7) % 70 :: 70]
+        return " ".join(chance.choice([*own, "Xyz" if of % 2 else "xyz", str(of) * (1 + of % 5)]) for _ in range(300))
+
+    made = [(i, text(i), f"l{i:02d}", "s", 1) for i in range(70)]
+    made += [(100 + i, text(70), "many", "s", 1) for i in range(9)]
+    docs = spark.createDataFrame([*made, (200, "  ", "blank", "s", 1), (201, "a b", None, "s", 1)], DOCUMENTS)
+    plain = None
+    for group in (1_024, 9):
+        monkeypatch.setattr(quality_rules, "GROUP", group, raising=False)
+        found = {r.id: r for r in quality_rules.quality_rules(docs).collect()}
+        assert len(found) == len(made) + 2 and found[200].lang_near is found[201].lang_near is None
+        assert {k: r.lang_near for k, r in found.items() if k < 70} == {row[0]: row[2] for row in made[:70]}
+        assert all(found[i].word_distance < 1e-6 and found[i].character_distance < 1e-6 for i in range(70))
+        assert plain is None or plain == found
+        plain = found
+    counts = quality_rules.counted(docs.select(F.col("doc_id").alias("id"), "text", "lang"))
+    assert [one["lang"] for one in quality_rules.references(counts)] == sorted({row[2] for row in made})
+
+
 def test_quality_of_nothing(empty):
     assert quality_rules.quality_rules(empty).count() == 0
 
