@@ -6,6 +6,7 @@ import time
 
 import numpy as np
 from llm_cases import DOCUMENTS, ODD, empty, odd, small, texts  # noqa: F401
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tablejobs.llm import near_copies, packing
@@ -82,6 +83,32 @@ def test_fingerprints_give_candidates(spark, monkeypatch):
     assert {row.doc_id for row in near_copies.first_of_each_group(docs).collect()} == {0, 4}
 
 
+def test_all_nodes_of_near_fingerprints_are_held_against_each_other(spark, monkeypatch):
+    """Not only the first node of a fingerprint, and not only the links of a spanning forest."""
+    rows = []
+    for family in range(5):
+        words = [f"f{family}w{i}" for i in range(200)]
+        rows += [(10 * family + k, " ".join([*words[:at], f"x{at}", *words[at + 1 :]])) for k, at in enumerate((20, 90, 150))]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], DOCUMENTS)
+    expected = plain_first(rows)
+    assert expected == {0, 10, 20, 30, 40}
+    nodes, candidates = near_copies._nodes, near_copies._candidates
+
+    # Nothing but fingerprints gives candidates. They are all equal, or differ in two bits, or in eight.
+    def one_print(mask):
+        bits = f"shiftleft(1L, CAST(pmod(node, {mask}) AS INT))" if mask < 9 else "CASE WHEN pmod(node, 2) = 0 THEN 15L ELSE 960L END"
+        return lambda texts: near_copies.materialize(nodes(texts).withColumn("fingerprint", F.expr(bits)), "nodes")
+
+    monkeypatch.setattr(near_copies, "_candidates", lambda shared: candidates(shared).where("false"))
+    for mask in (1, 6, 9):
+        monkeypatch.setattr(near_copies, "_nodes", one_print(mask))
+        stays = {row.doc_id for row in near_copies.first_of_each_group(docs).collect()}
+        if mask < 9:
+            assert stays == expected
+        else:
+            assert expected < stays  # eight bits apart: no candidates
+
+
 def chained_rows():
     """Families whose neighbours are similar and whose ends are not, beside texts that share one long stretch."""
     random.seed(5)
